@@ -1,6 +1,6 @@
 """Named queries over the given tables, one module per family."""
 
-from quayside.plans import scalars  # noqa: F401
+from quayside.plans import filtering, scalars, shaping  # noqa: F401
 from quayside.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]
