@@ -1,6 +1,6 @@
 """Named queries over the given tables, one module per family."""
 
-from quayside.plans import filtering, planning, reading, scalars, shaping  # noqa: F401
+from quayside.plans import filtering, loading, planning, reading, reporting, scalars, shaping, surface  # noqa: F401
 from quayside.plans.registry import QUERIES
 
 __all__ = ["QUERIES"]
