@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import json
-import os
 import uuid
 
+from pyarrow import fs as pa_fs
 from pyspark.sql import functions as F
 
 from quayside.operators.schema import ColumnSpec
@@ -24,15 +24,15 @@ class FolderWriter:
     def __init__(self, folder: str):
         from pyspark import TaskContext
 
-        self.folder, self.task, self.n = folder, TaskContext.get().partitionId(), 0
-        os.makedirs(folder, exist_ok=True)
+        self.fs, self.folder = pa_fs.FileSystem.from_uri(folder)
+        self.task, self.n = TaskContext.get().partitionId(), 0
+        self.fs.create_dir(self.folder, recursive=True)
 
     def upsert(self, rows):
-        final = f"{self.folder}/part-{self.task:06d}-{self.n:06d}.json"
         partial = f"{self.folder}/.{uuid.uuid4().hex}"
-        with open(partial, "w", encoding="utf-8") as out:
-            out.writelines(json.dumps(r, default=str) + "\n" for r in rows)
-        os.replace(partial, final)
+        with self.fs.open_output_stream(partial) as out:
+            out.write("".join(json.dumps(r, default=str) + "\n" for r in rows).encode())
+        self.fs.move(partial, f"{self.folder}/part-{self.task:06d}-{self.n:06d}.json")
         self.n += 1
 
     def close(self):
@@ -40,8 +40,9 @@ class FolderWriter:
 
 
 def _service(t, label):
-    """Folder of the stand-in service, as the plain path its file calls need."""
-    return t.scratch(label).removeprefix("file://").removeprefix("file:")
+    """Folder of the stand-in service; its files are reached by URI like any other shared file."""
+    path = t.scratch(label)
+    return path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
 
 
 @query("g8_partition_upsert", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
