@@ -19,7 +19,8 @@ from quayside.functions.empties import (
     second_arg,
     zero_if_equal,
 )
-from quayside.functions.numbers import decimal_cleanup, divide, empty_to_double, lit_typed
+from quayside.functions.numbers import decimal_cleanup, divide, empty_to_double, lit_typed, read_as
+from quayside.functions.sqlnames import register_sql_functions
 from quayside.functions.temporal import (
     cast_as_date,
     coalesce_timestamp,

@@ -11,6 +11,7 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quayside.functions.numbers import read_as
 from quayside.functions.text import _col, jtrim
 
 # Region letters and their codes.
@@ -86,13 +87,13 @@ def coalesce_nullif(c, value: str, default, to: str | None = None) -> Column:
     text = F.coalesce(nullif_text(c, value), F.lit(None if default is None else str(default)))
     if to is None:
         return text
-    return F.coalesce(text.try_cast(to), F.lit(0).cast(to))
+    return F.coalesce(read_as(text, to), F.lit(0).cast(to))
 
 
 def nvl_typed(c, default, to: str) -> Column:
     """Null takes the default; bad text stays null so that it shows up as a reject."""
     c = _col(c)
-    return F.when(c.isNull(), F.lit(default).cast(to)).otherwise(c.try_cast(to))
+    return F.when(c.isNull(), F.lit(default).cast(to)).otherwise(read_as(c, to))
 
 
 def nvl_integer(c, default: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -51,14 +53,66 @@ def _masked(c: Column, mask: str) -> tuple[Column, str]:
     return c, mask
 
 
-def parse_date(c, mask: str = ISO_DATE) -> Column:
+_FIELD = re.compile(r"yyyy|MM|dd|HH|mm|ss|S{1,6}|'[^']*'|[^A-Za-z']")
+
+
+def _fixed_fields(mask: str) -> tuple[str, dict[str, tuple[int, int]]] | None:
+    """Shape and field places of a mask made of fixed-width numbers, else None."""
+    tokens = _FIELD.findall(mask)
+    if "".join(tokens) != mask:
+        return None
+    shape, places, at = "", {}, 1
+    for token in tokens:
+        if token[0].isalpha():
+            if token[0] in places:
+                return None
+            places[token[0]] = (at, len(token))
+            shape += f"[0-9]{{{len(token)}}}"
+            at += len(token)
+        else:
+            literal = token.strip("'") or "'"
+            shape += re.escape(literal)
+            at += len(literal)
+    return f"^{shape}$", places
+
+
+def _iso(c: Column, places: dict[str, tuple[int, int]], fields: str, between: str, absent: str) -> list[Column]:
+    parts = []
+    for field, sep, default in zip(fields, between, absent.split()):
+        here = F.substring(c, *places[field]) if field in places else F.lit(default)
+        parts += [here] if sep == " " else [F.lit(sep), here]
+    return parts
+
+
+def _parse(c, mask: str, to: str) -> Column:
+    """Text to a date or timestamp, null when it does not fit the mask.
+
+    A mask of fixed-width numbers is checked by its shape and cast from its parts. The general
+    parser raises and catches an exception for every text that does not fit, which costs more
+    than the rest of a load when a column holds many of them.
+    """
     c, mask = _masked(_col(c), mask)
-    return F.try_to_timestamp(c, F.lit(mask)).cast("date")
+    fixed = _fixed_fields(mask)
+    if fixed is None:
+        return F.try_to_timestamp(c, F.lit(mask)).cast(to)
+    shape, places = fixed
+    parts = _iso(c, places, "yMd", " --", "1970 01 01")
+    if to != "date" or set("HmsS") & set(places):
+        parts += [F.lit(" ")] + _iso(c, places, "Hms", " ::", "00 00 00")
+        if "S" in places:
+            parts += [F.lit("."), F.substring(c, *places["S"])]
+    fits = F.when(c.rlike(shape), F.concat(*parts))
+    if to == "date" and not set("HmsS") & set(places):
+        return fits.try_cast("date")
+    return fits.try_cast("timestamp").cast(to)
+
+
+def parse_date(c, mask: str = ISO_DATE) -> Column:
+    return _parse(c, mask, "date")
 
 
 def parse_timestamp(c, mask: str = ISO_SECONDS) -> Column:
-    c, mask = _masked(_col(c), mask)
-    return F.try_to_timestamp(c, F.lit(mask))
+    return _parse(c, mask, "timestamp")
 
 
 def empty_to_null_date(c) -> Column:

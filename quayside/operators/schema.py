@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions.numbers import read_as
 from quayside.functions.temporal import (
     ISO_DATE,
     ISO_SECONDS,
@@ -128,7 +129,7 @@ def typed(c: Column, to: str, mask: str | None = None) -> Column:
         return parse_date(c, translate_mask(mask or ISO_DATE))
     if kind == "timestamp":
         return parse_timestamp(c, translate_mask(mask or ISO_SECONDS))
-    return c.try_cast(to)
+    return read_as(c, to)
 
 
 def typed_projection(df: DataFrame, specs: Sequence[ColumnSpec], rejects: str | None = None) -> DataFrame:

@@ -38,7 +38,7 @@ SPECS = [
        FROM orders WHERE o_totalprice >= 1000 AND o_orderpriority <> '5-LOW' GROUP BY 1, 2""",
 )
 def typed_order_load(t):
-    shaped = schema.typed_projection(t.sql(FEED), SPECS, rejects="rejects")
+    shaped = schema.typed_projection(t.sql(FEED, spread=True), SPECS, rejects="rejects")
     clean = shaped.withColumns({
         "priority": fn.nvl_trim("priority", "none"),
         "state": fn.case_when_map(fn.empty_to_null("status"), {"F": "finished", "O": "open"}, "other"),

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quayside.session import pin_utc, scratch_path
+from quayside.session import pin_utc, scratch_path, spread_small
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -34,11 +34,15 @@ class Inputs:
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)
 
-    def sql(self, text: str) -> DataFrame:
-        """Run SQL over the given tables; the tables it names become temporary views."""
+    def sql(self, text: str, spread: bool = False) -> DataFrame:
+        """Run SQL over the given tables; the tables it names become temporary views.
+
+        ``spread`` puts a small scan on all cores, for texts costly to make and to read.
+        """
         for name in TABLES:
             if re.search(rf"\b{name}\b", text):
-                getattr(self, name).createOrReplaceTempView(name)
+                table = getattr(self, name)
+                (spread_small(table) if spread else table).createOrReplaceTempView(name)
         return self.spark.sql(text)
 
 

@@ -42,7 +42,7 @@ _READS = (
 
 
 def _statements(t):
-    return scripts.statements(t.sql(SCRIPTS))
+    return scripts.statements(t.sql(SCRIPTS, spread=True))
 
 
 @query("j1_script_statements", f"WITH {STATEMENTS} SELECT path, n, statement, kind FROM stmts")
@@ -102,7 +102,7 @@ def schema_remap(t):
         UNION ALL SELECT path, 'use', NULL, unnest(regexp_extract_all(text, '(USE\\s+(?:SCHEMA|DATABASE)\\s+\\w+);', 1)) FROM scr""",
 )
 def session_params(t):
-    return scripts.session_params(t.sql(SCRIPTS))
+    return scripts.session_params(t.sql(SCRIPTS, spread=True))
 
 
 @query(

@@ -55,7 +55,7 @@ def rename_map(t):
         FROM typed""",
 )
 def typed_projection(t):
-    shaped = sc.typed_projection(t.sql(ORDER_TEXTS), ORDER_SPECS, rejects="rejects")
+    shaped = sc.typed_projection(t.sql(ORDER_TEXTS, spread=True), ORDER_SPECS, rejects="rejects")
     return shaped.select(
         "order_key", "cust_key", F.col("price").cast("double").alias("price"),
         F.col("order_date").cast("string").alias("order_date"),

@@ -29,9 +29,9 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    named = tempfile.mkdtemp(prefix="quayside-")
-    spark.conf.set(CHECKPOINT_DIR, named)
-    return named
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="quayside-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -53,3 +53,13 @@ def saved(df, label: str, partition_by: list[str] | None = None):
     writer.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     return back.select(*df.columns)
+
+
+def spread_small(df):
+    """Use all cores on a scan that came in fewer pieces than there are cores.
+
+    Meant ahead of costly expressions. A scan with enough splits, as any large table has, is
+    returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
