@@ -45,13 +45,6 @@ def duplicate_free(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
-def _before_block(df: DataFrame, keys: Sequence[str], amount: Column) -> DataFrame:
-    """Per key and block: the total of all earlier blocks. One row per block is ranked, not each row."""
-    totals = df.groupBy(*keys, "_block").agg(amount.alias("_amount"))
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(*keys, "_block", F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias("_before"))
-
-
 def running_total(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, block: Column, out: str
 ) -> DataFrame:
@@ -59,30 +52,36 @@ def running_total(
 
     ``block`` cuts a key's rows into consecutive stretches of its order (say, an hour of a
     timestamp), so that no task has to hold all rows of a hot key: sums run within a block, and
-    each block adds the total of the blocks before it. Exact for integers and decimals.
+    each block adds the total of the blocks before it, for which one row per block is ranked.
+    Exact for integers and decimals.
     """
+    keys = list(keys)
     parts = df.withColumn("_block", block)
-    before = _before_block(parts, keys, F.sum(value))
+    totals = parts.groupBy(*keys, "_block").agg(F.sum(value).alias("_amount"))
+    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(*keys, "_block", F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias("_before"))
     local = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (
         parts.withColumn("_local", F.sum(value).over(local))
         .join(before, [*keys, "_block"])
-        .withColumn(out, F.col("_before") + F.col("_local"))
+        .withColumn(out, F.col("_before") + F.coalesce("_local", F.lit(0)))
         .select(*df.columns, out)
     )
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], order: str, block: Column, out: str) -> DataFrame:
-    """``rank()`` of a row within its key; ``block`` is a stretch of the order column's values."""
-    parts = df.withColumn("_block", block)
-    before = _before_block(parts, keys, F.count(F.lit(1)))
-    local = F.rank().over(Window.partitionBy(*keys, "_block").orderBy(order))
-    return (
-        parts.withColumn("_local", local)
-        .join(before, [*keys, "_block"])
-        .withColumn(out, (F.col("_before") + F.col("_local")).cast("long"))
-        .select(*df.columns, out)
-    )
+    """``rank()`` of a row within its key.
+
+    Rows with the same value share a rank, so only the counts per value are ranked, and joined
+    back: neither a hot key nor a hot value gathers its rows. ``block`` is a stretch of the order
+    column's values, see ``running_total``. Keys are not null.
+    """
+    keys = list(keys)
+    counts = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("_n"))
+    upto = running_total(counts, keys, [order], "_n", block, "_upto")
+    ranks = upto.select(*keys, F.col(order).alias("_value"), (F.col("_upto") - F.col("_n") + 1).cast("long").alias(out))
+    on = [df[k] == ranks[k] for k in keys] + [df[order].eqNullSafe(ranks["_value"])]
+    return df.join(ranks, on).select(*[df[c] for c in df.columns], out)
 
 
 def lookback_sum(df: DataFrame, keys: Sequence[str], at: str, value: str, seconds: int, out: str) -> DataFrame:

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 # The formats a table may be stored in.
 FORMATS = ("parquet", "orc", "csv", "json", "avro", "delta")
 
 
+_NO_CONNECTOR = ("DATA_SOURCE_NOT_FOUND", "Failed to find data source", "Failed to find the data source")
+
+
 def columnar_scan(
     spark: SparkSession, path, fmt: str = "parquet", columns: Sequence[str] | None = None, **options
 ) -> DataFrame:
@@ -20,8 +22,8 @@ def columnar_scan(
         raise ValueError(f"storage format {fmt!r} is not one of {', '.join(FORMATS)}")
     try:
         df = spark.read.format(kind).options(**options).load(path)
-    except AnalysisException as e:
-        if "DATA_SOURCE" in (e.getCondition() or "") or "Failed to find" in str(e):
+    except Exception as e:
+        if any(sign in str(e) for sign in _NO_CONNECTOR):
             raise ValueError(f"format {kind!r} needs its connector on the cluster") from e
         raise
     return df.select(*columns) if columns else df
