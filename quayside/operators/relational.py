@@ -45,6 +45,13 @@ def duplicate_free(df: DataFrame) -> DataFrame:
     return df.distinct()
 
 
+def join_back(rows: DataFrame, found: DataFrame, on: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Join results to the rows they were made from; nulls meet nulls, so no row is lost."""
+    renamed = found.select(*[F.col(c).alias(f"_on_{i}") for i, c in enumerate(on)], *columns)
+    same = [F.col(c).eqNullSafe(F.col(f"_on_{i}")) for i, c in enumerate(on)]
+    return rows.join(renamed, same)
+
+
 def running_total(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, block: Column, out: str
 ) -> DataFrame:
@@ -59,14 +66,11 @@ def running_total(
     parts = df.withColumn("_block", block)
     totals = parts.groupBy(*keys, "_block").agg(F.sum(value).alias("_amount"))
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select(*keys, "_block", F.coalesce(F.sum("_amount").over(earlier), F.lit(0)).alias("_before"))
+    before = totals.withColumn("_before", F.sum("_amount").over(earlier))
     local = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        parts.withColumn("_local", F.sum(value).over(local))
-        .join(before, [*keys, "_block"])
-        .withColumn(out, F.col("_before") + F.coalesce("_local", F.lit(0)))
-        .select(*df.columns, out)
-    )
+    placed = join_back(parts.withColumn("_local", F.sum(value).over(local)), before, [*keys, "_block"], ["_before"])
+    total = F.coalesce(F.col("_before") + F.col("_local"), "_before", "_local")
+    return placed.withColumn(out, total).select(*df.columns, out)
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], order: str, block: Column, out: str) -> DataFrame:
@@ -74,14 +78,13 @@ def rank_within(df: DataFrame, keys: Sequence[str], order: str, block: Column, o
 
     Rows with the same value share a rank, so only the counts per value are ranked, and joined
     back: neither a hot key nor a hot value gathers its rows. ``block`` is a stretch of the order
-    column's values, see ``running_total``. Keys are not null.
+    column's values, see ``running_total``.
     """
     keys = list(keys)
     counts = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("_n"))
     upto = running_total(counts, keys, [order], "_n", block, "_upto")
-    ranks = upto.select(*keys, F.col(order).alias("_value"), (F.col("_upto") - F.col("_n") + 1).cast("long").alias(out))
-    on = [df[k] == ranks[k] for k in keys] + [df[order].eqNullSafe(ranks["_value"])]
-    return df.join(ranks, on).select(*[df[c] for c in df.columns], out)
+    ranks = upto.withColumn(out, (F.col("_upto") - F.col("_n") + 1).cast("long"))
+    return join_back(df, ranks, [*keys, order], [out]).select(*df.columns, out)
 
 
 def lookback_sum(df: DataFrame, keys: Sequence[str], at: str, value: str, seconds: int, out: str) -> DataFrame:

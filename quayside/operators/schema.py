@@ -21,6 +21,7 @@ from quayside.functions.temporal import (
     parse_timestamp,
     translate_mask,
 )
+from quayside.operators.relational import join_back
 
 # Type codes of catalogs and loaders, and the type names they stand for.
 TYPE_NAMES = {
@@ -342,7 +343,8 @@ def exclude_listed(configs: DataFrame, listed: DataFrame, name: str, group: str,
     """
     left = configs.join(listed.select(name).distinct(), name, "left_anti")
     share = left.groupBy(group).agg(F.floor(F.lit(100) / F.count("*")).cast("int").alias(quota))
-    return left.drop(quota).join(share, group)
+    kept = left.drop(quota)
+    return join_back(kept, share, [group], [quota]).select(*kept.columns, quota)
 
 
 def epoch_to(c, target: str) -> Column:

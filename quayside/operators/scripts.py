@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayside.operators.relational import running_total
+from quayside.operators.relational import join_back, running_total
 
 # Comments, the statements that count, and names.
 COMMENT = r"(?ms)--.*?$|/\*.*?\*/"
@@ -151,7 +151,8 @@ def consecutive_groups(stmts: DataFrame, script: str, n: str, env: str, stretch:
     by_stretch = Window.partitionBy(script).orderBy("_stretch")
     handed = ends.select(script, "_stretch", F.lag("_end").over(by_stretch).alias("_handed"))
     within = Window.partitionBy(script, "_stretch").orderBy(n)
-    placed = parts.withColumn("_before", F.lag(F.struct(env)).over(within)).join(handed, [script, "_stretch"])
+    compared = parts.withColumn("_before", F.lag(F.struct(env)).over(within))
+    placed = join_back(compared, handed, [script, "_stretch"], ["_handed"])
     before = F.coalesce("_before", "_handed")[env]
     opens = before.isNotNull() & ~F.equal_null(F.col(env), before)
     flagged = placed.select(*stmts.columns, opens.cast("int").alias("_opens"))

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.operators.relational import join_back
+
 # Load strategies, and the columns that mark new or changed rows.
 MERGE, APPEND, FULL = "INCREMENTAL_MERGE", "INCREMENTAL_APPEND", "FULL_REFRESH"
 APPEND_MARKS = ["insert_timestamp", "LOADDATE", "REC ADD TS", "STARTDATE", "CREATE_DATE"]
@@ -157,6 +159,6 @@ def group_quota(members: DataFrame, group: str, table: str, override: str) -> Da
     tables = members.groupBy(group, table).agg(F.max(override).alias("_override"))
     sizes = tables.groupBy(group).agg(F.count("*").alias("n_tables"))
     share = F.floor(F.lit(100) / F.col("n_tables"))
-    return tables.join(sizes, group).select(
+    return join_back(tables, sizes, [group], ["n_tables"]).select(
         group, table, "n_tables",
         F.coalesce(F.nullif(F.col("_override"), F.lit(0)), share).cast("int").alias("quota"))

@@ -13,7 +13,8 @@ DAY = dt.datetime(2020, 1, 1)
 
 def skewed(spark, n=600, seed=7):
     rng = random.Random(seed)
-    rows = [(i, 0 if i % 3 == 0 else rng.randrange(1, 40), DAY + dt.timedelta(seconds=rng.randrange(40000)), rng.randrange(100)) for i in range(n)]
+    rows = [(i, 0 if i % 3 == 0 else rng.choice([None, *range(1, 40)]), DAY + dt.timedelta(seconds=rng.randrange(40000)),
+             rng.choice([None, *range(50)])) for i in range(n)]
     return spark.createDataFrame(rows, "id int, k int, ts timestamp_ntz, v int")
 
 
@@ -115,9 +116,9 @@ def test_rank_equals_plain_window(spark):
 def test_lookback_equals_brute_force(spark):
     df = skewed(spark, 300)
     rows = df.collect()
-    want = {r.id: sum(o.v for o in rows if o.k == r.k and dt.timedelta(0) <= r.ts - o.ts <= dt.timedelta(seconds=900)) for r in rows}
+    want = {r.id: sum(o.v or 0 for o in rows if o.k == r.k and dt.timedelta(0) <= r.ts - o.ts <= dt.timedelta(seconds=900)) for r in rows}
     got = relational.lookback_sum(df, ["k"], "ts", "v", 900, "t")
-    assert {r.id: r.t for r in got.collect()} == want
+    assert {r.id: r.t or 0 for r in got.collect()} == want
 
 
 def test_consecutive_groups_over_stretches(spark):
