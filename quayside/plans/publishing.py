@@ -39,15 +39,14 @@ class FolderWriter:
         pass
 
 
-def _service(t, label):
-    """Folder of the stand-in service; its files are reached by URI like any other shared file."""
-    path = t.scratch(label)
+def folder_uri(path: str) -> str:
+    """A folder as the URI or plain path that file libraries outside Spark take."""
     return path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
 
 
 @query("g8_partition_upsert", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def partition_upsert(t):
-    folder = _service(t, "service")
+    folder = folder_uri(t.scratch("service"))
     rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
     partitioned.upsert(rows, lambda: FolderWriter(folder), batch=1000, partitions=4)
     return t.spark.read.schema(rows.schema).json(folder)
@@ -58,7 +57,7 @@ def partition_upsert(t):
     "SELECT count(*) AS n_rows, true AS within_limit, true AS many_batches FROM lineitem",
 )
 def chunked_upsert(t):
-    folder = _service(t, "chunks")
+    folder = folder_uri(t.scratch("chunks"))
     sent = partitioned.upsert(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), lambda: FolderWriter(folder), batch=500)
     back = t.spark.read.schema("l_orderkey long").json(folder)
     return back.agg(F.count("*").alias("n_rows")).select(
@@ -120,7 +119,7 @@ def stream_body_sink(t):
 
 @query("g16_crm_upsert", "SELECT c_custkey, c_name FROM customer")
 def crm_upsert(t):
-    folder = _service(t, "crm")
+    folder = folder_uri(t.scratch("crm"))
     rows = t.customer.select("c_custkey", "c_name")
     partitioned.crm_upsert(rows, lambda external_id: FolderWriter(folder), "c_custkey", batch=200)
     return t.spark.read.schema(rows.schema).json(folder)

@@ -1,0 +1,156 @@
+"""Database and key-value targets with folders in the place of tables.
+
+No database is started: rows go where Spark would write them, statements are noted, and a query
+returns the rows together with what was sent.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from dataclasses import dataclass
+
+from pyarrow import fs as pa_fs
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+
+from quayside.operators import load
+from quayside.plans.loading import DELTA, TARGET
+from quayside.plans.publishing import folder_uri
+from quayside.plans.registry import query
+from quayside.sinks import dialects, jdbc, keyvalue
+
+
+class _Folders:
+    """Tables as folders; keeps the first words of every statement."""
+
+    def __init__(self, t, existing=()):
+        self.t, self.base, self.existing, self.sent = t, t.scratch("tables"), set(existing), []
+
+    def target(self, dialect, **settings):
+        return jdbc.JdbcTarget(
+            dialect, "main", "orders", lambda s: self.sent.append(" ".join(s.split()[:2])),
+            lambda name: name in self.existing,
+            lambda df, name, options: df.write.mode("append").parquet(f"{self.base}/{name}"), **settings)
+
+    def rows(self, name):
+        stored = self.t.spark.read.parquet(f"{self.base}/{name}")
+        shown = stored.withColumn("price", F.col("price").cast("double")).drop("seen")
+        return shown.withColumn("sent", F.lit("; ".join(self.sent)))
+
+
+_ROWS = "SELECT k, cust, status, CAST(price AS DOUBLE) AS price, '{}' AS sent FROM ({})"
+_NEWEST = (
+    "SELECT k, max_by(cust, seen) AS cust, max_by(status, seen) AS status, max_by(price, seen) AS price "
+    f"FROM ({DELTA}) GROUP BY k")
+
+
+@query("g1_jdbc_overwrite_swap", _ROWS.format(
+    "CREATE DATABASE; DROP TABLE; CREATE TABLE; ALTER TABLE; DROP TABLE; DROP TABLE; RENAME TABLE", TARGET))
+def jdbc_overwrite_swap(t):
+    out = _Folders(t, ["main.orders"])
+    out.target(dialects.MYSQL, staging_schema="stage", primary_key=["k"], create_schema=True).write(t.sql(TARGET))
+    return out.rows("stage.orders_temp")
+
+
+@query("g2_jdbc_truncate_load", _ROWS.format("TRUNCATE TABLE", TARGET))
+def jdbc_truncate_load(t):
+    out = _Folders(t, ["main.orders"])
+    out.target(dialects.VERTICA, user_managed=True).write(t.sql(TARGET))
+    return out.rows("main.orders")
+
+
+@query("g3_jdbc_append", _ROWS.format("", f"{TARGET} UNION ALL {TARGET}"))
+def jdbc_append(t):
+    out = _Folders(t, ["main.orders"])
+    for _ in range(2):
+        out.target(dialects.VERTICA, mode="append").write(t.sql(TARGET))
+    return out.rows("main.orders")
+
+
+@query("g4_jdbc_merge_staged", _ROWS.format("DROP TABLE; CREATE TABLE; MERGE INTO; DROP TABLE", _NEWEST))
+def jdbc_merge_staged(t):
+    """The staged delta has one row per key, as a set-based merge needs."""
+    out = _Folders(t, ["main.orders"])
+    delta = load.dedup(t.sql(DELTA), ["k"], ["seen"])
+    out.target(dialects.VERTICA, mode="merge", natural_keys=["k"]).write(delta)
+    return out.rows("main.orders_delta")
+
+
+@query("g11_create_index", _ROWS.format("DROP TABLE; CREATE TABLE; DROP TABLE; ALTER TABLE; CREATE INDEX", TARGET))
+def create_index(t):
+    out = _Folders(t)
+    out.target(dialects.SPANNER, primary_key=["k"], index=["cust", "status"]).write(t.sql(TARGET))
+    return out.rows("main.orders_temp")
+
+
+class ItemSource(DataSource):
+    """A key-value connector's shape over the shared folder: ``tableName``, ``endpoint``, ``update``."""
+
+    @classmethod
+    def name(cls):
+        return "folder_items"
+
+    def writer(self, schema, overwrite):
+        return ItemWriter(self.options)
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    """A file a task has finished but nobody sees yet."""
+
+    partial: str
+    final: str
+
+
+class ItemWriter(DataSourceWriter):
+    """Tasks write hidden files; the commit names those of the tasks that counted."""
+
+    def __init__(self, options):
+        self.updates = options.get("update", "false")
+        self.folder = f"{options['endpoint']}/{options['tableName']}"
+
+    def write(self, rows):
+        files, folder = pa_fs.FileSystem.from_uri(self.folder)
+        files.create_dir(folder, recursive=True)
+        name = uuid.uuid4().hex
+        with files.open_output_stream(f"{folder}/.{name}") as out:
+            for row in rows:
+                out.write((json.dumps({**row.asDict(), "updated": self.updates}) + "\n").encode())
+        return Written(f"{folder}/.{name}", f"{folder}/{name}.json")
+
+    def commit(self, messages):
+        files, _ = pa_fs.FileSystem.from_uri(self.folder)
+        for m in messages:
+            if m is not None:
+                files.move(m.partial, m.final)
+
+    def abort(self, messages):
+        files, _ = pa_fs.FileSystem.from_uri(self.folder)
+        for m in messages:
+            if m is not None:
+                files.delete_file(m.partial)
+
+
+@query(
+    "g14_kv_write",
+    """SELECT c_custkey AS id, c_mktsegment AS segment, 'false' AS updated FROM customer
+       UNION ALL SELECT DISTINCT o_custkey, o_orderpriority, 'true' FROM orders
+       UNION ALL SELECT -1 - c_custkey, c_mktsegment, 'false' FROM customer""",
+)
+def kv_write(t):
+    """An overwrite that makes the table, an upsert, and an insert."""
+    t.spark.dataSource.register(ItemSource)
+    settings = {"endpoint": folder_uri(t.scratch("items")), "ReadCapacityUnits": "5", "other": "left out"}
+    made = []
+
+    def write(mode, rows):
+        keyvalue.KeyValueTarget(
+            "items", settings, "id:HASH:N,segment:RANGE:S", mode, format="folder_items",
+            create=lambda *args: made.append(args)).write(rows)
+
+    write("overwrite", t.customer.select(F.col("c_custkey").alias("id"), F.col("c_mktsegment").alias("segment")))
+    write("upsert", t.orders.select(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("segment")).distinct())
+    write("insert", t.customer.select((-1 - F.col("c_custkey")).alias("id"), F.col("c_mktsegment").alias("segment")))
+    stored = t.spark.read.schema("id long, segment string, updated string").json(settings["endpoint"] + "/items")
+    return stored.where(F.lit(len(made) == 1))

@@ -48,6 +48,20 @@ VERTICA = Dialect("vertica", _VERTICA)
 SPANNER = Dialect("spanner", _SPANNER, quote="`", precise=False)
 DIALECTS = {d.name: d for d in (MYSQL, VERTICA, SPANNER)}
 
+# JDBC type codes whose Spark type a database wants otherwise than Spark reads it.
+JDBC_NUMERIC, JDBC_REAL, JDBC_SMALLINT, JDBC_BIT, JDBC_OTHER = 2, 7, 5, -7, 1111
+
+
+def read_type(dialect: Dialect, code: int, type_name: str = "", size: int = 1) -> T.DataType | None:
+    """Spark type of a column read back, where it differs from the default; for ``customSchema``."""
+    if dialect is SPANNER:
+        return T.DecimalType(38, 9) if code == JDBC_NUMERIC else None
+    if dialect is VERTICA:
+        if code == JDBC_BIT and type_name == "bit" and size != 1:
+            return T.BinaryType()
+        return {JDBC_REAL: T.FloatType(), JDBC_SMALLINT: T.ShortType(), JDBC_OTHER: T.StringType()}.get(code)
+    return None
+
 
 @dataclass(frozen=True)
 class TextSizes:

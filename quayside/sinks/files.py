@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs as pa_fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,3 +35,25 @@ def archive_target(base: str, day, job, path="path") -> Column:
 def archive_plan(files: DataFrame, base: str, day: str = "processed_at", job: str = "job_id") -> DataFrame:
     """Where each processed file goes; one row per file."""
     return files.select("path", archive_target(base, day, job).alias("archived")).distinct()
+
+
+def archive(plan: DataFrame) -> DataFrame:
+    """Move files as planned, many at once; returns each file with whether it now lies there.
+
+    A file already moved counts as moved, so a task that runs again does no harm. ``path`` and
+    ``archived`` are URIs or plain paths every task reaches.
+    """
+    def move(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = []
+            for source, target in zip(batch["path"].to_pylist(), batch["archived"].to_pylist()):
+                files, src = pa_fs.FileSystem.from_uri(source)
+                _, dst = pa_fs.FileSystem.from_uri(target)
+                if files.get_file_info(src).type == pa_fs.FileType.File:
+                    files.create_dir(dst.rsplit("/", 1)[0], recursive=True)
+                    files.move(src, dst)
+                done.append(files.get_file_info(dst).type == pa_fs.FileType.File)
+            yield pa.RecordBatch.from_arrays(
+                [batch["path"], batch["archived"], pa.array(done)], names=["path", "archived", "moved"])
+
+    return plan.select("path", "archived").mapInArrow(move, "path string, archived string, moved boolean")

@@ -20,9 +20,16 @@ from quayside.sources.listing import ready_tables, with_table
 BATCH = "batch_id"
 
 
-def text_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Lines of files as they arrive; a Kafka source gives the same ``value`` column."""
+def text_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, archive_to: str | None = None
+) -> DataFrame:
+    """Lines of files as they arrive; a Kafka source gives the same ``value`` column.
+
+    With ``archive_to``, files are put away there once their batch is committed.
+    """
     reader = spark.readStream.format("text")
+    if archive_to:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_to)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.load(path)

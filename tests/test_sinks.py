@@ -226,3 +226,24 @@ def test_hot_partition_folder_is_written_by_several_tasks(spark, shared):
         assert spark.read.parquet(f"{shared}/w").count() == 60000
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+
+
+def test_types_read_back():
+    assert d.read_type(d.SPANNER, d.JDBC_NUMERIC) == T.DecimalType(38, 9)
+    assert d.read_type(d.VERTICA, d.JDBC_REAL) == T.FloatType() and d.read_type(d.VERTICA, d.JDBC_OTHER) == T.StringType()
+    assert d.read_type(d.VERTICA, d.JDBC_BIT, "bit", 8) == T.BinaryType() and d.read_type(d.MYSQL, d.JDBC_REAL) is None
+
+
+def test_archive_moves_once(spark, shared):
+    import pathlib
+
+    folder = pathlib.Path(shared)
+    for n in range(5):
+        (folder / f"f{n}.csv").write_text(str(n))
+    rows = [(f"{shared}/f{n}.csv", "2024-01-02", "j1") for n in range(6)]
+    listed = spark.createDataFrame(rows, "path string, processed_at string, job_id string")
+    plan = files.archive_plan(listed, f"{shared}/done")
+    for _ in range(2):
+        out = {r.path: r.moved for r in files.archive(plan).collect()}
+        assert out == {f"{shared}/f{n}.csv": n < 5 for n in range(6)}
+    assert sorted(p.name for p in (folder / "done/20240102/j1").iterdir()) == [f"f{n}.csv" for n in range(5)]

@@ -79,3 +79,16 @@ def test_publish_resumes(spark, shared):
         ingest.publish_stream(typed, "parquet", {"path": f"{shared}/out"}, f"{shared}/cp", "id").awaitTermination()
     sent = spark.read.parquet(f"{shared}/out")
     assert sent.count() == 200 and set(sent.columns) == {"value", "partitionKey"}
+
+
+def test_source_files_are_archived(spark, shared):
+    import pathlib
+
+    feed(spark, f"{shared}/in", files=2)
+    lines = ingest.text_stream(spark, f"{shared}/in", 1, archive_to=f"{shared}/kept")
+    for _ in range(2):
+        ingest.append_to_files(lines, f"{shared}/out", f"{shared}/cp").awaitTermination()
+        feed_more = spark.range(1).selectExpr("'x' AS value")
+        feed_more.write.mode("append").text(f"{shared}/in")
+    assert list(pathlib.Path(f"{shared}/kept").rglob("*.json"))
+    assert spark.read.parquet(f"{shared}/out").count() == 201
