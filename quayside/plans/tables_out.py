@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyarrow import fs as pa_fs
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from quayside.operators import load
 from quayside.plans.loading import DELTA, TARGET
@@ -103,20 +103,21 @@ class Written(WriterCommitMessage):
     final: str
 
 
-class ItemWriter(DataSourceWriter):
+class ItemWriter(DataSourceArrowWriter):
     """Tasks write hidden files; the commit names those of the tasks that counted."""
 
     def __init__(self, options):
         self.updates = options.get("update", "false")
         self.folder = f"{options['endpoint']}/{options['tableName']}"
 
-    def write(self, rows):
+    def write(self, batches):
         files, folder = pa_fs.FileSystem.from_uri(self.folder)
         files.create_dir(folder, recursive=True)
         name = uuid.uuid4().hex
         with files.open_output_stream(f"{folder}/.{name}") as out:
-            for row in rows:
-                out.write((json.dumps({**row.asDict(), "updated": self.updates}) + "\n").encode())
+            for batch in batches:
+                lines = (json.dumps({**row, "updated": self.updates}) + "\n" for row in batch.to_pylist())
+                out.write("".join(lines).encode())
         return Written(f"{folder}/.{name}", f"{folder}/{name}.json")
 
     def commit(self, messages):
