@@ -61,11 +61,12 @@ def upstream(edges: DataFrame, starts: DataFrame) -> DataFrame:
 def tree_nodes(paths: DataFrame, levels: Sequence[str] = PATH) -> DataFrame:
     """The tree of paths as rows: name, kind, path, parent path and number of children.
 
-    Each level is written down and the next counted from it, so the paths are read once, the work
-    shrinks going up and no node has to hold its whole subtree.
+    Each level is counted from the level below it, so the work shrinks going up and no node has to
+    hold its whole subtree. The count looks at the children's own counts: that keeps the levels a
+    chain whose shuffles are shared, where a plain count would be planned as a new scan per level.
     """
     levels = list(levels)
-    below = saved(paths.select(*levels).distinct().withColumn("children", F.lit(0).cast("long")), "tree-leaves")
+    below = paths.groupBy(*levels).agg((F.count(F.lit(1)) * 0).alias("children"))
     rows = None
     for depth in range(len(levels), 0, -1):
         here = levels[:depth]
@@ -75,5 +76,5 @@ def tree_nodes(paths: DataFrame, levels: Sequence[str] = PATH) -> DataFrame:
             F.concat_ws("/", *here).alias("path"), parent.alias("parent"), "children")
         rows = level if rows is None else rows.unionByName(level)
         if depth > 1:
-            below = saved(below.groupBy(*here[:-1]).agg(F.count(F.lit(1)).alias("children")), "tree-level")
+            below = below.groupBy(*here[:-1]).agg(F.count_if(F.col("children") >= 0).alias("children"))
     return rows

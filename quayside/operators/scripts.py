@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quayside.operators.relational import join_back, running_total
 
 # Comments, the statements that count, and names.
+BLANKS = " \t\n\x0b\f\r"
 COMMENT = r"(?ms)--.*?$|/\*.*?\*/"
 KEPT = r"(?i)^(?:CREATE\s*(?:TEMPORARY\s*)?TABLE|INSERT\s*INTO|UPDATE|DELETE\s*FROM|DROP|MERGE)"
 SESSION = r"(?i)^(?:USE|SET)"
@@ -73,8 +74,9 @@ def statements(scripts: DataFrame) -> DataFrame:
     statements that write, ``session`` for USE and SET, ``skipped`` for the rest.
     """
     pieces = F.split(F.regexp_replace("text", COMMENT, ""), ";")
-    cut = scripts.select("path", F.posexplode(pieces).alias("n", "statement"))
-    cut = cut.select("path", (F.col("n") + 1).alias("n"), F.regexp_replace("statement", r"^\s+|\s+$", "").alias("statement"))
+    trimmed = F.transform(pieces, lambda x: F.btrim(x, F.lit(BLANKS)))
+    cut = scripts.select("path", F.posexplode(trimmed).alias("n", "statement"))
+    cut = cut.select("path", (F.col("n") + 1).alias("n"), "statement")
     s = F.col("statement")
     kind = F.when(s.rlike(KEPT), "kept").when(s.rlike(SESSION), "session").otherwise("skipped")
     return cut.where(s != "").withColumn("kind", kind)

@@ -31,7 +31,7 @@ CONTROL_DEFAULTS = {
     "DERIVED_PARTITION": "False",
     "DERIVED_FORMAT": "",
     "SCD_TYPE_2": "False",
-    "TPT_WITHOUT_IWX_PROCESSING": "False",
+    "TPT_WITHOUT_PROCESSING": "False",
     "USER_MANAGED_TABLE_TARGET_PATH": "",
     "RTRIM_STRING_COLUMNS": "False",
     "CUSTOM_TAGS": "",

@@ -204,7 +204,7 @@ def files_for_date(t):
                bool_and(marked) AS ready FROM d GROUP BY grp""",
 )
 def ready_marker_gate(t):
-    files = t.sql(FILES)
+    files = t.sql(FILES, spread=True)
     data = files.where("path LIKE '%.dat' OR path LIKE '%.DAT'")
     done = data.where("path LIKE '%.dat'").select(F.replace(F.col("path"), F.lit(".dat"), F.lit(".done")).alias("path"))
     named = data.select(F.concat(F.lit("c"), F.col("grp").cast("string")).alias("table_name"), "path")

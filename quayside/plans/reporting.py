@@ -356,7 +356,7 @@ PATHS = """
         UNION ALL SELECT 'system', system, system, NULL, n FROM sy""",
 )
 def lineage_tree(t):
-    return lineage.tree_nodes(t.sql(PATHS.replace('"', "`")))
+    return lineage.tree_nodes(t.sql(PATHS.replace('"', "`"), spread=True))
 
 
 @query(
