@@ -130,13 +130,16 @@ def usage_pairs(items: DataFrame, usage: DataFrame, users: DataFrame) -> DataFra
     """Who uses what: one row per item and user, once; an item without users keeps one row.
 
     ``items``: item_id, item_name; ``usage``: item_id, user_id; ``users``: user_id, user_name.
-    The users of an item stay rows: a set in one cell could not hold those of a popular item.
+    The users of an item stay rows: a set in one cell could not hold those of a popular item. Items
+    join as the smaller side, so the rows of a popular item can be spread over tasks.
     """
-    pairs = usage.select("item_id", "user_id").distinct().join(users, "user_id", "left")
-    named = F.coalesce("user_name", F.lit(DELETED_USER))
-    return items.join(pairs, "item_id", "left").select(
-        "item_id", F.coalesce("item_name", F.col("item_id").cast("string")).alias("item_name"),
-        F.when(F.col("user_id").isNotNull(), named).alias("user_name"))
+    pairs = usage.select("item_id", "user_id").distinct()
+    used = pairs.join(items, "item_id").join(users, "user_id", "left").select(
+        "item_id", "item_name", F.coalesce("user_name", F.lit(DELETED_USER)).alias("user_name"))
+    unused = items.join(pairs, "item_id", "left_anti").select(
+        "item_id", "item_name", F.lit(None).cast("string").alias("user_name"))
+    name = F.coalesce("item_name", F.col("item_id").cast("string"))
+    return used.unionByName(unused).withColumn("item_name", name)
 
 
 def json_values(json_text, key: str) -> Column:

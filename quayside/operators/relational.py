@@ -46,10 +46,12 @@ def duplicate_free(df: DataFrame) -> DataFrame:
 
 
 def join_back(rows: DataFrame, found: DataFrame, on: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Join results to the rows they were made from; nulls meet nulls, so no row is lost."""
-    renamed = found.select(*[F.col(c).alias(f"_on_{i}") for i, c in enumerate(on)], *columns)
-    same = [F.col(c).eqNullSafe(F.col(f"_on_{i}")) for i, c in enumerate(on)]
-    return rows.join(renamed, same)
+    """Join results to the rows they were made from.
+
+    The columns are compared as one struct, in which nulls are equal, so no row is lost.
+    """
+    key = F.struct(*on).alias("_on")
+    return rows.select("*", key).join(found.select(key, *columns), "_on").drop("_on")
 
 
 def running_total(
@@ -60,15 +62,16 @@ def running_total(
     ``block`` cuts a key's rows into consecutive stretches of its order (say, an hour of a
     timestamp), so that no task has to hold all rows of a hot key: sums run within a block, and
     each block adds the total of the blocks before it, for which one row per block is ranked.
-    Exact for integers and decimals.
+    Window and join share one partitioning by key and block, so rows are shuffled once. Exact for
+    integers and decimals.
     """
-    keys = list(keys)
-    parts = df.withColumn("_block", block)
-    totals = parts.groupBy(*keys, "_block").agg(F.sum(value).alias("_amount"))
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.withColumn("_before", F.sum("_amount").over(earlier))
-    local = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    placed = join_back(parts.withColumn("_local", F.sum(value).over(local)), before, [*keys, "_block"], ["_before"])
+    parts = df.withColumn("_on", F.struct(*keys, block.alias("_block")))
+    totals = parts.groupBy("_on").agg(F.sum(value).alias("_amount"))
+    earlier = Window.partitionBy(*[F.col(f"_on.{k}") for k in keys]).orderBy("_on._block")
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select("_on", F.sum("_amount").over(earlier).alias("_before"))
+    local = Window.partitionBy("_on").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = parts.withColumn("_local", F.sum(value).over(local)).join(before, "_on")
     total = F.coalesce(F.col("_before") + F.col("_local"), "_before", "_local")
     return placed.withColumn(out, total).select(*df.columns, out)
 
