@@ -191,9 +191,9 @@ def files_modified_after(t):
     return listing.newest_file(newer, "grp").withColumn("modified", F.col("modified").cast("string"))
 
 
-@query("a12_files_for_date", f"WITH f AS ({FILES}) SELECT path FROM f WHERE contains(path, '_19970528_')")
+@query("a12_files_for_date", f"WITH f AS ({FILES}) SELECT path FROM f WHERE contains(path, '_19950619_')")
 def files_for_date(t):
-    return listing.files_for_date(t.sql(FILES), "_19970528_").select("path")
+    return listing.files_for_date(t.sql(FILES), "_19950619_").select("path")
 
 
 @query(
