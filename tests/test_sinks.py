@@ -247,3 +247,15 @@ def test_archive_moves_once(spark, shared):
         out = {r.path: r.moved for r in files.archive(plan).collect()}
         assert out == {f"{shared}/f{n}.csv": n < 5 for n in range(6)}
     assert sorted(p.name for p in (folder / "done/20240102/j1").iterdir()) == [f"f{n}.csv" for n in range(5)]
+
+
+def test_task_code_travels_without_the_package():
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    sent = cloudpickle.dumps(lambda n: list(partitioned.RetryPolicy().delays())[:n])
+    read = "import sys; from pyspark import cloudpickle; print(cloudpickle.loads(sys.stdin.buffer.read())(2))"
+    out = subprocess.run([sys.executable, "-c", read], input=sent, capture_output=True, cwd="/", timeout=60)
+    assert out.stdout.decode().strip().endswith("[0.5, 0.75]"), out.stderr
