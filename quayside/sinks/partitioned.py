@@ -54,10 +54,18 @@ class RetryPolicy:
         for wait in self.delays():
             try:
                 return action()
-            except self.retry_on:
+            except Exception as e:
+                if not self.covers(e):
+                    raise
                 sleep(wait * random.uniform(0.9, 1.0))
         return action()
 
+    def covers(self, error: Exception) -> bool:
+        """Compared by name: task code is sent by value, so the class a writer imports on an
+        executor is not the same object as the class named here."""
+        names = {t.__qualname__ for t in self.retry_on}
+        return any(c.__qualname__ in names for c in type(error).__mro__)
+
 
 def batch_rows(n_columns: int, wanted: int | None = None) -> int:
     """Rows of a batch: the wanted number, but a cell is a mutation and a commit has a limit."""
