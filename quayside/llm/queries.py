@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import mixing, url_rules
+from quayside.llm import decontamination, mixing, quality, secrets, sharding, token_files, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str | None] = {}
@@ -17,6 +17,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+END_ID = 2
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, oracle: str | None = None):
     def register(build):
         QUERIES[name] = build
@@ -26,6 +35,31 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+@query("op2_sharding")
+def op2_sharding(spark, sf_dir):
+    placed = sharding.assign_shards(table(spark, sf_dir, "documents"), 40)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+@query("op3_secrets")
+def op3_secrets(spark, sf_dir):
+    return secrets.secret_report(table(spark, sf_dir, "documents")).withColumnRenamed("_id", "doc_id")
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark, sf_dir):
+    report = decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return report.withColumnRenamed("_id", "doc_id").drop("_h")
+
+
+@query("op5_quality")
+def op5_quality(spark, sf_dir):
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality.quality_report(table(spark, sf_dir, "documents"), trusted)
+
+
 @query("op6_mixing")
 def op6_mixing(spark, sf_dir):
     plan = mixing.mix_plan(table(spark, sf_dir, "documents"))
@@ -35,6 +69,12 @@ def op6_mixing(spark, sf_dir):
     )
 
 
+@query("op8_token_files")
+def op8_token_files(spark, sf_dir):
+    read = token_files.encoded(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=END_ID)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query("op10_url_rules")
 def op10_url_rules(spark, sf_dir):
     return url_rules.url_verdicts(table(spark, sf_dir, "pages"), [*url_rules.LISTED, *url_rules.UNLISTED])

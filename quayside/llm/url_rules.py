@@ -63,13 +63,13 @@ def host_word_rule(word: str, verdict: str = "block") -> Rule:
 
 def host_of(url: Column) -> Column:
     """What follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z in lower case."""
-    rest = F.regexp_extract(url, r"^(?s)(?:(?!://).)*://([^/?#]*)", 1)
+    rest = F.regexp_extract(url, r"(?s)^.*?://([^/?#]*)", 1)
     return F.translate(rest, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def path_of(url: Column) -> Column:
     """What follows the host up to ``?``, ``#`` or the end."""
-    return F.regexp_extract(url, r"^(?s)(?:(?!://).)*://[^/?#]*([^?#]*)", 1)
+    return F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
 def url_verdicts(
