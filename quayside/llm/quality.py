@@ -18,7 +18,7 @@ BUCKETS = 1 << 16
 # their ids may be sent to every executor.
 TRUSTED_ROWS = 50_000
 # Mean log ratio from which on a text is kept.
-THRESHOLD = -0.25
+THRESHOLD = -0.2
 REPEAT_WINDOW = 8
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontamination, mixing, quality, secrets, sharding, token_files, url_rules
+from quayside.llm import decontamination, mixing, quality, secrets, sharding, simhash, suffix_dedup, token_files, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str | None] = {}
@@ -35,6 +35,12 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
+@query("op1_suffix_dedup")
+def op1_suffix_dedup(spark, sf_dir):
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_sharding")
 def op2_sharding(spark, sf_dir):
     placed = sharding.assign_shards(table(spark, sf_dir, "documents"), 40)
@@ -75,6 +81,12 @@ def op8_token_files(spark, sf_dir):
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query("op9_simhash")
+def op9_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=2)
+    return found.select(F.col("_id").alias("doc_id"), simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @query("op10_url_rules")
 def op10_url_rules(spark, sf_dir):
     return url_rules.url_verdicts(table(spark, sf_dir, "pages"), [*url_rules.LISTED, *url_rules.UNLISTED])

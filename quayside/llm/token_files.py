@@ -37,11 +37,11 @@ LEVEL = 3
 KNOWN_PIECES = 300_000
 # Fixed values of the seekable zstandard format.
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
-ENTRY, FOOTER = struct.Struct("<III"), struct.Struct("<IBI")
+ENTRY, FOOTER = "<III", "<IBI"
 DIRECTORY = np.dtype([("has_id", "u1"), ("doc_id", "<i8"), ("start", "<u8"), ("n", "<u8"), ("frame", "<u4"), ("at", "<u4")])
 # Blanks to Python that are none to the tokenizer.
-SEPARATORS = re.compile("[\x1c-\x1f]")
-BLANKS = re.compile(r"[ \t\n\r\f\v]+")
+SEPARATORS = "[\x1c-\x1f]"
+BLANKS = r"[ \t\n\r\f\v]+"
 
 
 class Encoder:
@@ -110,7 +110,7 @@ class Encoder:
         pieces: list = []
         counts = []
         for text in texts:
-            own = [p for p in BLANKS.split(text) if p] if SEPARATORS.search(text) else text.split()
+            own = [p for p in re.split(BLANKS, text) if p] if re.search(SEPARATORS, text) else text.split()
             pieces += own
             pieces.append(None)
             counts.append(len(own) + 1)
@@ -142,7 +142,7 @@ class FileWriter:
 
         packed = self.pack(data)
         self.sink.write(packed)
-        self.table.append(ENTRY.pack(len(packed), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
+        self.table.append(struct.pack(ENTRY, len(packed), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
 
     def _flush(self) -> None:
         if self.held:
@@ -160,7 +160,7 @@ class FileWriter:
     def close(self) -> None:
         self._flush()
         self._frame(bytes([VERSION, self.width]) + np.array(self.docs, dtype=DIRECTORY).tobytes())
-        table = b"".join(self.table) + FOOTER.pack(len(self.table), CHECKSUMS, SEEKABLE)
+        table = b"".join(self.table) + struct.pack(FOOTER, len(self.table), CHECKSUMS, SEEKABLE)
         self.sink.write(struct.pack("<II", SKIPPABLE, len(table)) + table)
         self.sink.close()
 
@@ -171,11 +171,11 @@ class FileReader:
     def __init__(self, source):
         self.source = source
         size = source.size()
-        frames, flags, magic = FOOTER.unpack(self._at(size - FOOTER.size, FOOTER.size))
+        frames, flags, magic = struct.unpack(FOOTER, self._at(size - struct.calcsize(FOOTER), struct.calcsize(FOOTER)))
         if magic != SEEKABLE or not flags & CHECKSUMS:
             raise ValueError("not a seekable file with checksums")
-        raw = self._at(size - FOOTER.size - frames * ENTRY.size, frames * ENTRY.size)
-        self.entries = list(ENTRY.iter_unpack(raw))
+        raw = self._at(size - struct.calcsize(FOOTER) - frames * struct.calcsize(ENTRY), frames * struct.calcsize(ENTRY))
+        self.entries = list(struct.iter_unpack(ENTRY, raw))
         self.offsets = [0, *itertools.accumulate(e[0] for e in self.entries)]
         head = self.frame(frames - 1)
         if head[0] != VERSION:
