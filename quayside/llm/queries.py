@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontamination, mixing, quality, secrets, sharding, simhash, suffix_dedup, token_files, url_rules
+from quayside.llm import decontamination, mixing, quality, secrets, sharding, simhash, suffix_dedup, token_files, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str | None] = {}
@@ -75,6 +75,11 @@ def op6_mixing(spark, sf_dir):
     )
 
 
+@query("op7_toxicity")
+def op7_toxicity(spark, sf_dir):
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query("op8_token_files")
 def op8_token_files(spark, sf_dir):
     read = token_files.encoded(table(spark, sf_dir, "documents"), tokenizer_path(), end_id=END_ID)
