@@ -1,10 +1,63 @@
-"""The corpus pipeline: documents through five operators, each stage on all its predecessor kept."""
+"""The corpus pipeline: documents through five operators, each stage on all its predecessor kept.
+
+Every stage is a function of ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the last return
+the columns of ``docs``. ``run`` writes each stage as Parquet in the shared folder and reads it again
+for the next, so that a lost executor costs no more than the stage it was lost in.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quayside.llm import decontamination, mixing, simhash, token_files, toxicity
+from quayside.llm.queries import END_ID, table, tokenizer_path
+from quayside.session import scratch_path
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model of all labelled rows scores below its cut."""
+    model = toxicity.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.not_toxic(docs, model)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near fingerprints: the one with the smallest id."""
+    return simhash.deduplicated(docs, shingle=3, distance=2)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of ten words, or a whole shorter item, of the benchmark."""
+    return decontamination.decontaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixing.mixed(docs)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` of each document of the mix, read back from its token files."""
+    read = token_files.encoded(docs, tokenizer_path(), end_id=END_ID)
+    return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("mixing_sources", mix_sources),
+    ("token_files", write_tokens),
+]
+
+# Models, fingerprints and tokenizers are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from quayside.session import saved
 
 BUCKETS = 1 << 20
-HEADS = (4, 5, 6)
+HEADS = (3, 4, 5, 6)
 EDGES = ".,;:!?\"'()[]{}<>«»„“”‘’-–—*#_~`|/\\"
 # Labelled rows that a class is fitted on, by smallest hash of their id, and terms that are kept.
 FIT_ROWS = 10_000
@@ -99,9 +99,14 @@ def fit(terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, *, seed:
     weights, vectors = np.zeros(len(terms)), np.random.default_rng(seed).normal(0, 0.02, (len(terms), FACTORS))
     if not len(terms) or not 0 < share < 1:
         return FactorizationMachine(terms, bias, weights, np.zeros_like(vectors))
+    # rows with the same terms and label, as the many without any, are one row that weighs more
+    alike, weigh = np.unique(np.array([f"{int(y)}:{','.join(map(str, r.tolist()))}" for y, r in zip(labels, rows, strict=True)]), return_counts=True)
+    labels = np.array([float(x.partition(":")[0]) for x in alike])
+    rows = [np.array(x.partition(":")[2].split(",") if x[2:] else [], dtype=np.int64) for x in alike.tolist()]
+    worth = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) * weigh / n
+    n = len(rows)
     sizes = np.fromiter(map(len, rows), dtype=np.int64, count=n)
-    at, row = np.concatenate(rows).astype(np.int64), np.repeat(np.arange(n), sizes)
-    worth = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) / n
+    at, row = np.concatenate(rows), np.repeat(np.arange(n), sizes)
     bias = 0.0
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (np.zeros(1), weights, vectors)]
     for step in range(1, STEPS + 1):
