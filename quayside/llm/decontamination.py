@@ -16,11 +16,11 @@ from quayside.session import saved
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# The words of a text that is not put in lower case yet.
-CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 # Tables counted to have no more rows than these are sent to every executor, larger ones shuffled.
 BROADCAST_TERMS = 200_000
-BROADCAST_STARTS = 100_000
+BROADCAST_DOCUMENTS = 500_000
+# No word is empty, so the end of a text can be filed under the empty term.
+END = ""
 
 
 def lowered(text: Column) -> Column:
@@ -38,48 +38,86 @@ def _sent(df: DataFrame, most: int) -> DataFrame:
 
 
 def phrases(benchmark: DataFrame, *, item_col: str, text_col: str, words: int) -> DataFrame:
-    """``item, phrase, terms``: each run of ``words`` words of an item; a shorter item is one run."""
+    """``item, phrase, terms, pid``: each run of ``words`` words of an item; a shorter item is one run.
+
+    ``pid`` is the hash of the phrase, by which it travels through shuffles.
+    """
     cut = benchmark.select(F.col(item_col).alias("item"), words_of(F.col(text_col)).alias("_w")).where(F.size("_w") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("_w") - (words - 1), F.lit(1)))
     runs = cut.select("item", F.explode(F.transform(starts, lambda i: F.slice("_w", i, words))).alias("terms"))
-    return runs.select("item", F.array_join("terms", " ").alias("phrase"), "terms")
+    runs = runs.select("item", F.array_join("terms", " ").alias("phrase"), "terms")
+    return runs.withColumn("pid", F.xxhash64("phrase"))
 
 
-def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """The postings ``term, _id, _h, pos`` of ``terms`` in all documents, written once."""
-    tokens = docs.select("_id", "_h", F.posexplode(words_of(F.col("_text"))).alias("pos", "term"))
-    return saved(tokens.join(_sent(terms, BROADCAST_TERMS), "term"), "postings")
+def _tokens(docs: DataFrame, *columns: str) -> DataFrame:
+    """``columns, pos, tid`` of every word, by the hash of the term, and of the end of the text."""
+    each = docs.select(*columns, F.posexplode(F.concat(words_of(F.col("_text")), F.array(F.lit(END)))).alias("pos", "term"))
+    return each.select(*columns, "pos", F.xxhash64("term").alias("tid"))
 
 
-def phrase_starts(docs: DataFrame, phrase_terms: DataFrame, *, lists: int, slop: int) -> DataFrame:
-    """``_id, _h, phrase, start, exact`` where the rarest terms of a phrase meet.
+def rarest_terms(docs: DataFrame, runs: DataFrame, *, lists: int) -> DataFrame:
+    """``pid, tid, offset, rank`` of the ``lists`` terms of each phrase that the documents hold least.
 
-    ``phrase_terms`` has ``phrase, terms``, one row per phrase. The ``lists`` rarest terms of each
-    phrase are intersected, the rarest first; ``exact`` tells places where all agree on the start
-    from those where they agree to within ``slop`` words. A phrase with a term that no document
-    has is not looked up at all.
+    A phrase with a term that no document has cannot occur and is left out.
     """
-    placed = phrase_terms.select("phrase", F.posexplode("terms").alias("offset", "term"))
-    vocabulary = _sent(placed.select("term").distinct(), BROADCAST_TERMS)
-    tokens = docs.select(F.explode(words_of(F.col("_text"))).alias("term"))
-    seen = saved(tokens.join(vocabulary, "term").groupBy("term").agg(F.count("*").alias("n")), "term-counts")
-    ranked = placed.join(_sent(seen, BROADCAST_TERMS), "term", "left")
-    by_phrase = Window.partitionBy("phrase")
+    placed = runs.select("pid", "terms").dropDuplicates(["pid"]).select("pid", F.posexplode("terms").alias("offset", "term"))
+    placed = placed.select("pid", "offset", F.xxhash64("term").alias("tid"))
+    vocabulary = _sent(placed.select("tid").distinct(), BROADCAST_TERMS)
+    seen = saved(_tokens(docs).join(vocabulary, "tid").groupBy("tid").agg(F.count("*").alias("n")), "term-counts")
+    ranked = placed.join(_sent(seen, BROADCAST_TERMS), "tid", "left")
+    by_phrase = Window.partitionBy("pid")
     ranked = ranked.withColumn("missing", F.max(F.col("n").isNull()).over(by_phrase)).where("not missing")
     ranked = ranked.withColumn("rank", F.row_number().over(by_phrase.orderBy("n", "offset")))
-    led = saved(ranked.where(F.col("rank") <= lists).select("phrase", "term", "offset", "rank"), "phrase-terms")
-    postings = build_index(docs, led.select("term").distinct())
-    met = postings.join(_sent(led, BROADCAST_TERMS), "term").select(
-        "_id", "_h", "phrase", "rank", (F.col("pos") - F.col("offset")).alias("start")
+    return saved(ranked.where(F.col("rank") <= lists).select("pid", "tid", "offset", "rank"), "phrase-terms")
+
+
+def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """The postings ``_id, _h, pos, tid`` of ``terms`` in all documents, written once.
+
+    The end of every text is filed too, so a text's posting of ``END`` holds its number of words.
+    """
+    end = docs.sparkSession.range(1).select(F.xxhash64(F.lit(END)).alias("tid"))
+    wanted = terms.select("tid").unionByName(end).distinct()
+    return saved(_tokens(docs, "_id", "_h").join(_sent(wanted, BROADCAST_TERMS), "tid"), "postings")
+
+
+def phrase_starts(postings: DataFrame, led: DataFrame, *, lists: int, slop: int) -> DataFrame:
+    """``_id, _h, pid, start, exact`` where the rarest terms of a phrase meet.
+
+    Each posting is moved back by the term's offset in the phrase. ``exact`` tells places where all
+    lists of the phrase agree on the start from those where they agree to within ``slop`` words.
+    Postings are shuffled by document before they meet the phrases, which then need no shuffle.
+    """
+    met = postings.repartition("_id", "_h").join(_sent(led, BROADCAST_TERMS), "tid").select(
+        "_id", "_h", "pid", "rank", (F.col("pos") - F.col("offset")).alias("start")
     )
-    places = Window.partitionBy("_id", "_h", "phrase").orderBy("start")
+    places = Window.partitionBy("_id", "_h", "pid").orderBy("start")
     at, near = places.rangeBetween(0, 0), places.rangeBetween(-slop, slop)
-    needed = led.groupBy("phrase").agg(F.max("rank").alias("needed"))
     lists_at = sum(F.max((F.col("rank") == k).cast("int")).over(at) for k in range(1, lists + 1))
     lists_near = sum(F.max((F.col("rank") == k).cast("int")).over(near) for k in range(1, lists + 1))
+    needed = led.groupBy("pid").agg(F.max("rank").alias("needed"))
     met = met.withColumn("_at", lists_at).withColumn("_near", lists_near).where("rank = 1")
-    met = met.join(_sent(needed, BROADCAST_TERMS), "phrase").where(F.col("_near") == F.col("needed"))
-    return met.select("_id", "_h", "phrase", "start", ((F.col("_at") == F.col("needed")) & (F.col("start") >= 0)).alias("exact")).distinct()
+    met = met.join(_sent(needed, BROADCAST_TERMS), "pid").where(F.col("_near") == F.col("needed"))
+    exact = (F.col("_at") == F.col("needed")) & (F.col("start") >= 0)
+    return saved(met.select("_id", "_h", "pid", "start", exact.alias("exact")).distinct(), "phrase-starts")
+
+
+def _verified(texts: DataFrame, starts: DataFrame, names: DataFrame) -> DataFrame:
+    """``_id, _h, pid, start`` of the exact starts at which the text holds the phrase word by word."""
+    asked = starts.join(_sent(names, BROADCAST_TERMS), "pid").groupBy("_id", "_h").agg(
+        F.collect_set(F.struct("start", "pid", "phrase")).alias("_asked")
+    )
+    asked = saved(asked.toDF("_i", "_x", "_asked"), "phrase-questions")
+    met = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_x"))
+    if asked.count() <= BROADCAST_DOCUMENTS:  # then only texts with a question are shuffled
+        texts = texts.join(F.broadcast(asked.select("_i", "_x")), met, "left_semi")
+    held = texts.join(asked, met).select("_id", "_h", words_of(F.col("_text")).alias("_w"), "_asked")
+
+    def agrees(place: Column) -> Column:
+        size = F.size(F.split(place["phrase"], " "))
+        return F.array_join(F.slice("_w", place["start"] + 1, size), " ") == place["phrase"]
+
+    return held.select("_id", "_h", F.explode(F.filter("_asked", agrees)).alias("p")).select("_id", "_h", "p.pid", "p.start").distinct()
 
 
 def benchmark_matches(
@@ -93,45 +131,38 @@ def benchmark_matches(
     words: int = 10,
     lists: int = 2,
     slop: int = 3,
-) -> tuple[DataFrame, DataFrame]:
-    """``(matches, items)``.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(matches, items, texts)``.
 
     ``matches``: ``_id, _h, phrase, start, n, exact``, one row per place; ``exact`` rows are
     verified word by word, the others are places where only the rarest terms meet, within
-    ``slop`` words. ``items``: ``phrase, item``, which items hold a phrase. ``_h`` is the hash of the
-    document's text; rows equal in id and text count as one document. A null or empty text, or one
-    without words, matches nothing on either side. Empty tables give no rows.
+    ``slop`` words. ``items``: ``phrase, item``, which items hold a phrase. ``texts``: ``_id, _h,
+    n_words`` of every row of ``docs``. ``_h`` is the hash of the document's text; rows equal in id
+    and text count as one document. A null or empty text, or one without words, matches nothing on
+    either side. Empty tables give no rows.
     """
     texts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_h"), F.col(text_col).alias("_text"))
     runs = phrases(benchmark, item_col=item_col, text_col=item_text_col, words=words)
-    items = saved(runs.select("phrase", "item").distinct(), "phrase-items")
-    starts = saved(phrase_starts(texts, runs.select("phrase", "terms").dropDuplicates(["phrase"]), lists=lists, slop=slop), "phrase-starts")
-    loose = starts.where("not exact").select("_id", "_h", "phrase", "start")
-    asked = starts.where("exact").groupBy("_id", "_h").agg(F.collect_set(F.struct("start", "phrase")).alias("_asked"))
-    few = starts.where("exact").count() <= BROADCAST_STARTS
-    named = (F.broadcast(asked) if few else asked).toDF("_i", "_x", "_asked")
-    met = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_x"))
-    held = texts.join(named, met).select("_id", "_h", words_of(F.col("_text")).alias("_w"), "_asked")
-
-    def agrees(place: Column) -> Column:
-        size = F.size(F.split(place["phrase"], " "))
-        return F.array_join(F.slice("_w", place["start"] + 1, size), " ") == place["phrase"]
-
-    found = held.select("_id", "_h", F.explode(F.filter("_asked", agrees)).alias("p")).select(
-        "_id", "_h", "p.phrase", "p.start", F.lit(True).alias("exact")
-    )
-    matches = found.distinct().unionByName(loose.withColumn("exact", F.lit(False)))
-    return saved(matches.withColumn("n", F.size(F.split("phrase", " "))), "matches"), items
-
-
-def contamination_report(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    runs = saved(runs, "phrases")
+    names = runs.select("pid", "phrase").distinct()
+    led = rarest_terms(texts, runs, lists=lists)
+    postings = build_index(texts, led)
+    starts = phrase_starts(postings, led, lists=lists, slop=slop)
+    found = _verified(texts, starts.where("exact"), names).withColumn("exact", F.lit(True))
+    loose = starts.where("not exact").select("_id", "_h", "pid", "start").withColumn("exact", F.lit(False))
+    matches = saved(found.unionByName(loose).join(_sent(names, BROADCAST_TERMS), "pid").drop("pid"), "matches")
+    ends = postings.where(F.col("tid") == F.xxhash64(F.lit(END))).select("_id", "_h", F.col("pos").cast("long").alias("n_words"))
+    return matches.withColumn("n", F.size(F.split("phrase", " "))), runs.select("phrase", "item").distinct(), ends
+
+
+def contamination_report(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """One row per document: ``_id, _h, n_words, n_hit, n_items, items_sha256, n_near, contaminated``.
 
     ``n_hit`` counts the words inside any exact match, ``n_items`` the items with one, ``n_near``
     the phrases met by proximity only. Repeated rows each get their row, a null id is kept.
     Options and edge cases are those of ``benchmark_matches``.
     """
-    matches, items = benchmark_matches(docs, benchmark, id_col=id_col, text_col=text_col, **options)
+    matches, items, texts = benchmark_matches(docs, benchmark, **options)
     exact = matches.where("exact")
     spans = F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("n")).alias("end"))))
 
@@ -146,19 +177,13 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, *, id_col: str =
     )
     near = matches.where("not exact").groupBy("_id", "_h").agg(F.countDistinct("phrase").alias("n_near"))
     per = (
-        hit.withColumn("items", F.lit(None).cast("array<string>")).withColumn("n_near", F.lit(None).cast("long"))
-        .unionByName(whose.withColumn("n_hit", F.lit(None).cast("int")).withColumn("n_near", F.lit(None).cast("long")))
-        .unionByName(near.withColumn("n_hit", F.lit(None).cast("int")).withColumn("items", F.lit(None).cast("array<string>")))
+        hit.unionByName(whose, allowMissingColumns=True).unionByName(near, allowMissingColumns=True)
         .groupBy(F.col("_id").alias("_i"), F.col("_h").alias("_x"))
         .agg(F.max("n_hit").alias("n_hit"), F.max("items").alias("items"), F.max("n_near").alias("n_near"))
     )
-    rows = docs.select(
-        F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_h"),
-        F.coalesce(F.regexp_count(F.col(text_col), F.lit(CASED_WORD)), F.lit(0)).cast("long").alias("n_words"),
-    )
     met = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_x"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
-    return rows.join(per, met, "left").select(
+    return texts.join(per, met, "left").select(
         "_id", "_h", "n_words", n_hit.alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(F.coalesce(F.array_join("items", ","), F.lit("")), 256).alias("items_sha256"),
@@ -169,7 +194,7 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, *, id_col: str =
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without an exact match, with their columns."""
-    matches, _ = benchmark_matches(docs, benchmark, id_col=id_col, text_col=text_col, **options)
+    matches, _, _ = benchmark_matches(docs, benchmark, id_col=id_col, text_col=text_col, **options)
     hit = matches.where("exact").select(F.col("_id").alias("_hit_id"), F.col("_h").alias("_hit_h")).distinct()
     met = F.col(id_col).eqNullSafe(F.col("_hit_id")) & (F.xxhash64(F.col(text_col)) == F.col("_hit_h"))
-    return docs.join(_sent(hit, BROADCAST_TERMS), met, "left_anti")
+    return docs.join(_sent(hit, BROADCAST_DOCUMENTS), met, "left_anti")
