@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import decontamination, mixing, quality, secrets, sharding, simhash, suffix_dedup, token_files, toxicity, url_rules
+from quayside.llm import decontamination, mixing, oracles, quality, secrets, sharding, simhash, suffix_dedup, token_files, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str | None] = {}
@@ -35,7 +35,7 @@ def query(name: str, oracle: str | None = None):
     return register
 
 
-@query("op1_suffix_dedup")
+@query("op1_suffix_dedup", oracles.REPEATS)
 def op1_suffix_dedup(spark, sf_dir):
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -49,15 +49,15 @@ def op2_sharding(spark, sf_dir):
     )
 
 
-@query("op3_secrets")
+@query("op3_secrets", oracles.SECRETS)
 def op3_secrets(spark, sf_dir):
     return secrets.secret_report(table(spark, sf_dir, "documents")).withColumnRenamed("_id", "doc_id")
 
 
-@query("op4_decontamination")
+@query("op4_decontamination", oracles.LEAKS)
 def op4_decontamination(spark, sf_dir):
     report = decontamination.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return report.withColumnRenamed("_id", "doc_id").drop("_h")
+    return report.withColumnRenamed("_id", "doc_id").drop("_h", "n_near")
 
 
 @query("op5_quality")
@@ -92,6 +92,6 @@ def op9_simhash(spark, sf_dir):
     return found.select(F.col("_id").alias("doc_id"), simhash.fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-@query("op10_url_rules")
+@query("op10_url_rules", oracles.URLS)
 def op10_url_rules(spark, sf_dir):
     return url_rules.url_verdicts(table(spark, sf_dir, "pages"), [*url_rules.LISTED, *url_rules.UNLISTED])
