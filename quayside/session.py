@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,23 +19,33 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session, where driver and
-    executors are one machine, may fall back to a temporary folder.
+    The cluster names it in ``spark.checkpoint.dir``; where that is unset, a folder of the
+    warehouse is used, which tables share as well.
     """
-    named = spark.conf.get(CHECKPOINT_DIR, None)
-    if named:
-        return named
-    sc = spark.sparkContext
-    if not sc.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder shared by all executors")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="quayside-"))
-    return sc.getCheckpointDir()
+    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_quayside"
+
+
+_made: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared one; never reused, so a rerun cannot read old output."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete every scratch folder this process has named, and say how many there were.
+
+    For the end of a job: frames that were read from them cannot be used any more.
+    """
+    jvm, conf, gone = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    while _made:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        gone += path.getFileSystem(conf).delete(path, True)
+    return gone
 
 
 def saved(df, label: str, partition_by: list[str] | None = None):
@@ -54,12 +63,3 @@ def saved(df, label: str, partition_by: list[str] | None = None):
     back = spark.read.schema(df.schema).parquet(path)
     return back.select(*df.columns)
 
-
-def spread_small(df):
-    """Use all cores on a scan that came in fewer pieces than there are cores.
-
-    Meant ahead of costly expressions. A scan with enough splits, as any large table has, is
-    returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
