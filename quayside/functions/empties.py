@@ -6,7 +6,6 @@ Functions differ on purpose in whether '' counts as missing; each docstring says
 from __future__ import annotations
 
 from collections.abc import Mapping
-from itertools import chain
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,9 +17,6 @@ from quayside.functions.text import _col, jtrim
 REGION_CODES = {"Q": "IL", "M": "MI", "G": "IN", "J": "OH", "E": "WI"}
 REGION_UNKNOWN = "??"
 
-# A longer mapping becomes one map literal instead of a long CASE.
-_CASE_LIMIT = 40
-
 
 def blank_to_null(c) -> Column:
     return F.nullif(_col(c), F.lit(""))
@@ -32,15 +28,11 @@ def empty_to_null(c, _unused=None) -> Column:
 
 
 def case_when_map(c, pairs: Mapping, default=None) -> Column:
-    """Value of the first key equal to ``c``; ``default`` on a miss and for null."""
+    """Value of the first key equal to ``c``; ``default`` on a miss and for null. A null key equals nothing."""
     c = _col(c)
     fallback = F.lit(default)
     if not pairs:
         return fallback
-    if len(pairs) > _CASE_LIMIT:
-        table = F.create_map(*[F.lit(x) for x in chain.from_iterable(pairs.items())])
-        hit = F.coalesce(F.map_contains_key(table, F.coalesce(c, F.lit(""))), F.lit(False))
-        return F.when(c.isNotNull() & hit, table[c]).otherwise(fallback)
     result = None
     for key, value in pairs.items():
         branch = (c == F.lit(key), F.lit(value))

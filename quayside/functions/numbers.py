@@ -17,6 +17,9 @@ _SHAPES = {
     "float": _FRACTION, "double": _FRACTION, "decimal": _FRACTION,
 }
 
+# What operands of an exact division are read as: 20 digits before the point, 18 behind.
+EXACT = "decimal(38,18)"
+
 # Fixed value: marks text that was present but not a number.
 NOT_A_NUMBER_MARK = -1.0
 
@@ -36,8 +39,12 @@ def decimal_cleanup(c) -> Column:
 
 
 def divide(a, b, to: str = "double") -> Column:
-    """Quotient of two numbers or number texts; null when the divisor is zero or unreadable."""
-    return F.try_divide(read_as(a, "double"), read_as(b, "double")).cast(to)
+    """Quotient of two numbers or number texts; null when the divisor is zero or unreadable.
+
+    A decimal quotient is made of decimals, so no digit goes by way of a double.
+    """
+    kind = EXACT if to.lower().startswith("decimal") else "double"
+    return F.try_divide(read_as(a, kind), read_as(b, kind)).cast(to)
 
 
 def empty_to_double(c) -> Column:

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from quayside.operators.schema import resolve
 
-_JOINERS = re.compile(r"\[(and|or)\]", re.I)
+# A joiner, or a quoted text, which may hold what looks like one.
+_JOINERS = re.compile(r"'(?:[^']|'')*'|\[(?P<joiner>and|or)\]", re.I)
 # The operators a condition may use. A word operator needs blanks around it, so a
 # column such as l_linenumber is not cut at "in".
 _CONDITION = re.compile(
@@ -31,11 +32,11 @@ def subset_filter(df: DataFrame, rule: str) -> DataFrame:
     """
     if not rule or not rule.strip():
         return df
-    parts = _JOINERS.split(rule)
-    text = _condition(df, parts[0])
-    for joiner, part in zip(parts[1::2], parts[2::2]):
-        text += f" {joiner.upper()} {_condition(df, part)}"
-    return df.where(F.expr(text))
+    text, start = "", 0
+    for joiner in (m for m in _JOINERS.finditer(rule) if m["joiner"]):
+        text += f"{_condition(df, rule[start:joiner.start()])} {joiner['joiner'].upper()} "
+        start = joiner.end()
+    return df.where(F.expr(text + _condition(df, rule[start:])))
 
 
 def _condition(df: DataFrame, text: str) -> str:

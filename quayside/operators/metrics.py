@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -42,7 +43,8 @@ def job_metrics_fact(metrics: DataFrame, order: Sequence[str]) -> DataFrame:
     """One row per job and table.
 
     Of several rows the capture row gives the fetched rows and the merge row the target's state,
-    and the job counts as incremental; a single row stands for itself. Rows of one kind are
+    and the job counts as incremental; a single row stands for itself, as does the first of several
+    that are neither of the two. Rows of one kind are
     ordered by ``order`` and the first is used. One aggregate with map-side combining.
     """
     def first_of(kind, columns):
@@ -56,7 +58,7 @@ def job_metrics_fact(metrics: DataFrame, order: Sequence[str]) -> DataFrame:
         first_of(CDC, _FROM_CDC).alias("_cdc"),
         first_of(MERGE, _FROM_MERGE).alias("_merge"),
     )
-    several = F.col("_n") > 1
+    several = (F.col("_n") > 1) & (F.col("_cdc").isNotNull() | F.col("_merge").isNotNull())
     chosen = {c: F.when(several, F.col(f"_cdc._{c}")).otherwise(F.col(f"_one._{c}")) for c in _FROM_CDC}
     chosen |= {c: F.when(several, F.col(f"_merge._{c}")).otherwise(F.col(f"_one._{c}")) for c in _FROM_MERGE}
     single = F.when(F.col("_one._job_type") == CDC, INCREMENTAL).otherwise(F.col("_one._job_type"))
@@ -143,9 +145,17 @@ def usage_pairs(items: DataFrame, usage: DataFrame, users: DataFrame) -> DataFra
 
 
 def json_values(json_text, key: str) -> Column:
-    """Every text stored under ``key`` at any depth of a JSON text."""
-    pattern = f'"{key}"\\s*:\\s*"([^"]*)"'
-    return F.array_distinct(F.regexp_extract_all(F.col(json_text), F.lit(pattern), F.lit(1)))
+    """Every text or number stored under ``key`` at any depth of a JSON text, alone or in a list.
+
+    A value is found by its shape and decoded by the JSON reader, escapes included; null, true,
+    false and objects give nothing.
+    """
+    value = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9][0-9.eE+-]*|\[[^\[\]{}]*+\]'
+    pattern = rf'"{re.escape(key)}"\s*:\s*({value})'
+    found = F.regexp_extract_all(F.col(json_text), F.lit(pattern), F.lit(1))
+    listed = F.transform(found, lambda v: F.when(F.startswith(v, F.lit("[")), v).otherwise(F.concat(F.lit("["), v, F.lit("]"))))
+    read = F.flatten(F.transform(listed, lambda v: F.coalesce(F.from_json(v, "array<string>"), F.array().cast("array<string>"))))
+    return F.array_distinct(F.array_compact(read))
 
 
 def secret_usage(sources: DataFrame, key: str = "secret_id") -> DataFrame:

@@ -143,3 +143,16 @@ def test_sql_functions_match_columns(spark):
     for text, column in pairs.items():
         by_name = [r[0] for r in spark.sql(f"SELECT {text} FROM edge").collect()]
         assert by_name == [r[0] for r in spark.table("edge").select(column).collect()], text
+
+
+def test_a_long_map_is_read_as_a_short_one(spark):
+    pairs = {f"k{i}": i for i in range(45)} | {None: 99}
+    df = spark.createDataFrame([("k1",), ("k44",), (None,), ("x",), ("",)], "c string")
+    for some in (pairs, {k: pairs[k] for k in ("k1", "k44", None)}):
+        assert [r[0] for r in df.select(fn.case_when_map("c", some, -1)).collect()] == [1, 44, -1, -1, -1]
+
+
+def test_decimals_are_divided_as_decimals(spark):
+    df = spark.sql("SELECT CAST('12345678901234567890' AS DECIMAL(38,6)) AS a, CAST(1 AS DECIMAL(38,6)) AS b, 'x' AS t")
+    row = df.select(fn.divide("a", "b", "decimal(38,6)"), fn.divide("t", "b", "decimal(38,6)"), fn.divide("a", F.lit(0), "decimal(38,6)")).first()
+    assert str(row[0]) == "12345678901234567890.000000" and row[1] is None and row[2] is None

@@ -122,3 +122,9 @@ def test_exclude_listed_shares_quota(spark):
 def test_epoch(spark):
     out = spark.sql("SELECT 86461L AS s").select(schema.epoch_to("s", "time"), schema.epoch_to("s", "date"), schema.epoch_to("s", "timestamp"))
     assert tuple(out.first()) == ("00:01:01", dt.date(1970, 1, 2), dt.datetime(1970, 1, 2, 0, 1, 1))
+
+
+def test_joiners_in_quotes_join_nothing(spark):
+    df = spark.createDataFrame([("a [and] b", 1), ("a", 2), ("it's [or]", 3)], "name string, n int")
+    assert [r["n"] for r in filters.subset_filter(df, "name = 'a [and] b'").collect()] == [1]
+    assert [r["n"] for r in filters.subset_filter(df, "name = 'a [and] b' [or] n > 1 [AND] name = 'it''s [or]'").collect()] == [1, 3]
