@@ -54,10 +54,14 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str =
 def merge_scd1(target: DataFrame, delta: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Upsert by key: delta rows replace those with their key, the others are added.
 
-    ``delta`` holds one row per key. A null key matches nothing, as in a SQL MERGE.
+    ``delta`` holds one row per key. A null key matches nothing, as in a SQL MERGE. One full outer
+    join: either side is read and shuffled once.
     """
-    kept = target.join(delta.select(*keys), list(keys), "left_anti").select(*target.columns)
-    return kept.unionByName(delta.select(*target.columns))
+    columns = target.columns
+    new = delta.select(*[F.col(c).alias(f"_new_{i}") for i, c in enumerate(columns)], F.lit(True).alias("_is_new"))
+    same = reduce(Column.__and__, [F.col(k) == F.col(f"_new_{columns.index(k)}") for k in keys])
+    chosen = [F.when(F.col("_is_new"), F.col(f"_new_{i}")).otherwise(F.col(c)).alias(c) for i, c in enumerate(columns)]
+    return target.join(new, same, "full_outer").select(*chosen)
 
 
 def merge_soft_delete(

@@ -9,20 +9,22 @@ from pyspark.sql import functions as F
 
 from quayside.operators.relational import join_back, running_total
 
-# Comments, the statements that count, and names.
 BLANKS = " \t\n\x0b\f\r"
-COMMENT = r"(?ms)--.*?$|/\*.*?\*/"
+# A script in pieces: quoted texts and names, comments, statement ends, and what lies between.
+PIECE = r"""'[^']*'?|"[^"]*"?|--[^\n]*|/\*(?s:.*?)(?:\*/|\z)|;|[^'"/;-]+|[/-]"""
+CUT = "\x01"
+# A statement in words: quoted texts, names with their quoted and ${} parts, and marks of lists.
+WORD = r"""'[^']*'?|(?:"[^"]*"?|\$\{\w*\}|[\w#$.]+)+|[(),]"""
+VERBS = ("CREATE", "INSERT", "UPDATE", "DELETE", "DROP", "MERGE")
+# Words that may stand between a verb and the table it writes.
+FILLERS = ("OR", "REPLACE", "GLOBAL", "TEMPORARY", "TEMP", "VOLATILE", "MULTISET", "SET", "TABLE", "INTO", "OVERWRITE", "FROM", "IF", "NOT", "EXISTS")
+OPENERS = ("FROM", "JOIN", "USING")
+# Words and marks that end a list of tables.
+CLOSERS = ("WHERE", "GROUP", "ORDER", "HAVING", "QUALIFY", "ON", "SET", "SELECT", "WHEN", "UNION", "LIMIT", "VALUES", "(", ")")
+# The statements that count.
 KEPT = r"(?i)^(?:CREATE\s*(?:TEMPORARY\s*)?TABLE|INSERT\s*INTO|UPDATE|DELETE\s*FROM|DROP|MERGE)"
 SESSION = r"(?i)^(?:USE|SET)"
-WRITE_VERB = r"(?i)^\s*(CREATE|INSERT|UPDATE|DELETE|DROP)"
-TARGET = (
-    r'(?i)^\s*(?:CREATE\s*(?:TEMPORARY)?\s*TABLE|INSERT\s*INTO|UPDATE|DELETE\s*FROM|DROP\s*TABLE)'
-    r'\s*(["#a-zA-Z0-9_${}.]+)'
-)
-READ_LIST = r'(?i)(?<!DELETE\s)\bFROM\s+((?:["#\w]+\.["#\w]+(?:["#\s\w]*,\s+)?)+)'
 SET_VALUE = r"SET\s+(\w+)\s*=\s*'([^']*)'"
-USE_TARGET = r"(USE\s+(?:SCHEMA|DATABASE)\s+\w+);"
-CREATED = r'(?i)^\s*CREATE\s*(?:TEMPORARY)?\s*TABLE\s*(["#a-zA-Z0-9_${}.]+)'
 
 # Rewrites of loader expressions, applied in this order.
 REWRITES = [
@@ -70,10 +72,14 @@ def read_scripts(spark: SparkSession, path) -> DataFrame:
 def statements(scripts: DataFrame) -> DataFrame:
     """Statements of each script, numbered from one in script order.
 
-    Comments go first, so a semicolon inside one ends nothing. ``kind`` is ``kept`` for
-    statements that write, ``session`` for USE and SET, ``skipped`` for the rest.
+    Quotes, comments and ends are told apart in one reading, so neither a semicolon in a comment
+    nor one in a quoted text ends anything, and two dashes in a quoted text begin no comment. Comments
+    are left out. ``kind`` is ``kept`` for statements that write, ``session`` for USE and SET,
+    ``skipped`` for the rest.
     """
-    pieces = F.split(F.regexp_replace("text", COMMENT, ""), ";")
+    read = F.regexp_extract_all("text", F.lit(PIECE), F.lit(0))
+    told = F.filter(read, lambda x: ~(F.startswith(x, F.lit("--")) | F.startswith(x, F.lit("/*"))))
+    pieces = F.split(F.array_join(F.transform(told, lambda x: F.when(x == ";", F.lit(CUT)).otherwise(x)), ""), CUT)
     trimmed = F.transform(pieces, lambda x: F.btrim(x, F.lit(BLANKS)))
     cut = scripts.select("path", F.posexplode(trimmed).alias("n", "statement"))
     cut = cut.select("path", (F.col("n") + 1).alias("n"), "statement")
@@ -82,27 +88,63 @@ def statements(scripts: DataFrame) -> DataFrame:
     return cut.where(s != "").withColumn("kind", kind)
 
 
+def _words(statement: str) -> Column:
+    """The words and list marks of a statement, without its quoted texts."""
+    return F.filter(F.regexp_extract_all(F.col(statement), F.lit(WORD), F.lit(0)), lambda w: ~F.startswith(w, F.lit("'")))
+
+
+def _verb(words: Column) -> Column:
+    first = F.upper(F.get(words, F.lit(0)))
+    return F.when(first.isin(*VERBS), first)
+
+
+def _target(words: Column) -> Column:
+    """The first word behind the verb that is no filler; CREATE and DROP write tables only."""
+    rest = F.slice(words, 2, F.greatest(F.size(words), F.lit(0)))
+    named = F.get(F.filter(rest, lambda w: ~F.upper(w).isin(*FILLERS)), F.lit(0))
+    table = F.exists(rest, lambda w: F.upper(w) == "TABLE") | ~_verb(words).isin("CREATE", "DROP")
+    return F.when(_verb(words).isNotNull() & table & named.rlike(r'^[\w"#$]'), named)
+
+
+def _reads(words: Column) -> Column:
+    """Qualified names that follow FROM, JOIN or USING, or a comma in such a list."""
+    def step(s, w):
+        u = F.upper(w)
+        opens = u.isin(*OPENERS) & ~((u == "FROM") & (s["last"] == "DELETE"))
+        named = s["wants"] & w.contains(".")
+        return F.struct(
+            (opens | (s["lists"] & (u == ","))).alias("wants"),
+            (opens | (s["lists"] & ~u.isin(*CLOSERS))).alias("lists"),
+            u.alias("last"),
+            F.when(named, F.concat(s["found"], F.array(w))).otherwise(s["found"]).alias("found"),
+        )
+
+    no = F.lit(False)
+    start = F.struct(no.alias("wants"), no.alias("lists"), F.lit("").alias("last"), F.array().cast("array<string>").alias("found"))
+    return F.array_distinct(F.aggregate(words, start, step, lambda s: s["found"]))
+
+
 def write_type(statement="statement") -> Column:
-    return F.upper(F.regexp_extract(F.col(statement), WRITE_VERB, 1))
+    """The verb of a statement that writes, else null."""
+    return _verb(_words(statement))
 
 
 def target_table(statement="statement") -> Column:
-    return F.nullif(F.regexp_extract(F.col(statement), TARGET, 1), F.lit(""))
+    """The table a statement writes, as it is spelt there, else null."""
+    return _target(_words(statement))
 
 
 def read_tables(statement="statement") -> Column:
-    """Qualified tables after FROM, but not those of DELETE FROM; each once, in order."""
-    lists = F.regexp_extract_all(F.col(statement), F.lit(READ_LIST), F.lit(1))
-    names = F.flatten(F.transform(lists, lambda text: F.split(text, ",")))
-    first = F.transform(names, lambda x: F.get(F.split(F.trim(x), r"\s+"), F.lit(0)))
-    return F.array_distinct(F.filter(first, lambda x: x != ""))
+    """Qualified tables after FROM, JOIN and USING, but not those of DELETE FROM; each once, in order."""
+    return _reads(_words(statement))
 
 
 def dependency_edges(stmts: DataFrame) -> DataFrame:
     """One row per statement and table read; a statement that reads nothing keeps one row."""
-    return stmts.where("kind = 'kept'").select(
-        "path", "n", write_type().alias("write_type"), target_table().alias("write_table"),
-        F.explode_outer(read_tables()).alias("read_table"))
+    read = stmts.where("kind = 'kept'").select("path", "n", _words("statement").alias("_w"))
+    words = F.col("_w")
+    return read.select("path", "n", _verb(words).alias("write_type"), _target(words).alias("write_table"),
+                       F.explode_outer(_reads(words)).alias("read_table"))
 
 
 def clean_name(name) -> Column:
@@ -135,9 +177,10 @@ def session_params(scripts: DataFrame) -> DataFrame:
     values = F.regexp_extract_all(text, F.lit(SET_VALUE), F.lit(2))
     sets = F.transform(F.arrays_zip(names.alias("n"), values.alias("v")), lambda x: F.struct(
         F.lit("set").alias("kind"), x["n"].alias("name"), x["v"].alias("value")))
-    uses = F.transform(F.regexp_extract_all(text, F.lit(USE_TARGET), F.lit(1)), lambda x: F.struct(
-        F.lit("use").alias("kind"), F.lit(None).cast("string").alias("name"), x.alias("value")))
-    return scripts.select("path", F.inline(F.concat(sets, uses)))
+    used = statements(scripts).where("kind = 'session'").select("path", "statement", _words("statement").alias("_w"))
+    chosen = (F.upper(F.get("_w", F.lit(0))) == "USE") & F.upper(F.get("_w", F.lit(1))).isin("SCHEMA", "DATABASE")
+    uses = used.where(chosen).select("path", F.lit("use").alias("kind"), F.lit(None).cast("string").alias("name"), F.col("statement").alias("value"))
+    return scripts.select("path", F.inline(sets)).unionByName(uses)
 
 
 def consecutive_groups(stmts: DataFrame, script: str, n: str, env: str, stretch: int = 10_000) -> DataFrame:
@@ -169,9 +212,9 @@ def temp_table_stages(stmts: DataFrame, mapping: DataFrame, stages: DataFrame) -
     ``mapping`` as in ``remap_tables``; ``stages``: database, stage.
     """
     created = stmts.select(
-        "path", "n", F.regexp_extract("statement", CREATED, 1).alias("temp_table"),
+        "path", "n", write_type().alias("verb"), target_table().alias("temp_table"),
         F.posexplode(read_tables()).alias("place", "read_table"),
-    ).where("temp_table <> ''")
+    ).where("verb = 'CREATE' and temp_table is not null").drop("verb")
     reads = mapping.where("operation = 'READ'").select("source_name", "target_name")
     named = created.join(reads, clean_name("read_table") == F.col("source_name"), "left")
     database = F.substring_index(F.coalesce("target_name", "read_table"), ".", 1)

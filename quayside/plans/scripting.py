@@ -17,32 +17,38 @@ SCRIPTS = """
            WHEN o_orderstatus = 'O' THEN 'update mart.facts set x = 1; -- done'
            ELSE 'SELECT 1 FROM mart.facts;' END, chr(10),
       'insert into "mart"."f#1" select a from stg.t', cast(o_orderkey AS STRING), ' where b in (select b from dim.b);', chr(10),
-      CASE WHEN o_orderpriority LIKE '1%' THEN 'MERGE INTO mart.m USING stg.x ON 1 = 1; DROP TABLE stg.x;' ELSE '' END) AS text
+      CASE WHEN o_orderpriority LIKE '1%' THEN 'MERGE INTO mart.m USING stg.x ON 1 = 1; DROP TABLE stg.x;'
+           WHEN o_orderpriority LIKE '2%' THEN concat('INSERT INTO q.r VALUES (''a;b -- c'');', chr(10),
+             'insert into q.s select a from raw.l x left join raw.r on x.a = r.a join "raw"."o#" z on 1 = 1;') ELSE '' END) AS text
   FROM orders"""
 
-_CLEAN = r"regexp_replace(text, '(?ms)--.*?$|/\*.*?\*/', '', 'g')"
+_PIECE = r"""''[^'']*''?|"[^"]*"?|--[^\n]*|/\*(?s:.*?)(?:\*/|\z)|;|[^''"/;-]+|[/-]"""
+_CUT = (
+    f"string_split(array_to_string(list_transform(list_filter(regexp_extract_all(text, '{_PIECE}'), "
+    "lambda x: NOT starts_with(x, '--') AND NOT starts_with(x, '/*')), lambda x: CASE WHEN x = ';' THEN chr(1) ELSE x END), ''), chr(1))"
+)
 STATEMENTS = f"""scr AS ({SCRIPTS}), cut AS (
-    SELECT path, unnest(string_split({_CLEAN}, ';')) AS raw, unnest(range(1, 1 + len(string_split({_CLEAN}, ';')))) AS n FROM scr),
+    SELECT path, unnest({_CUT}) AS raw, unnest(range(1, 1 + len({_CUT}))) AS n FROM scr),
   st AS (SELECT path, CAST(n AS INTEGER) AS n, regexp_replace(raw, '^\\s+|\\s+$', '', 'g') AS statement FROM cut),
   stmts AS (SELECT path, n, statement,
       CASE WHEN regexp_matches(statement, '(?i)^(?:CREATE\\s*(?:TEMPORARY\\s*)?TABLE|INSERT\\s*INTO|UPDATE|DELETE\\s*FROM|DROP|MERGE)') THEN 'kept'
            WHEN regexp_matches(statement, '(?i)^(?:USE|SET)') THEN 'session' ELSE 'skipped' END AS kind
     FROM st WHERE statement <> '')"""
-_VERB = r"upper(regexp_extract(statement, '(?i)^\s*(CREATE|INSERT|UPDATE|DELETE|DROP)', 1))"
+_VERB = r"upper(regexp_extract(statement, '(?i)^\s*(CREATE|INSERT|UPDATE|DELETE|DROP|MERGE)', 1))"
 _TARGET = (
-    r"nullif(regexp_extract(statement, '(?i)^\s*(?:CREATE\s*(?:TEMPORARY)?\s*TABLE|INSERT\s*INTO|UPDATE|DELETE\s*FROM|DROP\s*TABLE)"
+    r"nullif(regexp_extract(statement, '(?i)^\s*(?:CREATE\s*(?:TEMPORARY)?\s*TABLE|INSERT\s*INTO|UPDATE|DELETE\s*FROM|DROP\s*TABLE|MERGE\s*INTO)"
     r"\s*([\"#a-zA-Z0-9_$\{\}.]+)', 1), '')"
 )
 # The check engine has no look-behind: DELETE FROM is taken out before tables are looked for.
 _READS = (
     r"list_filter(list_transform(flatten(list_transform(regexp_extract_all(regexp_replace(statement, '(?i)DELETE\s+FROM', ' ', 'g'), "
-    r"'(?i)\bFROM\s+((?:[\"#\w]+\.[\"#\w]+(?:[\"#\s\w]*,\s+)?)+)', 1), lambda l: string_split(l, ','))), "
+    r"'(?i)\b(?:FROM|JOIN|USING)\s+((?:[\"#\w]+\.[\"#\w]+(?:[\"#\s\w]*,\s+)?)+)', 1), lambda l: string_split(l, ','))), "
     r"lambda x: regexp_split_to_array(trim(x), '\s+')[1]), lambda x: x <> '')"
 )
 
 
 def _statements(t):
-    return scripts.statements(t.sql(SCRIPTS, spread=True))
+    return scripts.statements(t.sql(SCRIPTS))
 
 
 @query("j1_script_statements", f"WITH {STATEMENTS} SELECT path, n, statement, kind FROM stmts")
@@ -102,7 +108,7 @@ def schema_remap(t):
         UNION ALL SELECT path, 'use', NULL, unnest(regexp_extract_all(text, '(USE\\s+(?:SCHEMA|DATABASE)\\s+\\w+);', 1)) FROM scr""",
 )
 def session_params(t):
-    return scripts.session_params(t.sql(SCRIPTS, spread=True))
+    return scripts.session_params(t.sql(SCRIPTS))
 
 
 @query(
