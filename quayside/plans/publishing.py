@@ -48,7 +48,7 @@ def folder_uri(path: str) -> str:
 def partition_upsert(t):
     folder = folder_uri(t.scratch("service"))
     rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    partitioned.upsert(rows, lambda: FolderWriter(folder), batch=1000, partitions=4)
+    partitioned.upsert(rows, lambda: FolderWriter(folder), batch=1000)
     return t.spark.read.schema(rows.schema).json(folder)
 
 
@@ -67,9 +67,10 @@ def chunked_upsert(t):
 
 @query("g10_parallelism_control", "SELECT o_orderkey, true AS spread_ok FROM orders")
 def parallelism_control(t):
-    wide = partitioned.spread(t.orders, 6)
-    narrow = partitioned.spread(wide, 2, coalesce=True)
-    return narrow.select("o_orderkey", (F.spark_partition_id() < 2).alias("spread_ok"))
+    cores = t.spark.sparkContext.defaultParallelism
+    wide = partitioned.spread(t.orders, 2 * cores)
+    narrow = partitioned.spread(wide, cores, coalesce=True)
+    return narrow.select("o_orderkey", (F.spark_partition_id() < cores).alias("spread_ok"))
 
 
 INCOMING = "SELECT c_custkey AS cust, c_nationkey AS nation, c_mktsegment AS segment FROM customer"
@@ -165,7 +166,7 @@ def _event_files(t, repeats: int = 1):
         F.when(F.col("event_type") == "error", "").otherwise(F.col("event_type")).alias("event_type"))
     if repeats > 1:
         feed = feed.select("*", F.explode(F.array_repeat(F.lit(0), repeats)).alias("_copy")).drop("_copy")
-    feed.repartition(4).write.json(path)
+    feed.write.option("maxRecordsPerFile", 3000).json(path)
     return path
 
 

@@ -23,9 +23,6 @@ _SPANNER = {
     "smallint": "INT64", "tinyint": "BYTES(1)", "string": "STRING(MAX)", "date": "DATE",
     "timestamp": "TIMESTAMP", "boolean": "BOOL", "binary": "BYTES(MAX)",
 }
-# Sizes of text columns nobody sized.
-MYSQL_TEXT_SIZE = 100
-
 
 @dataclass(frozen=True)
 class Dialect:
@@ -36,14 +33,14 @@ class Dialect:
     quote: str = ""
     long_text: str = "LONG VARCHAR"
     all_text: str = "LONG VARCHAR"
-    text_size: int | None = None
+    plain_text: str | None = None
     precise: bool = True
 
     def quoted(self, name: str) -> str:
         return f"{self.quote}{name}{self.quote}"
 
 
-MYSQL = Dialect("mysql", _MYSQL, long_text="LONG VARCHAR", all_text="TEXT", text_size=MYSQL_TEXT_SIZE)
+MYSQL = Dialect("mysql", _MYSQL, long_text="LONG VARCHAR", all_text="TEXT", plain_text="LONGTEXT")
 VERTICA = Dialect("vertica", _VERTICA)
 SPANNER = Dialect("spanner", _SPANNER, quote="`", precise=False)
 DIALECTS = {d.name: d for d in (MYSQL, VERTICA, SPANNER)}
@@ -84,8 +81,7 @@ def _text_type(name: str, dialect: Dialect, sizes: TextSizes) -> str:
         return f"VARCHAR({sizes.varchar[key]})"
     if key in sizes.long:
         return f"{dialect.long_text}({sizes.long[key]})"
-    default = sizes.default or dialect.text_size
-    return f"VARCHAR({default})" if default else dialect.types["string"]
+    return f"VARCHAR({sizes.default})" if sizes.default else dialect.plain_text or dialect.types["string"]
 
 
 def column_types(schema: T.StructType, dialect: Dialect, sizes: TextSizes = TextSizes()) -> dict[str, str]:

@@ -19,14 +19,17 @@ TEMP, DELTA = "_temp", "_delta"
 MODES = ("overwrite", "append", "merge")
 
 
+def _connect(spark: SparkSession, url: str, properties: Mapping[str, str]):
+    given = spark._jvm.java.util.Properties()
+    for k, v in properties.items():
+        given.setProperty(k, v)
+    return spark._jvm.java.sql.DriverManager.getConnection(url, given)
+
+
 def jvm_statements(spark: SparkSession, url: str, properties: Mapping[str, str]) -> Callable[[str], None]:
     """Run statements on the driver through the JDBC driver Spark uses."""
     def execute(statement: str) -> None:
-        jvm = spark._jvm
-        given = jvm.java.util.Properties()
-        for k, v in properties.items():
-            given.setProperty(k, v)
-        connection = jvm.java.sql.DriverManager.getConnection(url, given)
+        connection = _connect(spark, url, properties)
         try:
             connection.createStatement().execute(statement)
         finally:
@@ -35,6 +38,46 @@ def jvm_statements(spark: SparkSession, url: str, properties: Mapping[str, str])
     return execute
 
 
+def jvm_table_exists(spark: SparkSession, url: str, properties: Mapping[str, str]) -> Callable[[str], bool]:
+    """Ask the database's catalog for a table.
+
+    Only its answer counts: a server that cannot be reached, a wrong password or a missing right
+    raise, and never pass for a missing table.
+    """
+    def exists(name: str) -> bool:
+        connection = _connect(spark, url, properties)
+        try:
+            return listed(connection.getMetaData(), name)
+        finally:
+            connection.close()
+
+    return exists
+
+
+def listed(catalog, name: str) -> bool:
+    """Whether a JDBC catalog lists ``schema.table``, spelt as given or in one case.
+
+    Some databases call a schema a catalog, so both places are asked.
+    """
+    mark = catalog.getSearchStringEscape()
+
+    def plain(text: str) -> str:
+        for c in (mark, "_", "%"):
+            text = text.replace(c, mark + c)
+        return text
+
+    schema, _, table = name.rpartition(".")
+    for spell in (str, str.upper, str.lower):
+        for place in ((None, plain(spell(schema))), (spell(schema), None)):
+            found = catalog.getTables(*place, plain(spell(table)), None)
+            try:
+                if found.next():
+                    return True
+            finally:
+                found.close()
+    return False
+
+
 @dataclass
 class JdbcTarget:
     """One table of a database and how it is loaded."""
@@ -81,7 +124,7 @@ class JdbcTarget:
         if not there and self.mode != "overwrite":
             if not self.create_if_missing:
                 raise ValueError(f"{self.name} does not exist")
-            self._swap(df, self.table)
+            self._make(df)
         elif self.mode == "overwrite" and self.user_managed:
             self.execute(d.truncate_table(self.name))
             self.save(df, self.name, self.options)
@@ -100,6 +143,23 @@ class JdbcTarget:
         self.execute(d.drop_table(name))
         self.execute(d.create_table(name, types, self.dialect, self.primary_key, partition))
 
+    def _make(self, df: DataFrame) -> None:
+        """Create the target in its place and fill it; nothing is dropped, so a table that is there
+        after all makes the database refuse."""
+        if self.create_schema:
+            self.execute(d.create_schema(self.schema, self.dialect))
+        types = d.column_types(df.schema, self.dialect, self.sizes)
+        self.execute(d.create_table(self.name, types, self.dialect, self.primary_key, None))
+        if self.primary_key and self.dialect is not d.SPANNER:
+            self.execute(d.add_primary_key(self.name, self.primary_key, self.dialect))
+        self.save(df, self.name, self.options)
+        self._add_indexes()
+
+    def _add_indexes(self) -> None:
+        if self.index:
+            for statement in d.index_statements(self.name, self.index):
+                self.execute(statement)
+
     def _swap(self, df: DataFrame, table: str) -> None:
         """Load a working table, then put it in the place of the old one."""
         working = table + TEMP
@@ -113,9 +173,7 @@ class JdbcTarget:
         self._drop_target(table)
         for statement in d.rename_into(self.staging_schema, working, self.schema, table, self.dialect):
             self.execute(statement)
-        if self.index:
-            for statement in d.index_statements(self.name, self.index):
-                self.execute(statement)
+        self._add_indexes()
 
     def _drop_target(self, table: str) -> None:
         """MySQL loads may lack the right to drop in the target schema; the rename then decides."""
@@ -137,16 +195,9 @@ def jdbc_target(spark: SparkSession, url: str, dialect: str, schema: str, table:
     """A target reached over JDBC; ``options`` as in ``"numPartitions=2;batchsize=10000"``."""
     properties = dict(properties)
 
-    def exists(name: str) -> bool:
-        try:
-            spark.read.jdbc(url, f"(SELECT 1 AS one FROM {name} WHERE 1 = 0) q", properties=properties)
-        except Exception:
-            return False
-        return True
-
     def save(df: DataFrame, name: str, given: Mapping[str, str]) -> None:
         df.write.options(**given).jdbc(url, name, mode="append", properties=properties)
 
     return JdbcTarget(
-        d.DIALECTS[dialect], schema, table, jvm_statements(spark, url, properties), exists, save,
+        d.DIALECTS[dialect], schema, table, jvm_statements(spark, url, properties), jvm_table_exists(spark, url, properties), save,
         options=d.write_options(options), **settings)

@@ -16,8 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Mutations a commit may hold, rows of a default batch, and the retry times.
-MUTATION_LIMIT = 40_000
+# Rows of a default batch, and the retry times.
 DEFAULT_BATCH = 10_000
 RETRY_FIRST, RETRY_FACTOR, RETRY_LONGEST, RETRY_TOTAL = 0.5, 1.5, 64.0, 60.0
 
@@ -67,9 +66,18 @@ class RetryPolicy:
         return any(c.__qualname__ in names for c in type(error).__mro__)
 
 
-def batch_rows(n_columns: int, wanted: int | None = None) -> int:
-    """Rows of a batch: the wanted number, but a cell is a mutation and a commit has a limit."""
-    return max(1, min(wanted or DEFAULT_BATCH, (MUTATION_LIMIT - 1) // max(1, n_columns)))
+def batch_rows(n_columns: int, wanted: int | None = None, cells: int | None = None) -> int:
+    """Rows of a batch: the wanted number, else the default or what fits.
+
+    ``cells`` is what the target takes in one commit, if it has such a limit. A wanted batch that
+    is larger is refused, not cut.
+    """
+    most = None if cells is None else (cells - 1) // max(1, n_columns)
+    if most is not None and most < 1:
+        raise ValueError(f"a row of {n_columns} columns is more than a commit of {cells} cells takes")
+    if wanted and most is not None and wanted > most:
+        raise ValueError(f"a batch of {wanted} rows of {n_columns} columns is more than a commit of {cells} cells takes")
+    return wanted or min(DEFAULT_BATCH, most or DEFAULT_BATCH)
 
 
 def spread(df: DataFrame, partitions: int | None, coalesce: bool = False) -> DataFrame:
@@ -86,13 +94,15 @@ def upsert(
     partitions: int | None = None,
     coalesce: bool = False,
     retry: RetryPolicy = RetryPolicy(),
+    cells: int | None = None,
 ) -> dict[str, int]:
-    """Send all rows in batches, cut inside each task, and return what was sent.
+    """Send all rows in batches, cut inside each task, and return what was sent. ``cells`` as in
+    ``batch_rows``.
 
     A task holds one batch of rows at a time. Counts come back with the tasks, without another
     scan. No row number over the whole input is needed, which would pull it into one task.
     """
-    size = batch_rows(len(df.columns), batch)
+    size = batch_rows(len(df.columns), batch, cells)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         writer, sent, rows, largest, pending = open_writer(), 0, 0, 0, []

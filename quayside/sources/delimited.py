@@ -34,7 +34,8 @@ def delimited_scan(
     """Read the named columns as text.
 
     Without footers and with at most one header row this is a plain CSV scan with column pruning.
-    Otherwise the outer rows come off first and the remaining lines are parsed in place.
+    Otherwise the outer rows come off first and the remaining lines are parsed in place. Blank
+    lines are no records either way.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     options = {"sep": sep, "quote": quote, "escape": escape}
@@ -44,5 +45,6 @@ def delimited_scan(
             reader = reader.option("lineSep", record_separator)
         return reader.csv(path)
     lines = text_lines(spark, path, encoding, record_separator, header_rows, footer_rows)
+    lines = lines.where(F.col("value").rlike(r"[^\x00-\x20]"))
     parsed = F.from_csv(F.col("value"), schema.simpleString()[len("struct<"):-1].replace(":", " "), options)
     return lines.select(parsed.alias("row")).select("row.*")

@@ -14,6 +14,7 @@ HASH_SPLITS = ("mod", "hashamp_hashbucket_hashrow")
 DEFAULT_DATE_SPLIT = "MM"
 
 # Schemas and tables that belong to the database itself.
+SYSTEM_OWNERS = {"netezza": ("ADMIN",)}
 SYSTEM_SCHEMAS = {
     "teradata": (
         "All", "Crashdumps", "DBC", "dbcmngr", "Default", "External_AP", "EXTUSER", "LockLogShredder",
@@ -111,9 +112,12 @@ def split_bucket(column, how: str, buckets: int = 8) -> Column:
     raise ValueError(f"split {how!r} is not one of {', '.join([*DATE_SPLITS, *HASH_SPLITS])}")
 
 
-def _split_sql(split: Split) -> str:
+def split_expression(split: Split, dialect: str | None = None) -> str:
+    """The derived split value as a database computes it; SQL Server has its own names for it."""
     c = split.column
-    day, month, year = (f"EXTRACT({p} FROM {c})" for p in ("DAY", "MONTH", "YEAR"))
+    own = dialect == "sqlserver"
+    day, month, year = (f"DATEPART({p}, {c})" if own else f"EXTRACT({p} FROM {c})" for p in ("DAY", "MONTH", "YEAR"))
+    amp = f"HASHAMP(HASHBUCKET(HASHROW({c})))"
     return {
         "dd": day,
         "MM": month,
@@ -121,17 +125,17 @@ def _split_sql(split: Split) -> str:
         "yyyyMM": f"({year} * 100 + {month})",
         "MMdd": f"({month} * 100 + {day})",
         "yyyyMMdd": f"({year} * 10000 + {month} * 100 + {day})",
-        "mod": f"MOD({c}, {split.buckets})",
-        "hashamp_hashbucket_hashrow": f"HASHAMP(HASHBUCKET(HASHROW({c})))",
+        "mod": f"({c} % {split.buckets})" if own else f"MOD({c}, {split.buckets})",
+        "hashamp_hashbucket_hashrow": f"MOD({amp}, {split.buckets})",
     }[split.how]
 
 
-def split_predicates(split: Split, values: Sequence | None = None) -> list[str]:
+def split_predicates(split: Split, values: Sequence | None = None, dialect: str | None = None) -> list[str]:
     """One WHERE text per read task. Together they cover every row once, nulls included.
 
     ``values`` are the split values of an open-ended date part such as ``yyyyMM``.
     """
-    derived = _split_sql(split)
+    derived = split_expression(split, dialect)
     if values is None:
         if split.how == "mod":
             values = range(-split.buckets + 1, split.buckets)
@@ -159,17 +163,22 @@ def jdbc_scan(
     bounds: tuple | None = None,
     values: Sequence | None = None,
     properties: Mapping[str, str] | None = None,
+    dialect: str | None = None,
 ) -> DataFrame:
     """Read a table with one connection per split instead of one for all rows.
 
-    A plain numeric or date column uses ``bounds``; a derived split uses one predicate per task.
+    A plain numeric or date column uses ``bounds``; a derived split uses one predicate per task. The
+    values of an open-ended date part are asked of the database if they are not given.
     Filters and column selections made on the result are pushed into the database.
     """
     properties = dict(properties or {})
     if split is None:
         return spark.read.jdbc(url, table, properties=properties)
     if split.how:
-        return spark.read.jdbc(url, table, predicates=split_predicates(split, values), properties=properties)
+        if values is None and split.how not in HASH_SPLITS and not DATE_SPLITS.get(split.how):
+            asked = f"(SELECT DISTINCT {split_expression(split, dialect)} AS v FROM {table}) q"
+            values = sorted(r[0] for r in spark.read.jdbc(url, asked, properties=properties).collect() if r[0] is not None)
+        return spark.read.jdbc(url, table, predicates=split_predicates(split, values, dialect), properties=properties)
     if bounds is None:
         raise ValueError("a split by value needs the lowest and highest value")
     return spark.read.jdbc(
@@ -188,9 +197,14 @@ def union_tables_views(tables: DataFrame, views: DataFrame) -> DataFrame:
     return tables.unionByName(views).distinct()
 
 
-def drop_system_tables(df: DataFrame, dialect: str, schema: str = "schema_name", table: str = "table_name") -> DataFrame:
-    """Leave out the database's own schemas and recycled tables."""
+def drop_system_tables(
+    df: DataFrame, dialect: str, schema: str = "schema_name", table: str = "table_name", owner: str | None = None
+) -> DataFrame:
+    """Leave out the database's own schemas and recycled tables, and those of its own users where
+    ``owner`` names the column that tells whose a table is."""
     kept = ~F.col(table).like(RECYCLED_TABLES)
+    if owner and dialect in SYSTEM_OWNERS:
+        kept = kept & ~F.coalesce(F.col(owner).isin(*SYSTEM_OWNERS[dialect]), F.lit(False))
     names = SYSTEM_SCHEMAS.get(dialect, ())
     return df.where(kept & ~F.col(schema).isin(*names) if names else kept)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quayside.session import saved
+
 _PLACE = ["_file", "_block", "_pos"]
 
 
@@ -20,7 +22,9 @@ def text_lines(
 
     Header and footer rows are the first and last records of each file. A file may span many
     splits: its outermost rows are found by a ranked window, which keeps only that many rows per
-    task before anything is shuffled, and taken out by an anti join with those few rows.
+    task before anything is shuffled, and taken out by an anti join with those few rows. Rows are
+    marked once and written to the shared folder: a second scan of the files might be packed
+    otherwise and mark them otherwise.
     """
     reader = spark.read
     if encoding:
@@ -36,6 +40,7 @@ def text_lines(
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_pos"),
     )
+    placed = saved(placed, "text-lines")
     edges = None
     for count, order in (
         (header_rows, [F.col("_block").asc(), F.col("_pos").asc()]),

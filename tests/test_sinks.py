@@ -65,7 +65,54 @@ def test_missing_tables(spark):
         Recorder().target(mode="append", create_if_missing=False).write(df)
     rec = Recorder()
     rec.target(mode="merge", natural_keys=["id"]).write(df)
-    assert saves(rec.log) == ["main.t_temp"]
+    assert saves(rec.log) == ["main.t"] and not any("DROP" in x for x in rec.log)
+
+
+@pytest.mark.parametrize("mode", ["append", "merge", "overwrite"])
+def test_a_failed_probe_is_no_missing_table(spark, mode):
+    """Nothing is sent when the database does not say whether the table is there."""
+    rec = Recorder(["main.t"])
+    target = rec.target(mode=mode, natural_keys=["id"])
+
+    def exists(_):
+        raise TimeoutError("no answer")
+
+    target.exists = exists
+    with pytest.raises(TimeoutError):
+        target.write(spark.range(1))
+    assert rec.log == []
+
+
+class Catalog:
+    """A JDBC catalog that lists some tables by (catalog, schema, name) pattern."""
+
+    def __init__(self, tables):
+        self.tables, self.open = tables, 0
+
+    def getSearchStringEscape(self):
+        return "!"
+
+    def getTables(self, catalog, schema, table, _):
+        hits = [t for t in self.tables if (schema or catalog, table) == t]
+        self.open += 1
+        outer = self
+
+        class Found:
+            def next(self):
+                return bool(hits)
+
+            def close(self):
+                outer.open -= 1
+
+        return Found()
+
+
+def test_tables_are_looked_up_in_the_catalog():
+    from quayside.sinks.jdbc import listed
+
+    catalog = Catalog([("MAIN", "T!_A"), ("db", "x")])
+    assert listed(catalog, "main.t_a") and listed(catalog, "db.x") and not listed(catalog, "main.ta") and not listed(catalog, "db.t")
+    assert catalog.open == 0
 
 
 def test_mysql_tolerates_a_refused_drop(spark):
@@ -86,7 +133,7 @@ def test_types_and_ddl():
     sizes = d.TextSizes(varchar={"STRING_COL": 30}, default=200)
     mysql = d.column_types(MATRIX, d.MYSQL, sizes)
     assert mysql["string_col"] == "VARCHAR(30)" and mysql["decimal_col"] == "DECIMAL(38,8)" and mysql["id"] == "INT"
-    assert d.column_types(MATRIX, d.MYSQL)["string_col"] == "VARCHAR(100)"
+    assert d.column_types(MATRIX, d.MYSQL)["string_col"] == "LONGTEXT"
     assert d.column_types(MATRIX, d.MYSQL, d.TextSizes(all_long=True))["string_col"] == "TEXT"
     vertica = d.column_types(MATRIX, d.VERTICA, d.TextSizes(long={"STRING_COL": 9000}))
     assert vertica["string_col"] == "LONG VARCHAR(9000)" and vertica["double_col"] == "DOUBLE PRECISION"
@@ -142,7 +189,12 @@ def test_upsert_batches(spark, shared, fail):
 
 
 def test_batch_respects_the_mutation_limit():
-    assert partitioned.batch_rows(10) == 3999 and partitioned.batch_rows(10, 50) == 50 and partitioned.batch_rows(2) == 10000
+    assert partitioned.batch_rows(10) == 10000 and partitioned.batch_rows(10, 50) == 50
+    assert partitioned.batch_rows(10, cells=40_000) == 3999 and partitioned.batch_rows(2, cells=40_000) == 10000
+    assert partitioned.batch_rows(10, 3999, 40_000) == 3999
+    for wanted, cells in ((4000, 40_000), (None, 10)):
+        with pytest.raises(ValueError, match="more than a commit"):
+            partitioned.batch_rows(10, wanted, cells)
 
 
 def test_retry_policy():

@@ -104,3 +104,29 @@ def test_split_choices():
     with pytest.raises(ValueError, match="lowest and highest"):
         jdbc.jdbc_scan(None, "jdbc:x", "t", jdbc.Split("n"))
     assert set(jdbc.CATALOG_VIEWS) == set(jdbc.SPLIT_TYPES)
+
+
+def test_blank_lines_are_no_records(spark, shared):
+    from quayside.sources.delimited import delimited_scan
+
+    for header, name in ((1, "one"), (2, "two")):
+        with open(f"{shared}/{name}.csv", "w") as out:
+            out.write("h1,h2\n" * header + "1,a\n\n  \n2,b\n\n")
+        got = delimited_scan(spark, f"{shared}/{name}.csv", ["x", "y"], header_rows=header).collect()
+        assert [tuple(r) for r in got] == [("1", "a"), ("2", "b")]
+
+
+def test_outer_rows_are_marked_in_one_scan(spark, shared):
+    from quayside.sources.lines import text_lines
+    from tests.test_plans import plan
+
+    with open(f"{shared}/many.txt", "w") as out:
+        out.write("\n".join(["head"] * 2 + [f"row {i}" for i in range(5000)] + ["foot"]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = text_lines(spark, f"{shared}/many.txt", header_rows=2, footer_rows=1)
+        assert "FileScan text" not in plan(lines)  # of the pinned rows, not of the files again
+        assert sorted(r[0] for r in lines.collect()) == sorted(f"row {i}" for i in range(5000))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
