@@ -9,7 +9,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 _TRIM = r"regexp_replace({}, r'^[\x00-\x20]+|[\x00-\x20]+$', '')"
-_WHOLE = r"rlike({0}, r'^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$')"
+_WHOLE_SHAPE = r"r'^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$'"
+_FRACTION_SHAPE = r"r'^[\x00-\x20]*[+-]?([0-9.][0-9.eE+-]*[dDfF]?|(?i:nan|inf|infinity))[\x00-\x20]*$'"
+_WHOLE = "rlike({0}, " + _WHOLE_SHAPE.replace("{", "{{").replace("}", "}}") + ")"
+_FRACTION = "rlike({0}, " + _FRACTION_SHAPE.replace("{", "{{").replace("}", "}}") + ")"
 
 # name: (parameters, result type, body)
 SQL_FUNCTIONS = {
@@ -62,6 +65,50 @@ SQL_FUNCTIONS = {
         "s STRING", "TIMESTAMP",
         "try_to_timestamp(concat(substring(s, 7, 4), '-', left(s, 2), '-', substring(s, 4, 2), substring(s, 11, 9)), "
         "'yyyy-MM-dd HH:mm:ss')"),
+    "case_when_map": (
+        "s STRING, pairs MAP<STRING, STRING>, d STRING", "STRING",
+        "CASE WHEN s IS NOT NULL AND map_contains_key(pairs, s) THEN try_element_at(pairs, s) ELSE d END"),
+    "case_when_map_int": (
+        "s STRING, pairs MAP<STRING, INT>, d INT", "INT",
+        "CASE WHEN s IS NOT NULL AND map_contains_key(pairs, s) THEN try_element_at(pairs, s) ELSE d END"),
+    "date_or_sentinel_ne": (
+        "s STRING, sentinel STRING, other STRING, mask STRING", "DATE",
+        "try_to_date(CASE WHEN nullif(s, '') <> sentinel THEN other ELSE nullif(s, '') END, mask)"),
+    "now_if_empty": (
+        "s STRING, mask STRING", "TIMESTAMP",
+        "CASE WHEN nullif(s, '') IS NULL THEN current_timestamp() ELSE try_to_timestamp(nullif(s, ''), mask) END"),
+    "coalesce_timestamp": (
+        "s STRING, d STRING, mask STRING", "TIMESTAMP",
+        "coalesce(try_to_timestamp(nullif(s, ''), mask), try_to_timestamp(d, mask))"),
+    "nullif_timestamp": ("a TIMESTAMP, b TIMESTAMP", "TIMESTAMP", "nullif(a, b)"),
+    "coalesce_first": ("s STRING, d STRING", "STRING", "coalesce(s, d)"),
+    "nvl_or_fallback": ("s STRING, d STRING", "STRING", "coalesce(s, d)"),
+    "second_arg": ("a STRING, b STRING", "STRING", "b"),
+    "concat_columns": ("a STRING, b STRING, c STRING", "STRING", "concat(a, b, c)"),
+    "file_name_part": (
+        "path STRING, d STRING", "STRING",
+        r"coalesce(nullif(regexp_extract(substring_index(path, '/', -1), r'^[^.]*\.(.{3})', 1), ''), d)"),
+    "today": ("", "DATE", "current_date()"),
+    "today_text": ("", "STRING", "date_format(current_date(), 'yyyy-MM-dd')"),
+    "time_text": ("", "STRING", "date_format(current_timestamp(), 'HH:mm:ss')"),
+    "load_timestamp": ("", "TIMESTAMP", "current_timestamp()"),
+    **{
+        f"nvl_{kind}": (
+            f"s STRING, d {sql}", sql, f"CASE WHEN s IS NULL THEN d WHEN {shape.format('s')} THEN try_cast(s AS {sql}) END")
+        for kind, sql, shape in (
+            ("long", "BIGINT", _WHOLE), ("double", "DOUBLE", _FRACTION), ("decimal", "DECIMAL(38,18)", _FRACTION))
+    },
+    **{
+        f"nullif_{kind}": (f"n {sql}, v STRING", sql, f"CASE WHEN n <=> try_cast(v AS {sql}) THEN NULL ELSE n END")
+        for kind, sql in (("int", "INT"), ("long", "BIGINT"), ("double", "DOUBLE"), ("date", "DATE"))
+    },
+    **{
+        f"coalesce_nullif_{kind}": (
+            f"s STRING, v STRING, d {sql}", sql,
+            f"coalesce(try_cast(CASE WHEN rlike(coalesce(nullif(nullif(s, ''), v), cast(d AS STRING)), {shape}) "
+            f"THEN coalesce(nullif(nullif(s, ''), v), cast(d AS STRING)) END AS {sql}), cast(0 AS {sql}))")
+        for kind, sql, shape in (("int", "INT", _WHOLE_SHAPE), ("double", "DOUBLE", _FRACTION_SHAPE))
+    },
 }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from quayside import functions as fn
@@ -252,21 +254,27 @@ _scalar("c29_right_after_rtrim", "texts", lambda: fn.right_after_rtrim("s", 3),
         r"right(regexp_replace(nullif(s, ''), '\s+$', ''), 3)")
 _scalar("c30_java_substr", "texts", lambda: fn.java_substr("s", 1, 4),
         "CASE WHEN s = '' THEN '' WHEN length(s) >= 4 THEN substr(s, 2, 3) END")
+
+
+def _near_now(at):
+    """Whether a time lies within ten minutes of this process's own clock."""
+    return F.abs(F.unix_seconds(at) - F.lit(int(time.time()))) < 600
+
+
 add(
     "c31_today",
-    lambda t: t.sql(TEXTS).select(
-        "k", (fn.today() == F.current_date()).alias("same"), F.length(fn.today_text()).alias("width")),
-    f"WITH raw AS ({TEXTS}) SELECT k, true AS same, 10::INTEGER AS width FROM raw",
+    lambda t: t.sql(TEXTS).select("k", fn.today().cast("string").alias("day"), fn.today_text().alias("shown")),
+    f"WITH raw AS ({TEXTS}) SELECT k, CAST(CAST(now() AT TIME ZONE 'UTC' AS DATE) AS VARCHAR) AS day, day AS shown FROM raw",
 )
 add(
     "c32_time_text",
-    lambda t: t.sql(TEXTS).select("k", fn.time_text().rlike("^[0-2][0-9]:[0-5][0-9]:[0-5][0-9]$").alias("fits")),
-    f"WITH raw AS ({TEXTS}) SELECT k, true AS fits FROM raw",
+    lambda t: t.sql(TEXTS).select("k", _near_now(F.to_timestamp(F.concat(fn.today_text(), F.lit(" "), fn.time_text()))).alias("near")),
+    f"WITH raw AS ({TEXTS}) SELECT k, true AS near FROM raw",
 )
 add(
     "c33_load_timestamp",
-    lambda t: t.sql(TEXTS).select("k", (fn.load_timestamp("s") >= F.current_timestamp()).alias("same")),
-    f"WITH raw AS ({TEXTS}) SELECT k, true AS same FROM raw",
+    lambda t: t.sql(TEXTS).select("k", _near_now(fn.load_timestamp("s")).alias("near")),
+    f"WITH raw AS ({TEXTS}) SELECT k, true AS near FROM raw",
 )
 add(
     "c34_jtrim",

@@ -139,7 +139,23 @@ def test_sql_functions_match_columns(spark):
         "q_right_after_rtrim(s, 3)": fn.right_after_rtrim(S, 3), "q_strip_non_ascii(s)": fn.strip_non_ascii(S),
         "q_blank_test(s)": fn.blank_test(S), "q_coalesce_char(s, 2, 'dd')": fn.coalesce_char(S, 2, "dd"),
         "q_substr_replace_trim(s, 1, 'a', '')": fn.substr_replace_trim(S, 1, "a", ""), "q_hash_column(s)": fn.hash_column(S),
+        "q_case_when_map(s, map('Q', 'x', '~', NULL), 'else')": fn.case_when_map(S, {"Q": "x", "~": None}, "else"),
+        "q_case_when_map_int(s, map('Q', 1), 0)": fn.case_when_map(S, {"Q": 1}, 0),
+        "q_date_or_sentinel_ne(s, '20220219', '20200101', 'yyyyMMdd')": fn.date_or_sentinel_ne(S, "20220219", "20200101", "yyyyMMdd"),
+        "q_coalesce_timestamp(s, '2020-01-01 00:00:00', 'yyyy-MM-dd HH:mm:ss')": fn.coalesce_timestamp(S, "2020-01-01 00:00:00"),
+        "q_nullif_timestamp(TIMESTAMP'2020-01-01', TIMESTAMP'2020-01-01')": fn.nullif_timestamp(F.lit(None).cast("timestamp"), F.lit(None).cast("timestamp")),
+        "q_coalesce_first(s, 'd')": fn.coalesce_first(S, "d"), "q_nvl_or_fallback(s, 'd')": fn.nvl_or_fallback(S, "d"),
+        "q_second_arg('a', s)": fn.second_arg("s", "s"), "q_concat_columns(s, '-', s)": fn.concat_columns("s", F.lit("-"), "s"),
+        "q_file_name_part(concat('/a/', s, '.csv'), 'no')": fn.file_name_part(F.concat(F.lit("/a/"), S, F.lit(".csv")), "no"),
+        "q_today()": fn.today(), "q_today_text()": fn.today_text(),
+        "q_nvl_long(s, 5)": fn.nvl_typed(S, 5, "bigint"), "q_nvl_double(s, 0.5D)": fn.nvl_typed(S, 0.5, "double"),
+        "q_nvl_decimal(s, 2)": fn.nvl_typed(S, 2, "decimal(38,18)"),
+        "q_nullif_int(try_cast(s AS INT), '7')": fn.nullif_typed(S.try_cast("int"), "7", "int"),
+        "q_nullif_double(try_cast(s AS DOUBLE), '600.2')": fn.nullif_typed(S.try_cast("double"), "600.2", "double"),
+        "q_coalesce_nullif_int(s, '7', 3)": fn.coalesce_nullif(S, "7", 3, "int"),
+        "q_coalesce_nullif_double(s, '7', 3)": fn.coalesce_nullif(S, "7", 3.0, "double"),
     }
+    assert spark.sql("SELECT q_time_text() = date_format(q_load_timestamp(), 'HH:mm:ss') AND q_now_if_empty('', 'yyyy') = q_load_timestamp()").first()[0]
     for text, column in pairs.items():
         by_name = [r[0] for r in spark.sql(f"SELECT {text} FROM edge").collect()]
         assert by_name == [r[0] for r in spark.table("edge").select(column).collect()], text
