@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.operators.filters import high_water_filter
@@ -92,51 +92,58 @@ def merge_partitions(
      .partitionBy(partition).parquet(path))
 
 
-def _holds(at: Column) -> Column:
-    open_end = F.col(VALID_TO).isNull() | (at < F.col(VALID_TO))
-    return (F.col(VALID_FROM) <= at) & open_end
-
-
-def merge_scd2(history: DataFrame, delta: DataFrame, keys: Sequence[str], at: str) -> DataFrame:
+def merge_scd2(history: DataFrame, delta: DataFrame, keys: Sequence[str], at: str, scd1_columns: Sequence[str] = ()) -> DataFrame:
     """Keep every version of a row over time.
 
     ``history`` has the keys, the attributes and ``valid_from``, ``valid_to`` (null: open),
     ``is_current``. ``delta`` has the keys, the attributes and the instant ``at`` each row holds
-    from, one row per key. A changed row cuts the version holding at that instant in two, even
-    one closed long ago; an equal row changes nothing (null equals null); a row that starts
-    exactly with a version corrects it; a key or time without a version gets one that lasts until
-    the next begins.
-
-    History rows are only ever streamed past the delta, never gathered per key.
+    from; a key may come several times. A changed row cuts the version holding at that instant, even
+    one closed long ago; a row equal to what holds just before it changes nothing (null equals
+    null); a row that starts exactly with a version corrects it; a key or time without a version
+    gets one that lasts until the next begins. ``scd1_columns`` are not kept over time: a row that
+    differs in these alone overwrites them in the version it falls into. A null key matches
+    nothing: such rows come in as new versions.
+
+    History and delta are put side by side and shuffled by key once; versions and changes are then
+    read in the order of time, so no key's rows are held in memory.
     """
     keys = list(keys)
     attrs = [c for c in delta.columns if c not in keys and c != at]
-    news = delta.select(*keys, F.struct(*attrs).alias("_new"), F.col(at).alias("_at"))
-
-    def version(values, start, end, current):
-        return F.struct(
-            values.alias("_values"), start.alias(VALID_FROM), end.alias(VALID_TO), current.alias(IS_CURRENT))
-
-    old = F.struct(*attrs)
-    start, end, current = F.col(VALID_FROM), F.col(VALID_TO), F.col(IS_CURRENT)
-    at_col, new = F.col("_at"), F.col("_new")
-    changed = at_col.isNotNull() & _holds(at_col) & ~F.equal_null(old, new)
-    pieces = (
-        F.when(changed & (start < at_col), F.array(
-            version(old, start, at_col, F.lit(False)), version(new, at_col, end, current)))
-        .when(changed, F.array(version(new, start, end, current)))
-        .otherwise(F.array(version(old, start, end, current)))
-    )
-    kept = history.join(news, keys, "left").select(*keys, F.inline(pieces))
-
-    found = history.join(news.select(*keys, "_at"), keys, "inner").groupBy(*keys).agg(
-        F.bool_or(_holds(at_col)).alias("_found"),
-        F.min(F.when(start > at_col, start)).alias("_next"))
-    fresh = news.join(found, keys, "left").where(~F.coalesce("_found", F.lit(False)))
-    added = fresh.select(*keys, F.inline(F.array(version(new, at_col, F.col("_next"), F.col("_next").isNull()))))
-    # A null key matches nothing above, so such rows come in as new versions.
-    columns = [F.col(f"_values.{a}").alias(a) for a in attrs]
-    return kept.unionByName(added).select(*keys, *columns, VALID_FROM, VALID_TO, IS_CURRENT)
+    kept, loose = [c for c in attrs if c not in scd1_columns], [c for c in attrs if c in scd1_columns]
+    span = F.struct(F.col(VALID_FROM).alias("start"), F.col(VALID_TO).alias("end"), F.col(IS_CURRENT).alias("current"))
+    old = history.select(*keys, *attrs, F.col(VALID_FROM).alias("_t"), F.lit(0).alias("_new"), span.alias("_span"))
+    new = delta.select(*keys, *attrs, F.col(at).alias("_t"), F.lit(1).alias("_new"))
+    rows = old.unionByName(new, allowMissingColumns=True)
+    lost = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    # a null key is no key: each such row is told apart and stands alone
+    rows = rows.withColumn("_alone", F.when(lost, F.concat_ws("-", F.monotonically_increasing_id(), "_new")).otherwise(""))
+
+    def walk(*more, back=False):
+        order = [F.col("_t").desc(), F.col("_new").desc(), *[F.col(a).desc() for a in attrs]] if back else ["_t", "_new", *attrs]
+        return Window.partitionBy(*keys, "_alone", *more).orderBy(*order)
+
+    upto, later = (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_span", F.last("_span", ignorenulls=True).over(walk().rowsBetween(*upto)))
+    held = F.col("_span").isNotNull() & (F.col("_span.end").isNull() | (F.col("_t") < F.col("_span.end")))
+    rows = rows.withColumns({"_from": F.col("_span.start"), "_held": held | (F.col("_new") == 0)})
+    within = walk("_from", "_held")
+    same = F.equal_null(F.struct(*kept), F.lag(F.struct(*kept)).over(within)) if kept else F.lag(F.lit(1)).over(within).isNotNull()
+    rows = rows.withColumn("_cuts", (F.col("_new") == 0) | ~F.coalesce(same, F.lit(False)))
+    if loose:
+        rows = rows.withColumn("_run", F.sum(F.col("_cuts").cast("int")).over(within.rowsBetween(*upto)))
+        whole = walk("_from", "_held", "_run").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        rows = rows.withColumns({c: F.last(c).over(whole) for c in loose})
+    # looking back from the end, the nearest later change and the nearest later version
+    change = F.last(F.when(F.col("_cuts") & (F.col("_new") == 1), F.col("_t")), ignorenulls=True)
+    version = F.last(F.when(F.col("_new") == 0, F.col("_t")), ignorenulls=True)
+    rows = rows.withColumns({
+        "_change": change.over(walk("_from", "_held", back=True).rowsBetween(*later)),
+        "_version": version.over(walk(back=True).rowsBetween(*later)),
+    })
+    ends = F.when(F.col("_held"), F.coalesce("_change", F.col("_span.end"))).otherwise(F.least("_change", "_version"))
+    open_ = F.when(F.col("_held"), F.col("_change").isNull() & F.col("_span.current")).otherwise(ends.isNull())
+    cut = rows.where("_cuts").select(*keys, *attrs, F.col("_t").alias(VALID_FROM), ends.alias(VALID_TO), open_.alias(IS_CURRENT))
+    return cut.where(F.col(VALID_TO).isNull() | (F.col(VALID_FROM) < F.col(VALID_TO)))
 
 
 def with_partition(df: DataFrame, parent: str, fmt: str, name: str) -> DataFrame:

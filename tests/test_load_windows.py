@@ -157,3 +157,43 @@ def test_between_dates_prunes_partitions(spark, shared):
     assert back.count() == 25
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(m" in plan
+
+
+def test_scd2_with_several_changes_of_a_key(spark):
+    """As if they had come one after another; history is shuffled once."""
+    import random
+
+    from tests.test_plans import plan
+
+    rng = random.Random(8)
+    history, delta = [], []
+    for k in range(30):
+        at = 0
+        for _ in range(rng.randint(0, 4)):
+            start, at = at + rng.choice([0, 5]), 0
+            at = start + rng.randint(3, 9)
+            history.append((k, rng.choice("ab"), rng.choice("xy"), start, at, False))
+        if rng.random() < 0.5 and at:
+            history.append((k, "a", "x", at, None, True))
+        delta += [(k, rng.choice("abc"), rng.choice("xy"), t) for t in rng.sample(range(45), rng.randint(0, 5))]
+    delta += [(None, "n", "x", 1), (None, "n", "x", 1)]
+    history.append((None, "n", "y", 1, None, True))
+    columns = "k int, v string, w string"
+    h = spark.createDataFrame(history, f"{columns}, valid_from int, valid_to int, is_current boolean")
+    shape = f"{columns}, at int"
+    step, first = h, [r for r in delta if r[0] is None]
+    for t in range(45):
+        rows = [r for r in delta if r[0] is not None and r[3] == t]
+        if rows:
+            step = spark.createDataFrame(load.merge_scd2(step, spark.createDataFrame(rows, shape), ["k"], "at").collect(), h.schema)
+    step = load.merge_scd2(step, spark.createDataFrame(first, shape), ["k"], "at")
+    once = load.merge_scd2(h, spark.createDataFrame(delta, shape), ["k"], "at")
+    assert plan(once).count("Exchange hashpartitioning") == 1
+    assert sorted(map(str, map(tuple, once.collect()))) == sorted(map(str, map(tuple, step.collect())))
+
+
+def test_scd1_columns_are_overwritten(spark):
+    h = spark.createDataFrame([(1, "a", "x", 0, None, True)], "k int, v string, w string, valid_from int, valid_to int, is_current boolean")
+    d = spark.createDataFrame([(1, "a", "y", 3), (1, "b", "y", 5), (1, "b", "z", 7)], "k int, v string, w string, at int")
+    got = sorted(map(tuple, load.merge_scd2(h, d, ["k"], "at", scd1_columns=["w"]).collect()))
+    assert got == [(1, "a", "y", 0, 5, False), (1, "b", "z", 5, None, True)]
