@@ -97,7 +97,7 @@ def parallelism_control(t):
 
 
 INCOMING = "SELECT c_custkey AS cust, c_nationkey AS nation, c_mktsegment AS segment FROM customer"
-CURRENT = """SELECT DISTINCT concat('id-', cast(o_custkey AS STRING)) AS _id, o_custkey AS cust FROM orders WHERE o_orderpriority = '1-URGENT'"""
+CURRENT = """SELECT DISTINCT concat('id-', cast(o_custkey AS STRING)) AS _id, CASE WHEN o_orderpriority = '1-URGENT' THEN o_custkey ELSE -o_custkey END AS cust FROM orders"""
 
 
 def _doc_merge(t):
@@ -150,11 +150,11 @@ def crm_upsert(t):
 
 
 def _files_sink(name: str, fmt: str) -> None:
-    @query(name, "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'")
+    @query(name, "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
     def sink(t):
         path = t.scratch(f"sink-{fmt}")
         rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus")
-        for status in ("F", "O"):
+        for status in ("F", "O", "P"):
             files.write_files(rows.where(F.col("o_orderstatus") == status), path, fmt, "append", ["o_orderstatus"])
         return t.spark.read.schema(rows.schema).format(fmt).load(path).select(*rows.columns)
 

@@ -127,11 +127,11 @@ def recent_jobs(t):
 @query(
     "i6_job_user_join",
     """SELECT event_id, user_id AS created_by, c_name AS creator_name, c_name || '@x.org' AS creator_email
-       FROM events LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') ON c_custkey = user_id""",
+       FROM events LEFT JOIN customer ON CASE WHEN c_mktsegment = 'BUILDING' THEN -c_custkey ELSE c_custkey END = user_id""",
 )
 def job_user_join(t):
-    users = t.customer.where("c_mktsegment <> 'BUILDING'").select(
-        F.col("c_custkey").alias("id"),
+    users = t.customer.select(
+        F.when(F.col("c_mktsegment") == "BUILDING", -F.col("c_custkey")).otherwise(F.col("c_custkey")).alias("id"),
         F.struct(F.concat("c_name", F.lit("@x.org")).alias("email"), F.col("c_name").alias("name")).alias("profile"))
     return metrics.with_creator(t.events.select("event_id", F.col("user_id").alias("created_by")), users)
 
@@ -159,8 +159,8 @@ def target_name_by_type(t):
 
 @query(
     "i9_usage_rollup",
-    """WITH u AS (SELECT DISTINCT l_partkey AS item_id, l_suppkey AS user_id FROM lineitem WHERE l_returnflag = 'R'),
-            n AS (SELECT s_suppkey, s_name FROM supplier WHERE s_acctbal > 1000)
+    """WITH u AS (SELECT DISTINCT CASE WHEN l_returnflag = 'R' THEN l_partkey ELSE -l_partkey END AS item_id, l_suppkey AS user_id FROM lineitem),
+            n AS (SELECT CASE WHEN s_acctbal > 1000 THEN s_suppkey ELSE -s_suppkey END AS s_suppkey, s_name FROM supplier)
        SELECT p_partkey AS item_id, CASE WHEN p_type = 'ECONOMY' THEN CAST(p_partkey AS VARCHAR) ELSE p_name END AS item_name,
               CASE WHEN user_id IS NOT NULL THEN coalesce(s_name, 'deleted_user') END AS user_name
        FROM part LEFT JOIN u ON item_id = p_partkey LEFT JOIN n ON s_suppkey = user_id""",
@@ -168,8 +168,11 @@ def target_name_by_type(t):
 def usage_rollup(t):
     items = t.part.select(
         F.col("p_partkey").alias("item_id"), F.when(F.col("p_type") != "ECONOMY", F.col("p_name")).alias("item_name"))
-    usage = t.lineitem.where("l_returnflag = 'R'").select(F.col("l_partkey").alias("item_id"), F.col("l_suppkey").alias("user_id"))
-    users = t.supplier.where("s_acctbal > 1000").select(F.col("s_suppkey").alias("user_id"), F.col("s_name").alias("user_name"))
+    def shifted(keeps, key):
+        return F.when(F.expr(keeps), F.col(key)).otherwise(-F.col(key))
+
+    usage = t.lineitem.select(shifted("l_returnflag = 'R'", "l_partkey").alias("item_id"), F.col("l_suppkey").alias("user_id"))
+    users = t.supplier.select(shifted("s_acctbal > 1000", "s_suppkey").alias("user_id"), F.col("s_name").alias("user_name"))
     return metrics.usage_pairs(items, usage, users)
 
 

@@ -37,8 +37,9 @@ _both(
          AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')""",
 )
 
-_L = "SELECT o_orderkey AS k, o_custkey FROM orders WHERE o_orderpriority <> '1-URGENT'"
-_R = "SELECT l_orderkey AS k, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'R'"
+# Whole tables; shifted keys are those that find no partner.
+_L = "SELECT CASE WHEN o_orderpriority = '1-URGENT' THEN -o_orderkey ELSE o_orderkey END AS k, o_custkey FROM orders"
+_R = "SELECT CASE WHEN l_returnflag = 'R' THEN l_orderkey ELSE l_orderkey + 10000000000 END AS k, l_linenumber, l_quantity FROM lineitem"
 for _name, _join in (
     ("inner", "JOIN r ON l.k = r.k"),
     ("left_outer", "LEFT OUTER JOIN r ON l.k = r.k"),
