@@ -282,6 +282,10 @@ def _factors(t: pa.Table, length: int) -> pa.RecordBatch:
     data = np.frombuffer(b"".join(texts), dtype=np.uint8)
     row = np.repeat(np.arange(len(n)), n)
     shift = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    # a text that comes as several rows may be cut otherwise in each: every place counts once
+    doc = np.cumsum(np.r_[True, (name[1:] != name[:-1]) | (id_[1:] != id_[:-1]) | (h[1:] != h[:-1])])
+    _, once = np.unique((doc[row] << np.int64(40)) + start[row] + shift, return_index=True)
+    row, shift = row[once], shift[once]
     group = np.cumsum(np.r_[True, name[1:] != name[:-1]])[row]
     windows = np.lib.stride_tricks.sliding_window_view(data, length)[begin[row] + shift]
     # the gram's number ahead of the window keeps the suffixes of one gram together

@@ -76,7 +76,7 @@ def test_decontaminated_keeps_clean_rows_with_their_columns(spark):
 
 def test_proximity(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
-    rows = [(1, item), (2, item.replace("gamma", "gamma so").replace("delta", "other")), (3, "alpha kappa")]
+    rows = [(1, item), (2, item.replace("beta", "beta so")), (3, "alpha kappa")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     matches, _, _ = decontamination.benchmark_matches(docs, bench)
