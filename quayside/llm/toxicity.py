@@ -29,13 +29,13 @@ HEADS = (3, 4, 5, 6)
 EDGES = ".,;:!?\"'()[]{}<>«»„“”‘’-–—*#_~`|/\\"
 # Labelled rows that a class is fitted on, by smallest hash of their id, and terms that are kept.
 FIT_ROWS = 10_000
-FIT_TERMS = 4096
+FIT_TERMS = 2048
 # A term is kept if it is in so many fitting rows and so many deviations apart between the classes.
 LEAST_ROWS = 5
 LEAST_DEVIATION = 5.0
 FACTORS = 8
-STEPS = 400
-RATE = 0.05
+STEPS = 200
+RATE = 0.08
 DECAY = 2e-3
 CUT = 0.7
 KNOWN_WORDS = 300_000
@@ -104,23 +104,26 @@ def fit(terms: np.ndarray, rows: list[np.ndarray], labels: np.ndarray, *, seed:
     labels = np.array([float(x.partition(":")[0]) for x in alike])
     rows = [np.array(x.partition(":")[2].split(",") if x[2:] else [], dtype=np.int64) for x in alike.tolist()]
     worth = np.where(labels == 1, 0.5 / share, 0.5 / (1 - share)) * weigh / n
-    n = len(rows)
-    sizes = np.fromiter(map(len, rows), dtype=np.int64, count=n)
-    at, row = np.concatenate(rows), np.repeat(np.arange(n), sizes)
+    sizes = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+    full = np.flatnonzero(sizes)  # rows that have terms, whose terms stand side by side
+    at, begins = np.concatenate(rows), (np.cumsum(sizes) - sizes)[full]
+    row = np.repeat(np.arange(len(full)), sizes[full])
+    by_term = np.argsort(at, kind="stable")
+    met, first = np.unique(at[by_term], return_index=True)
     bias = 0.0
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (np.zeros(1), weights, vectors)]
     for step in range(1, STEPS + 1):
-        raw, total = _raw(bias, weights, vectors, at, row, n)
+        v, raw = vectors[at], np.full(len(rows), bias)
+        total = np.add.reduceat(v, begins, axis=0)
+        own = np.add.reduceat((v**2).sum(axis=1), begins)
+        raw[full] += np.add.reduceat(weights[at], begins) + 0.5 * ((total**2).sum(axis=1) - own)
         off = (_chance(raw) - labels) * worth
-        each = off[row]
-        slope_v = each[:, None] * (total[row] - vectors[at])
-        slopes = [
-            np.array([off.sum()]),
-            np.bincount(at, weights=each, minlength=len(terms)) + DECAY * weights / len(terms),
-            np.stack([np.bincount(at, weights=s, minlength=len(terms)) for s in slope_v.T], axis=1) + DECAY * vectors,
-        ]
+        each = off[full][row]
+        slope_w, slope_v = DECAY * weights / len(terms), DECAY * vectors
+        slope_w[met] += np.add.reduceat(each[by_term], first)
+        slope_v[met] += np.add.reduceat((each[:, None] * (total[row] - v))[by_term], first, axis=0)
         moves = []
-        for (mean, square), slope in zip(state, slopes, strict=True):
+        for (mean, square), slope in zip(state, (np.array([off.sum()]), slope_w, slope_v), strict=True):
             mean += 0.1 * (slope - mean)
             square += 0.01 * (slope**2 - square)
             moves.append(RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8))
@@ -202,9 +205,14 @@ class _Reader:
         if len(self.known) > KNOWN_WORDS:
             self.known.clear()
         words, known, place = _words(text), self.known, self.place
-        for word in words - known.keys():
-            known[word] = tuple(place[b] for b in _buckets(word) if b in place)
-        return np.array(sorted({i for word in words for i in known[word]}), dtype=np.int64)
+        found: set[int] = set()
+        for word in words:
+            own = known.get(word)
+            if own is None:
+                own = known[word] = tuple(place[b] for b in _buckets(word) if b in place)
+            if own:
+                found.update(own)
+        return np.array(sorted(found), dtype=np.int64)
 
 
 def toxicity_scores(docs: DataFrame, model: FactorizationMachine, *, text_col: str = "text") -> DataFrame:
