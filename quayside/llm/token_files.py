@@ -18,7 +18,9 @@ from __future__ import annotations
 import itertools
 import posixpath
 import re
+import string
 import struct
+import unicodedata
 import uuid
 from collections.abc import Iterator, Sequence
 
@@ -33,7 +35,7 @@ from quayside.session import scratch_path
 FRAME_IDS = 1 << 16
 VERSION = 1
 LEVEL = 3
-# Distinct text pieces whose ids a task remembers.
+# Distinct text pieces whose ids a task remembers: the last so many, and those it used before them.
 KNOWN_PIECES = 300_000
 # Fixed values of the seekable zstandard format.
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -44,84 +46,84 @@ SEPARATORS = "[\x1c-\x1f]"
 BLANKS = r"[ \t\n\r\f\v]+"
 
 
+# Fixed values of byte-level tokenizers: bytes that stand for themselves as characters. The others
+# take the characters from 256 on, in order.
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+
+
+class _Known(dict):
+    """Ids by piece. What is missing is made, and what was not used for long is forgotten."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.before = make, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) > KNOWN_PIECES:
+            self.before = dict(self)
+            self.clear()
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = self.make(piece)
+        self[piece] = ids
+        return ids
+
+
 class Encoder:
-    """Ids of texts by pieces between blanks, each distinct piece encoded once.
+    """Ids of texts as bytes, little-endian, ``width`` bytes each, the end id behind every text.
 
-    The tokenizer must drop white space and never join over it, as ``piecewise`` says; its ids of
-    a text are then those of the text's pieces in a row. Stop marks behind a letter or digit are
-    pieces of their own, and ASCII pieces are looked up in lower case if the tokenizer lowers them.
-    Any other tokenizer encodes texts whole.
+    A tokenizer that drops white space and never joins over it (``piecewise``) gives a text the ids
+    of its pieces between blanks in a row, and each distinct piece is encoded once. Marks
+    behind a letter or digit are pieces of their own. Plain Latin words take a shorter way through
+    the tokenizer (``direct``): normalizing and cutting would not change them but for lower case, so
+    they go to its model at once. Any other tokenizer encodes texts whole.
     """
 
     def __init__(self, path: str, end_id: int):
+        import json
+
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end_id = end_id
-        self.piecewise, self.lowers = self._traits()
-        self._forget()
-
-    def _traits(self) -> tuple[bool, bool]:
-        import json
-
+        self.model = self.tokenizer.model
+        self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        self.end = self._packed([end_id])
         spec = json.loads(self.tokenizer.to_str())
-        names = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
-        splits = [p for p in (spec["pre_tokenizer"] or {}).get("pretokenizers", []) if p["type"] == "Split"]
-        drops = any(p["behavior"] == "Removed" and p["invert"] and r"\s" in str(p["pattern"]) for p in splits)
-        return drops and spec["post_processor"] is None, "Lowercase" in names
-
-    def _forget(self) -> None:
-        self.known: dict = {None: 0}
-        self.flat = np.array([self.end_id], dtype=np.uint32)
-        self.starts, self.sizes = np.zeros(1, dtype=np.int64), np.ones(1, dtype=np.int64)
-
-    def _parts(self, piece: str) -> tuple[str, ...]:
-        if "<|" in piece:
-            return (piece,)
-        stem = piece.rstrip(".,;:!?")
-        parts = (stem, piece[len(stem):]) if stem and stem != piece and stem[-1].isalnum() else (piece,)
-        return tuple(p.lower() if self.lowers and p.isascii() else p for p in parts)
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Adds ids of new pieces; those of parts already met are put together from theirs."""
-        split = {p: self._parts(p) for p in pieces}
-        fresh = sorted({x for parts in split.values() for x in parts} - self.known.keys())
-        ids = [e.ids for e in self.tokenizer.encode_batch(fresh, add_special_tokens=False)]
-        of = dict(zip(fresh, ids, strict=True))
-        for part in {x for parts in split.values() for x in parts} - of.keys():
-            k = self.known[part]
-            of[part] = self.flat[self.starts[k] : self.starts[k] + self.sizes[k]].tolist()
-        added = [(p, of[p]) for p in fresh]
-        added += [(p, list(itertools.chain.from_iterable(of[x] for x in parts))) for p, parts in split.items() if p not in of]
-        sizes = np.fromiter((len(x) for _, x in added), dtype=np.int64, count=len(added))
-        flat = np.fromiter(itertools.chain.from_iterable(x for _, x in added), dtype=np.uint32, count=int(sizes.sum()))
-        base = len(self.flat) + np.cumsum(sizes) - sizes
-        self.known.update(zip((p for p, _ in added), range(len(self.sizes), len(self.sizes) + len(added)), strict=True))
-        self.flat, self.starts, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.starts, base]), np.concatenate([self.sizes, sizes])
-
-    def encode(self, texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
-        """``(ids, sizes)``: the ids of all texts in a row, end ids included, and how many each has."""
+        normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        split = steps[0] if steps and steps[0]["type"] == "Split" else {}
+        self.piecewise = (
+            split.get("behavior") == "Removed" and split["invert"] and r"[^\s\p{L}\p{N}]+" in str(split["pattern"].get("Regex")) and spec["post_processor"] is None
+        )
+        level = steps[1:] == [{"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+        self.direct = self.piecewise and level and normal == ["NFC", "Replace", "Lowercase"] and r"[\p{L}]+" in split["pattern"]["Regex"]
+        rest = (b for b in range(256) if b not in PRINTABLE)
+        self.shown = {b: 256 + i for i, b in enumerate(rest)}
+        self.known = _Known(self._piece)
+
+    def _packed(self, ids: Sequence[int]) -> bytes:
+        return np.array(ids, dtype=f"<u{self.width}").tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        if "<|" not in piece:
+            stem = piece.rstrip(string.punctuation)
+            if stem and stem != piece and stem[-1].isalnum():
+                return self.known[stem] + self.known[piece[len(stem):]]
+            if self.direct and piece.isalpha():
+                lower = piece.lower()
+                if piece.isascii():
+                    return self.known[lower] if lower != piece else self._packed([t.id for t in self.model.tokenize(piece)])
+                # up to here letters have one lower-case letter each, but for this one
+                if max(piece) < "\u0250" and "\u0130" not in piece and unicodedata.is_normalized("NFC", piece):
+                    shown = lower.encode().decode("latin-1").translate(self.shown)
+                    return self._packed([t.id for t in self.model.tokenize(shown)])
+        return self._packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
+
+    def encode(self, text: str) -> bytes:
         if not self.piecewise:
-            each = [[*e.ids, self.end_id] for e in self.tokenizer.encode_batch(list(texts), add_special_tokens=False)]
-            sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
-            return np.fromiter(itertools.chain.from_iterable(each), dtype=np.uint32, count=int(sizes.sum())), sizes
-        if len(self.known) > KNOWN_PIECES:
-            self._forget()
-        pieces: list = []
-        counts = []
-        for text in texts:
-            own = [p for p in re.split(BLANKS, text) if p] if re.search(SEPARATORS, text) else text.split()
-            pieces += own
-            pieces.append(None)
-            counts.append(len(own) + 1)
-        if fresh := set(pieces) - self.known.keys():
-            self._learn(fresh)
-        at = np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-        sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        ids = self.flat[np.arange(int(ends[-1])) + np.repeat(self.starts[at] - (ends - sizes), sizes)]
-        last = np.cumsum(counts) - 1
-        return ids, np.diff(ends[last], prepend=0)
+            return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids) + self.end
+        pieces = [p for p in re.split(BLANKS, text) if p] if re.search(SEPARATORS, text) else text.split()
+        return b"".join(map(self.known.__getitem__, pieces)) + self.end
 
 
 class FileWriter:
@@ -134,7 +136,7 @@ class FileWriter:
         self.pack = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True, write_content_size=True).compress
         self.table: list[bytes] = []
         self.docs: list[tuple] = []
-        self.waiting: list[np.ndarray] = []
+        self.waiting: list[bytes] = []
         self.held, self.total = 0, 0
 
     def _frame(self, data: bytes) -> None:
@@ -146,16 +148,17 @@ class FileWriter:
 
     def _flush(self) -> None:
         if self.held:
-            self._frame(np.concatenate(self.waiting).astype(f"<u{self.width}").tobytes())
+            self._frame(b"".join(self.waiting))
             self.waiting, self.held = [], 0
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        if self.held and self.held + len(ids) > FRAME_IDS:
+    def add(self, doc_id: int | None, ids: bytes) -> None:
+        n = len(ids) // self.width
+        if self.held and self.held + n > FRAME_IDS:
             self._flush()
-        self.docs.append((doc_id is not None, doc_id or 0, self.total, len(ids), len(self.table), self.held))
+        self.docs.append((doc_id is not None, doc_id or 0, self.total, n, len(self.table), self.held))
         self.waiting.append(ids)
-        self.held += len(ids)
-        self.total += len(ids)
+        self.held += n
+        self.total += n
 
     def close(self) -> None:
         self._flush()
@@ -209,7 +212,11 @@ class FileReader:
 def _opened(uri: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+    if uri.startswith("/"):
+        uri = f"file://{uri}"
+    elif uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = uri.replace("file:/", "file:///", 1)
+    return fs.FileSystem.from_uri(uri)
 
 
 MANIFEST = "part int, file string, docs long, ids long, first_id long, last_id long"
@@ -250,19 +257,13 @@ def write_token_files(
         encoder = Encoder(tokenizer, end_id)
         filesystem, root = _opened(folder)
         filesystem.create_dir(root, recursive=True)
-        width = 2 if max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        writer = FileWriter(filesystem.open_output_stream(posixpath.join(root, name)), width)
+        writer = FileWriter(filesystem.open_output_stream(posixpath.join(root, name)), encoder.width)
         low = high = None
         for batch in itertools.chain([first], batches):
-            for at in range(0, batch.num_rows, 256):
-                doc_ids, texts = (c.to_pylist() for c in batch.slice(at, 256).columns)
-                ids, sizes = encoder.encode(texts)
-                ends = np.cumsum(sizes).tolist()
-                for doc_id, start, end in zip(doc_ids, [0, *ends], ends, strict=False):
-                    writer.add(doc_id, ids[start:end].copy())
-                known = [x for x in doc_ids if x is not None]
-                if known:
-                    low, high = known[0] if low is None else low, known[-1]
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                writer.add(doc_id, encoder.encode(text.as_py()))
+                if doc_id is not None:
+                    low, high = doc_id if low is None else low, doc_id
         writer.close()
         out = [task.partitionId()], [name], [len(writer.docs)], [writer.total], [low], [high]
         kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
