@@ -32,6 +32,7 @@ CONTROL_DEFAULTS = {
     "DERIVED_FORMAT": "",
     "SCD_TYPE_2": "False",
     "TPT_WITHOUT_PROCESSING": "False",
+    "TABLE_TYPE": "managed_table",
     "USER_MANAGED_TABLE_TARGET_PATH": "",
     "RTRIM_STRING_COLUMNS": "False",
     "CUSTOM_TAGS": "",
