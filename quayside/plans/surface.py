@@ -172,17 +172,16 @@ _both(
 @query("k11_tablesample_percent", "SELECT 0 AS strangers, 0 AS repeated, true AS about_a_tenth, true AS same_again FROM orders LIMIT 1")
 def tablesample_percent(t):
     """A sample by its properties: rows of the table, each once, about a tenth, the same for a seed."""
-    sample = t.sql("SELECT o_orderkey, o_totalprice FROM orders TABLESAMPLE (10 PERCENT) REPEATABLE (7)")
-    again = t.sql("SELECT o_orderkey, o_totalprice FROM orders TABLESAMPLE (10 PERCENT) REPEATABLE (7)")
-    marks = [F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("d"), F.sum(F.xxhash64("o_orderkey", "o_totalprice").cast("decimal(38,0)")).alias("h")]
-    strangers = sample.exceptAll(t.orders.select("o_orderkey", "o_totalprice")).agg(F.count("*").cast("int").alias("strangers"))
-    one = sample.agg(*marks).withColumn("k", F.lit(1))
-    two = again.agg(*marks).toDF("n2", "d2", "h2").withColumn("k", F.lit(1))
-    total = t.orders.agg(F.count("*").alias("total")).withColumn("k", F.lit(1))
-    joined = one.join(two, "k").join(total, "k").join(strangers.withColumn("k", F.lit(1)), "k")
-    return joined.select(
-        "strangers", (F.col("n") - F.col("d")).cast("int").alias("repeated"),
-        (F.abs(F.col("n") / F.col("total") - 0.1) < 0.05).alias("about_a_tenth"), ((F.col("n") == F.col("n2")) & (F.col("h") == F.col("h2"))).alias("same_again"))
+    text = "SELECT o_orderkey, o_totalprice FROM orders"
+    drawn = f"{text} TABLESAMPLE (10 PERCENT) REPEATABLE (7)"
+    parts = [t.sql(q).withColumn("part", F.lit(name)) for name, q in (("all", text), ("one", drawn), ("two", drawn))]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("o_orderkey", "o_totalprice").agg(
+        *[F.count(F.when(F.col("part") == name, 1)).alias(name) for name in ("all", "one", "two")])
+    return rows.agg(
+        F.count(F.when((F.col("one") > 0) & (F.col("all") == 0), 1)).cast("int").alias("strangers"),
+        F.count(F.when(F.col("one") > F.col("all"), 1)).cast("int").alias("repeated"),
+        (F.abs(F.sum("one") / F.sum("all") - 0.1) < 0.05).alias("about_a_tenth"),
+        (F.count(F.when(F.col("one") != F.col("two"), 1)) == 0).alias("same_again"))
 
 
 @query("k11_tablesample_rows", "SELECT 50 AS rows, 0 AS strangers FROM orders LIMIT 1")

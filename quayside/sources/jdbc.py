@@ -177,7 +177,8 @@ def jdbc_scan(
     if split.how:
         if values is None and split.how not in HASH_SPLITS and not DATE_SPLITS.get(split.how):
             asked = f"(SELECT DISTINCT {split_expression(split, dialect)} AS v FROM {table}) q"
-            values = sorted(r[0] for r in spark.read.jdbc(url, asked, properties=properties).collect() if r[0] is not None)
+            found = spark.read.jdbc(url, asked, properties=properties).toLocalIterator()  # one row per date part
+            values = sorted(r[0] for r in found if r[0] is not None)
         return spark.read.jdbc(url, table, predicates=split_predicates(split, values, dialect), properties=properties)
     if bounds is None:
         raise ValueError("a split by value needs the lowest and highest value")
