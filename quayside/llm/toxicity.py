@@ -29,13 +29,13 @@ HEADS = (3, 4, 5, 6)
 EDGES = ".,;:!?\"'()[]{}<>«»„“”‘’-–—*#_~`|/\\"
 # Labelled rows that a class is fitted on, by smallest hash of their id, and terms that are kept.
 FIT_ROWS = 10_000
-FIT_TERMS = 2048
+FIT_TERMS = 4096
 # A term is kept if it is in so many fitting rows and so many deviations apart between the classes.
 LEAST_ROWS = 5
 LEAST_DEVIATION = 5.0
 FACTORS = 8
-STEPS = 200
-RATE = 0.08
+STEPS = 400
+RATE = 0.05
 DECAY = 2e-3
 CUT = 0.7
 KNOWN_WORDS = 300_000

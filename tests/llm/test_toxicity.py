@@ -70,3 +70,13 @@ def test_edges(spark):
     model = toxicity.train(df, labels)
     kept = toxicity.not_toxic(df, model)
     assert kept.columns == df.columns and kept.count() <= len(rows)
+
+
+def test_many_telling_terms_are_all_kept(spark):
+    """700 words of toxic rows and their heads are 3,500 terms; each of them tells the classes apart."""
+    rng = random.Random(4)
+    words = ["".join(rng.sample("abcdefghijklmnopqrstuvwxyz", 8)) for _ in range(700)]
+    rows = [(i, " ".join([*words, str(i)]) if i % 2 else prose(rng, 9), "", "", 1, 0.0, 0, "") for i in range(120)]
+    model = toxicity.train(frame(spark, rows), spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int"))
+    want = set().union(*map(toxicity._buckets, words))
+    assert len(want) > 3000 and want <= set(model.terms.tolist())
