@@ -100,9 +100,10 @@ def merge_scd2(history: DataFrame, delta: DataFrame, keys: Sequence[str], at: st
     from; a key may come several times. A changed row cuts the version holding at that instant, even
     one closed long ago; a row equal to what holds just before it changes nothing (null equals
     null); a row that starts exactly with a version corrects it; a key or time without a version
-    gets one that lasts until the next begins. ``scd1_columns`` are not kept over time: a row that
-    differs in these alone overwrites them in the version it falls into. A null key matches
-    nothing: such rows come in as new versions.
+    gets one that lasts until the next begins. A null ``valid_from`` is an open start. A version
+    that ends where it starts holds at no instant: no change cuts it, and it stays as it is.
+    ``scd1_columns`` are not kept over time: a row that differs in these alone overwrites them in
+    the version it falls into. A null key matches nothing: such rows come in as new versions.
 
     History and delta are put side by side and shuffled by key once; versions and changes are then
     read in the order of time, so no key's rows are held in memory.
@@ -111,8 +112,9 @@ def merge_scd2(history: DataFrame, delta: DataFrame, keys: Sequence[str], at: st
     attrs = [c for c in delta.columns if c not in keys and c != at]
     kept, loose = [c for c in attrs if c not in scd1_columns], [c for c in attrs if c in scd1_columns]
     span = F.struct(F.col(VALID_FROM).alias("start"), F.col(VALID_TO).alias("end"), F.col(IS_CURRENT).alias("current"))
-    old = history.select(*keys, *attrs, F.col(VALID_FROM).alias("_t"), F.lit(0).alias("_new"), span.alias("_span"))
-    new = delta.select(*keys, *attrs, F.col(at).alias("_t"), F.lit(1).alias("_new"))
+    old = history.select(*keys, *attrs, F.col(VALID_FROM).alias("_t"), F.lit(0).alias("_new"), span.alias("_span"),
+                         F.coalesce(F.col(VALID_FROM) >= F.col(VALID_TO), F.lit(False)).alias("_idle"))
+    new = delta.select(*keys, *attrs, F.col(at).alias("_t"), F.lit(1).alias("_new"), F.lit(False).alias("_idle"))
     rows = old.unionByName(new, allowMissingColumns=True)
     lost = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
     # a null key is no key: each such row is told apart and stands alone
@@ -123,27 +125,29 @@ def merge_scd2(history: DataFrame, delta: DataFrame, keys: Sequence[str], at: st
         return Window.partitionBy(*keys, "_alone", *more).orderBy(*order)
 
     upto, later = (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_span", F.last("_span", ignorenulls=True).over(walk().rowsBetween(*upto)))
+    holding = F.last(F.when(~F.col("_idle"), F.col("_span")), ignorenulls=True).over(walk().rowsBetween(*upto))
+    rows = rows.withColumn("_span", F.when(F.col("_idle"), F.col("_span")).otherwise(holding))
     held = F.col("_span").isNotNull() & (F.col("_span.end").isNull() | (F.col("_t") < F.col("_span.end")))
     rows = rows.withColumns({"_from": F.col("_span.start"), "_held": held | (F.col("_new") == 0)})
-    within = walk("_from", "_held")
+    within = walk("_from", "_held", "_idle")
     same = F.equal_null(F.struct(*kept), F.lag(F.struct(*kept)).over(within)) if kept else F.lag(F.lit(1)).over(within).isNotNull()
     rows = rows.withColumn("_cuts", (F.col("_new") == 0) | ~F.coalesce(same, F.lit(False)))
     if loose:
         rows = rows.withColumn("_run", F.sum(F.col("_cuts").cast("int")).over(within.rowsBetween(*upto)))
-        whole = walk("_from", "_held", "_run").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        whole = walk("_from", "_held", "_idle", "_run").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         rows = rows.withColumns({c: F.last(c).over(whole) for c in loose})
     # looking back from the end, the nearest later change and the nearest later version
     change = F.last(F.when(F.col("_cuts") & (F.col("_new") == 1), F.col("_t")), ignorenulls=True)
     version = F.last(F.when(F.col("_new") == 0, F.col("_t")), ignorenulls=True)
     rows = rows.withColumns({
-        "_change": change.over(walk("_from", "_held", back=True).rowsBetween(*later)),
+        "_change": change.over(walk("_from", "_held", "_idle", back=True).rowsBetween(*later)),
         "_version": version.over(walk(back=True).rowsBetween(*later)),
     })
     ends = F.when(F.col("_held"), F.coalesce("_change", F.col("_span.end"))).otherwise(F.least("_change", "_version"))
     open_ = F.when(F.col("_held"), F.col("_change").isNull() & F.col("_span.current")).otherwise(ends.isNull())
-    cut = rows.where("_cuts").select(*keys, *attrs, F.col("_t").alias(VALID_FROM), ends.alias(VALID_TO), open_.alias(IS_CURRENT))
-    return cut.where(F.col(VALID_TO).isNull() | (F.col(VALID_FROM) < F.col(VALID_TO)))
+    # what a change at its own start leaves without length goes; all other history stays
+    left = rows.where(F.col("_cuts") & ~F.coalesce(F.col("_change") == F.col("_t"), F.lit(False)))
+    return left.select(*keys, *attrs, F.col("_t").alias(VALID_FROM), ends.alias(VALID_TO), open_.alias(IS_CURRENT))
 
 
 def with_partition(df: DataFrame, parent: str, fmt: str, name: str) -> DataFrame:

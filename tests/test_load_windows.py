@@ -197,3 +197,26 @@ def test_scd1_columns_are_overwritten(spark):
     d = spark.createDataFrame([(1, "a", "y", 3), (1, "b", "y", 5), (1, "b", "z", 7)], "k int, v string, w string, at int")
     got = sorted(map(tuple, load.merge_scd2(h, d, ["k"], "at", scd1_columns=["w"]).collect()))
     assert got == [(1, "a", "y", 0, 5, False), (1, "b", "z", 5, None, True)]
+
+
+def test_scd2_keeps_open_starts_and_versions_without_length(spark):
+    """Only a change at a version's own start takes that version away."""
+    shape = "k int, v string, valid_from int, valid_to int, is_current boolean"
+    history = [(1, "a", None, 5, False), (1, "b", 5, None, True), (2, "z", 3, 3, False), (2, "a", 3, None, True), (3, "z", 4, 4, False)]
+    h = spark.createDataFrame(history, shape)
+
+    def merged(*delta):
+        d = spark.createDataFrame(delta, "k int, v string, at int")
+        return sorted(map(tuple, load.merge_scd2(h, d, ["k"], "at").collect()), key=str)
+
+    def shown(*rows):
+        return sorted(rows, key=str)
+
+    assert merged() == shown(*history)
+    got = merged((1, "c", 2), (1, "d", 5), (2, "b", 3), (3, "n", 1))
+    assert got == shown(
+        (1, "a", None, 2, False), (1, "c", 2, 5, False), (1, "d", 5, None, True),
+        (2, "z", 3, 3, False), (2, "b", 3, None, True), (3, "n", 1, 4, False), (3, "z", 4, 4, False))
+    later = merged((2, "b", 8), (2, "a", 6), (3, "n", 9))
+    assert later == shown(
+        *history[:3], (2, "a", 3, 8, False), (2, "b", 8, None, True), (3, "z", 4, 4, False), (3, "n", 9, None, True))
