@@ -147,14 +147,31 @@ def usage_pairs(items: DataFrame, usage: DataFrame, users: DataFrame) -> DataFra
 def json_values(json_text, key: str) -> Column:
     """Every text or number stored under ``key`` at any depth of a JSON text, alone or in a list.
 
-    A value is found by its shape and decoded by the JSON reader, escapes included; null, true,
-    false and objects give nothing.
+    The text is read by tokens, so brackets inside quoted texts are no lists, and lists may lie in
+    lists. A value is decoded by the JSON reader, escapes included; null, true, false and objects
+    give nothing, a key inside such an object does.
     """
-    value = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"|-?[0-9][0-9.eE+-]*|\[[^\[\]{}]*+\]'
-    pattern = rf'"{re.escape(key)}"\s*:\s*({value})'
-    found = F.regexp_extract_all(F.col(json_text), F.lit(pattern), F.lit(1))
-    listed = F.transform(found, lambda v: F.when(F.startswith(v, F.lit("[")), v).otherwise(F.concat(F.lit("["), v, F.lit("]"))))
-    read = F.flatten(F.transform(listed, lambda v: F.coalesce(F.from_json(v, "array<string>"), F.array().cast("array<string>"))))
+    token = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"(?:\s*+:)?+|-?[0-9][0-9.eE+-]*|[\[\]{}]'
+    tokens = F.regexp_extract_all(F.col(json_text), F.lit(token), F.lit(0))
+    start = F.struct(F.lit("").alias("open"), F.lit(False).alias("hit"), F.array().cast("array<string>").alias("found"))
+
+    def step(s, t):
+        # open: what is open, innermost first: K a list under the key, L another list, O an object
+        wanted = s["hit"] | F.startswith(s["open"], F.lit("K"))
+
+        def state(open_, hit=F.lit(False), found=s["found"]):
+            return F.struct(open_.alias("open"), hit.alias("hit"), found.alias("found"))
+
+        return (F.when(F.endswith(t, F.lit(":")), state(s["open"], F.rlike(t, F.lit(rf'^"{re.escape(key)}"\s*:$'))))
+                .when(t == "[", state(F.concat(F.when(wanted, "K").otherwise("L"), s["open"])))
+                .when(t == "{", state(F.concat(F.lit("O"), s["open"])))
+                .when(t.isin("]", "}"), state(F.substr(s["open"], F.lit(2))))
+                .when(wanted, state(s["open"], found=F.concat(s["found"], F.array(t))))
+                .otherwise(state(s["open"])))
+
+    found = F.aggregate(tokens, start, step, lambda s: s["found"])
+    read = F.flatten(F.transform(found, lambda v: F.coalesce(
+        F.from_json(F.concat(F.lit("["), v, F.lit("]")), "array<string>"), F.array().cast("array<string>"))))
     return F.array_distinct(F.array_compact(read))
 
 

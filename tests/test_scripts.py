@@ -78,6 +78,16 @@ def test_json_values_of_any_shape(spark):
     assert got == [["a"], ["17", "s1", "s2", "3"], ['q"x\\y'], [], [], None, []]
 
 
+def test_json_values_in_lists_with_brackets(spark):
+    held = [
+        {"secret_id": ["a", "x{1}", "y]"], "b": "c"}, {"secret_id": ["a", ["b", [4]], "c"], "n": ["d"]},
+        {"secret_id": ["a", {"n": "b", "m": ["c"], "secret_id": ["d"]}, "e", None, True]}, {"secret_id": None, "l": ["a"]},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(t)) for i, t in enumerate(held)], "i int, j string")
+    got = [r[0] for r in df.orderBy("i").select(metrics.json_values("j", "secret_id")).collect()]
+    assert got == [["a", "x{1}", "y]"], ["a", "b", "4", "c"], ["a", "d", "e"], []]
+
+
 def test_rows_of_neither_kind_give_their_first(spark):
     shape = "job_id int, table_id int, job_type string, seq int, job_status string, fetch_records_count long, target_records_count long, " + ", ".join(
         f"{c} string" for c in ("source_schema_name", "source_database_name", "first_merged_watermark", "last_merged_watermark", "workflow_id", "workflow_run_id"))
