@@ -14,9 +14,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 BLANK = r"[\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
 BUCKETS = 1 << 16
-# Trusted rows the target is counted from, by smallest hash of their id: a bounded fit, by which
-# their ids may be sent to every executor.
-TRUSTED_ROWS = 50_000
+# Trusted ids that may be sent to every executor; more are joined by a shuffle.
+BROADCAST_IDS = 500_000
 # Mean log ratio from which on a text is kept.
 THRESHOLD = -0.2
 REPEAT_WINDOW = 8
@@ -43,16 +42,16 @@ def _bucket(gram: Column) -> Column:
     return F.pmod(gram, F.lit(BUCKETS)).cast("int")
 
 
-def bucket_counts(docs: DataFrame, trusted_ids: DataFrame, *, id_col: str, text_col: str, rows: int = TRUSTED_ROWS) -> DataFrame:
+def bucket_counts(docs: DataFrame, trusted_ids: DataFrame, *, id_col: str, text_col: str) -> DataFrame:
     """``bucket, raw, target``: how many n-grams of the corpus and of the target fall into each.
 
-    ``trusted_ids`` has one column of ids. All documents are counted for the corpus, those of at
-    most ``rows`` trusted ids for the target. Every bucket is there and starts at one.
+    ``trusted_ids`` has one column of ids. All documents are counted for the corpus, those of all
+    trusted ids for the target. Every bucket is there and starts at one.
     """
     ids = trusted_ids.toDF("_trusted").where("_trusted is not null").distinct()
-    ids = ids.orderBy(F.xxhash64("_trusted"), "_trusted").limit(rows)
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("shuffle_hash")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    flagged = texts.join(F.broadcast(ids), F.col("_id") == F.col("_trusted"), "left")
+    flagged = texts.join(ids, F.col("_id") == F.col("_trusted"), "left")
     grams = _with_grams(flagged.select(F.col("_trusted").isNotNull().cast("int").alias("_flag"), words_of(F.col("_text")).alias("_words")))
     each = grams.select("_flag", F.explode(F.concat("_h1", "_h2")).alias("_gram"))
     counts = each.groupBy(_bucket(F.col("_gram")).alias("bucket")).agg(F.count("*").alias("raw"), F.sum("_flag").alias("target"))
@@ -94,7 +93,6 @@ def quality_report(
     id_col: str = "doc_id",
     text_col: str = "text",
     threshold: float = THRESHOLD,
-    trusted_rows: int = TRUSTED_ROWS,
 ) -> DataFrame:
     """One row per document: ``id_col``, the base counts, ``base_failed``, ``llr`` and ``kept``.
 
@@ -103,7 +101,7 @@ def quality_report(
     rows are judged alike; without trusted rows the target is uniform. An empty table gives no
     rows. Other columns are not read.
     """
-    ratios = log_ratios(bucket_counts(docs, trusted_ids, id_col=id_col, text_col=text_col, rows=trusted_rows))
+    ratios = log_ratios(bucket_counts(docs, trusted_ids, id_col=id_col, text_col=text_col))
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = docs.select(F.col(id_col).alias("_id"), text.alias("_text"), words_of(F.col(text_col)).alias("_words"))
     lines = F.filter(F.split("_text", "\n", -1), lambda line: F.btrim(line, F.lit(BLANKS)) != "")

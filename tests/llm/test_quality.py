@@ -78,3 +78,12 @@ def test_empty_tables(spark, trusted):
     assert quality.quality_report(spark.createDataFrame([], SCHEMA), ids).collect() == []
     got = quality.quality_report(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), ids).collect()
     assert [(r["n_words"], r["base_failed"], r["kept"]) for r in got] == [(2, True, False)]
+
+
+@pytest.mark.parametrize("most", [quality.BROADCAST_IDS, 10])
+def test_target_is_counted_over_all_trusted_ids(spark, monkeypatch, most):
+    monkeypatch.setattr(quality, "BROADCAST_IDS", most)
+    docs = spark.range(60_000).selectExpr("id AS doc_id", "'a b' AS text")
+    ids = spark.range(1000, 60_000).toDF("doc_id")
+    sums = quality.bucket_counts(docs, ids, id_col="doc_id", text_col="text").selectExpr("sum(raw)", "sum(target)").first()
+    assert [x - quality.BUCKETS for x in sums] == [3 * 60_000, 3 * 59_000]
