@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import itertools
 import posixpath
-import re
 import string
 import struct
 import unicodedata
@@ -26,6 +25,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,9 +41,8 @@ KNOWN_PIECES = 300_000
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 ENTRY, FOOTER = "<III", "<IBI"
 DIRECTORY = np.dtype([("has_id", "u1"), ("doc_id", "<i8"), ("start", "<u8"), ("n", "<u8"), ("frame", "<u4"), ("at", "<u4")])
-# Blanks to Python that are none to the tokenizer.
-SEPARATORS = "[\x1c-\x1f]"
-BLANKS = r"[ \t\n\r\f\v]+"
+# Bytes of text whose words are encoded together.
+BATCH_BYTES = 1 << 25
 
 
 # Fixed values of byte-level tokenizers: bytes that stand for themselves as characters. The others
@@ -73,8 +72,8 @@ class Encoder:
     """Ids of texts as bytes, little-endian, ``width`` bytes each, the end id behind every text.
 
     A tokenizer that drops white space and never joins over it (``piecewise``) gives a text the ids
-    of its pieces between blanks in a row, and each distinct piece is encoded once. Marks
-    behind a letter or digit are pieces of their own. Plain Latin words take a shorter way through
+    of its pieces between ASCII blanks in a row, and each distinct piece of a batch is encoded once.
+    Marks behind a letter or digit are pieces of their own. Plain Latin words take a shorter way through
     the tokenizer (``direct``): normalizing and cutting would not change them but for lower case, so
     they go to its model at once. Any other tokenizer encodes texts whole.
     """
@@ -119,11 +118,42 @@ class Encoder:
                     return self._packed([t.id for t in self.model.tokenize(shown)])
         return self._packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
+    def _word(self, word: str) -> bytes:
+        """Ids of one distinct word of a batch; only its parts are remembered."""
+        known = self.known
+        if word in known:
+            return known[word]
+        if not word:
+            return b""
+        if "<|" not in word:
+            stem = word.rstrip(string.punctuation)
+            if stem and stem != word and stem[-1].isalnum():
+                return known[stem.lower() if self.direct and stem.isascii() else stem] + known[word[len(stem):]]
+        return known[word]
+
     def encode(self, text: str) -> bytes:
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text of a batch: its distinct words are encoded once and their ids taken by number."""
         if not self.piecewise:
-            return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids) + self.end
-        pieces = [p for p in re.split(BLANKS, text) if p] if re.search(SEPARATORS, text) else text.split()
-        return b"".join(map(self.known.__getitem__, pieces)) + self.end
+            return [self._packed(self.tokenizer.encode(t, add_special_tokens=False).ids) + self.end for t in texts.to_pylist()]
+        out: list[bytes] = []
+        sizes = np.cumsum(np.asarray(pc.binary_length(texts), dtype=np.int64))
+        at = 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH_BYTES, side="right")))
+            words = pc.ascii_split_whitespace(texts.slice(at, stop - at))
+            bounds = words.offsets.to_numpy()
+            distinct = words.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+            ids = pa.array([self._word(w) for w in distinct.dictionary.to_pylist()], pa.large_binary()).take(distinct.indices)
+            # the ids of all words of the batch, one behind the other
+            _, offsets, data = ids.buffers()
+            places = np.frombuffer(offsets, dtype=np.int64, count=len(ids) + 1)[bounds - bounds[0]].tolist()
+            joined = data.to_pybytes() if data is not None else b""
+            out += [joined[a:b] + self.end for a, b in zip(places, places[1:], strict=False)]
+            at = stop
+        return out
 
 
 class FileWriter:
@@ -260,8 +290,8 @@ def write_token_files(
         writer = FileWriter(filesystem.open_output_stream(posixpath.join(root, name)), encoder.width)
         low = high = None
         for batch in itertools.chain([first], batches):
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                writer.add(doc_id, encoder.encode(text.as_py()))
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode_all(batch.column(1)), strict=True):
+                writer.add(doc_id, ids)
                 if doc_id is not None:
                     low, high = doc_id if low is None else low, doc_id
         writer.close()
