@@ -19,9 +19,12 @@ import itertools
 import posixpath
 import string
 import struct
+import sys
+import types
 import unicodedata
 import uuid
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +71,17 @@ class _Known(dict):
         return ids
 
 
+def _tails(words: pa.Array, heads: np.ndarray) -> pa.Array:
+    """What is left of each word behind its first ``heads`` bytes."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32, count=words.offset + len(words) + 1)[words.offset :].astype(np.int64)
+    starts, sizes = ends[:-1] + heads, ends[1:] - ends[:-1] - heads
+    upto = np.r_[0, np.cumsum(sizes)]
+    places = np.repeat(starts - upto[:-1], sizes) + np.arange(upto[-1])
+    tails = np.frombuffer(data, dtype=np.uint8)[places] if upto[-1] else np.zeros(0, dtype=np.uint8)
+    return pa.StringArray.from_buffers(len(words), pa.py_buffer(upto.astype(np.int32)), pa.py_buffer(tails.tobytes()))
+
+
 class Encoder:
     """Ids of texts as bytes, little-endian, ``width`` bytes each, the end id behind every text.
 
@@ -86,6 +100,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+        self.kind = "H" if self.width == 2 else "I"
         self.end = self._packed([end_id])
         spec = json.loads(self.tokenizer.to_str())
         normal = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
@@ -96,40 +111,38 @@ class Encoder:
         )
         level = steps[1:] == [{"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
         self.direct = self.piecewise and level and normal == ["NFC", "Replace", "Lowercase"] and r"[\p{L}]+" in split["pattern"]["Regex"]
-        rest = (b for b in range(256) if b not in PRINTABLE)
-        self.shown = {b: 256 + i for i, b in enumerate(rest)}
+        rest = itertools.count(256)
+        self.shown = [chr(b) if b in PRINTABLE else chr(next(rest)) for b in range(256)]
         self.known = _Known(self._piece)
 
-    def _packed(self, ids: Sequence[int]) -> bytes:
-        return np.array(ids, dtype=f"<u{self.width}").tobytes()
+    def _packed(self, ids: Iterable[int]) -> bytes:
+        return array(self.kind, ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        if "<|" not in piece:
-            stem = piece.rstrip(string.punctuation)
-            if stem and stem != piece and stem[-1].isalnum():
-                return self.known[stem] + self.known[piece[len(stem):]]
-            if self.direct and piece.isalpha():
-                lower = piece.lower()
-                if piece.isascii():
-                    return self.known[lower] if lower != piece else self._packed([t.id for t in self.model.tokenize(piece)])
-                # up to here letters have one lower-case letter each, but for this one
-                if max(piece) < "\u0250" and "\u0130" not in piece and unicodedata.is_normalized("NFC", piece):
-                    shown = lower.encode().decode("latin-1").translate(self.shown)
-                    return self._packed([t.id for t in self.model.tokenize(shown)])
+        if self.direct and "<|" not in piece and piece.isalpha():
+            lower = piece.lower()
+            if piece.isascii():
+                return self._packed([t.id for t in self.model.tokenize(lower)])
+            # up to here letters have one lower-case letter each, but for this one
+            if max(piece) < "\u0250" and "\u0130" not in piece and unicodedata.is_normalized("NFC", piece):
+                shown = "".join(map(self.shown.__getitem__, lower.encode()))
+                return self._packed([t.id for t in self.model.tokenize(shown)])
         return self._packed(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
-    def _word(self, word: str) -> bytes:
-        """Ids of one distinct word of a batch; only its parts are remembered."""
-        known = self.known
-        if word in known:
-            return known[word]
-        if not word:
-            return b""
-        if "<|" not in word:
-            stem = word.rstrip(string.punctuation)
-            if stem and stem != word and stem[-1].isalnum():
-                return known[stem.lower() if self.direct and stem.isascii() else stem] + known[word[len(stem):]]
-        return known[word]
+    def _ids_of(self, distinct: pa.Array) -> pa.Array:
+        """Ids of distinct words as bytes. Marks behind a letter or digit are cut off and put back as ids."""
+        stems = pc.utf8_rtrim(distinct, characters=string.punctuation)
+        ends_well = pc.utf8_is_alnum(pc.utf8_slice_codeunits(stems, -1))
+        plain = pc.and_(ends_well, pc.invert(pc.match_substring(distinct, "<|")))
+        stems = pc.if_else(plain, stems, distinct)
+        if self.direct:
+            stems = pc.if_else(pc.ascii_is_alpha(stems), pc.ascii_lower(stems), stems)
+        ids = []
+        for part in (stems, _tails(distinct, np.asarray(pc.binary_length(stems)))):
+            coded, known = part.dictionary_encode(), self.known
+            own = pa.array([known[x] if x else b"" for x in coded.dictionary.to_numpy(zero_copy_only=False).tolist()], pa.large_binary())
+            ids.append(own.take(coded.indices))
+        return pc.binary_join_element_wise(*ids, pa.scalar(b"", pa.large_binary()))
 
     def encode(self, text: str) -> bytes:
         return self.encode_all(pa.array([text], pa.string()))[0]
@@ -146,7 +159,7 @@ class Encoder:
             words = pc.ascii_split_whitespace(texts.slice(at, stop - at))
             bounds = words.offsets.to_numpy()
             distinct = words.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
-            ids = pa.array([self._word(w) for w in distinct.dictionary.to_pylist()], pa.large_binary()).take(distinct.indices)
+            ids = self._ids_of(distinct.dictionary).take(distinct.indices)
             # the ids of all words of the batch, one behind the other
             _, offsets, data = ids.buffers()
             places = np.frombuffer(offsets, dtype=np.int64, count=len(ids) + 1)[bounds - bounds[0]].tolist()
@@ -156,6 +169,18 @@ class Encoder:
         return out
 
 
+def encoder_of(path: str, end_id: int) -> Encoder:
+    """An encoder that a Python worker keeps from one task to the next, with the words it knows.
+
+    It is kept by a module of the worker, not by this one, whose code comes anew with every task.
+    """
+    kept = sys.modules.setdefault("_quayside_encoders", types.ModuleType("_quayside_encoders")).__dict__
+    if (path, end_id) not in kept:
+        kept.clear()
+        kept[path, end_id] = Encoder(path, end_id)
+    return kept[path, end_id]
+
+
 class FileWriter:
     """One file: ids of documents in the order in which they come."""
 
@@ -284,7 +309,7 @@ def write_token_files(
             return
         task = TaskContext.get()
         name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}.qtok"
-        encoder = Encoder(tokenizer, end_id)
+        encoder = encoder_of(tokenizer, end_id)
         filesystem, root = _opened(folder)
         filesystem.create_dir(root, recursive=True)
         writer = FileWriter(filesystem.open_output_stream(posixpath.join(root, name)), encoder.width)
