@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import conversation_repair, decontamination, mixing, oracles, quality, secrets, sharding, simhash, suffix_dedup, token_files, toxicity, url_rules
+from quayside.llm import conversation_repair, decontamination, mixing, oracles, packing, quality, secrets, sharding, simhash, suffix_dedup, token_files, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str | None] = {}
@@ -97,6 +97,11 @@ def op10_url_rules(spark, sf_dir):
     return url_rules.url_verdicts(table(spark, sf_dir, "pages"), [*url_rules.LISTED, *url_rules.UNLISTED])
 
 
+@query("op12_packing")
+def op12_packing(spark, sf_dir):
+    return packing.packed(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 @query("op13_conversation_repair")
 def op13_conversation_repair(spark, sf_dir):
     report = conversation_repair.repair_report(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
