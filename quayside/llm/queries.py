@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import conversation_repair, decontamination, mixing, oracles, packing, quality, secrets, sharding, simhash, suffix_dedup, token_files, toxicity, url_rules
+from quayside.llm import conversation_repair, decontamination, hard_negatives, mixing, oracles, packing, quality, secrets, sharding, simhash, suffix_dedup, token_files, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str | None] = {}
@@ -97,6 +97,13 @@ def op10_url_rules(spark, sf_dir):
     return url_rules.url_verdicts(table(spark, sf_dir, "pages"), [*url_rules.LISTED, *url_rules.UNLISTED])
 
 
+@query("op11_hard_negatives", oracles.NEGATIVES)
+def op11_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.select("vec_id", shifted.alias("label"), "embedding"), F.col("id") % 50 == 0)
+
+
 @query("op12_packing")
 def op12_packing(spark, sf_dir):
     return packing.packed(packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path()))
