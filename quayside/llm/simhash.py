@@ -101,7 +101,7 @@ def first_masks(distance: int) -> list[int]:
 
 
 def wider_masks(mask: int, distance: int) -> list[int]:
-    """The same below a mask: the open bits are cut so that one of the parts agrees too."""
+    """The same below a mask: the open bits, more than ``distance``, are cut so that one of the parts agrees too."""
     open_bits = [b for b in range(64) if not (mask >> b) & 1]
     taken = [b for b in range(64) if (mask >> b) & 1]
     return [_signed(taken + part) for part in _parts(open_bits, distance + 1)]
@@ -113,20 +113,21 @@ def _upper_nodes(unique: DataFrame, distance: int) -> Iterator[DataFrame]:
         each = rows.select("fp", F.explode(masks).alias("mask"))
         return each.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
 
-    masks = first_masks(distance)
-    nodes = placed(unique, F.array(*[F.lit(m) for m in masks]))
+    nodes = placed(unique, F.array(*[F.lit(m) for m in first_masks(distance)]))
     while True:
         counts = saved(nodes.groupBy("mask", "value").agg(F.count("*").alias("n")).where("n > 1"), "node-counts")
-        # distinct values: a mask that leaves 12 bits open or fewer is never cut
-        named = counts.select(F.col("mask").alias("_m"), F.col("value").alias("_v"), (F.col("n") > NODE_MOST).alias("_cut"))
+        # values are distinct, so 2**k of them at most share a node with k open bits; with no more
+        # open bits than the distance they are all linked anyway
+        cut = (F.col("n") > NODE_MOST) & (64 - F.bit_count("mask") > distance)
+        named = counts.select(F.col("mask").alias("_m"), F.col("value").alias("_v"), cut.alias("_cut"))
         met = nodes.join(named, (F.col("mask") == F.col("_m")) & (F.col("value") == F.col("_v")))
         yield met.where("not _cut").select("mask", "value", "fp")
-        if named.where("_cut").isEmpty():
+        # only masks with a node to be cut go on; there are fewer of them than such nodes
+        below = [(r["_m"], wider_masks(r["_m"], distance)) for r in named.where("_cut").select("_m").distinct().collect()]
+        if not below:
             return
-        below = [(m, wider_masks(m, distance)) for m in masks]
         book = F.map_from_arrays(F.array(*[F.lit(m) for m, _ in below]), F.array(*[F.array(*[F.lit(x) for x in xs]) for _, xs in below]))
         nodes = saved(placed(met.where("_cut").select("fp", F.col("mask").alias("_m")), F.element_at(book, F.col("_m"))).distinct(), "nodes")
-        masks = sorted({x for _, xs in below for x in xs})
 
 
 def _group_patterns(values: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
