@@ -14,11 +14,16 @@ the same gram form a segment; two windows of one segment are never equal. Then
 1. segments are named and hashed where the texts lie. Segments that repeat an earlier one of the
    same task go at once, so a passage in every document leaves a task once;
 2. segments meet by gram. Those that meet no other cannot hold a repeat. Of equal ones, which stand
-   next to each other in any suffix order, all but the first have it as their previous factor;
-3. segments that differ but share their gram are fetched from the texts, and suffix order, common
-   prefixes and previous factors are computed for their suffixes, gram by gram. A gram with very
-   many different segments is cut further, window by window;
-4. spans are brought together by document, merged and cut out.
+   next to each other in any suffix order, all but the first have it as their previous factor. Two
+   that differ can share a window only if they also agree on what stands right before the gram or
+   right behind it, since more than half of the window's rest lies on one side: those that agree
+   with no other on either side (by 8 bits of a hash) are done with;
+3. the others are fetched from the texts, and suffix order, common prefixes and previous factors are
+   computed for their suffixes, gram by gram;
+4. a gram with more than ``HOT`` different segments, or ``HOT_ROWS`` of any, is not gathered: its
+   windows are grouped by their own bytes, which combines before the shuffle. This path keeps the
+   first of each window and uses no suffix order;
+5. spans are brought together by document, merged and cut out.
 """
 
 from __future__ import annotations
@@ -39,8 +44,9 @@ CHUNK = 1 << 17
 HELD = 1 << 20
 # Bytes of text put together before they are hashed.
 BLOCK = 1 << 22
-# A gram with more different segments than this is cut into its windows.
+# A gram with more different segments than this, or more of any, is cut into its windows.
 HOT = 4096
+HOT_ROWS = 1 << 16
 # Windows whose suffix order is computed in one go, if whole grams allow it.
 SUFFIXES = 1 << 18
 NO_ID = -(1 << 63)
@@ -90,11 +96,17 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[n]
 
 
+def _bits(h: np.ndarray) -> np.ndarray:
+    """8 bits of a hash, never 0."""
+    return ((h >> np.uint64(40)) & np.uint64(255)).astype(np.int64) | 256
+
+
 def segments(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """``(start, n, name, mark)`` of the segments of texts laid end to end, in portions.
+    """``(start, n, name, mark, sides)`` of the segments of texts laid end to end, in portions.
 
     ``ends`` are the texts' ends. A segment is ``n`` windows from ``start`` on; ``name`` is the hash of
-    its gram and ``mark`` that of all its bytes.
+    its gram, ``mark`` that of all its bytes. ``sides`` has 9 bits each, from the hashes of the
+    ``gram`` bytes before the gram and behind it; 0 where the segment does not reach so far.
     """
     up, down = _powers(CHUNK + length)
     for base in range(0, len(data) - length + 1, CHUNK):
@@ -115,7 +127,11 @@ def segments(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> Iter
         count = last - first + 1
         grams_end = last + (length - gram) + 1
         mark = _mixed((summed[grams_end] - summed[first]) * down[first] + count.astype(np.uint64))
-        yield first + base, count, h[place[first]].view(np.int64), mark.view(np.int64)
+        at = place[first]
+        left, right = at - gram, at + gram
+        sides = np.where(left >= first, _bits(h[np.maximum(left, 0)]), 0)
+        sides |= np.where(right + gram <= last + length, _bits(h[np.minimum(right, len(h) - 1)]) << 9, 0)
+        yield first + base, count, h[at].view(np.int64), mark.view(np.int64), sides
 
 
 class _Runs:
@@ -135,7 +151,7 @@ class _Runs:
         self.rows = np.bincount(group)[group] if n else np.zeros(0, dtype=np.int64)
 
 
-MET = "kind int, name long, mark long, id long, h long, at long, n int"
+MET = "kind int, name long, mark long, id long, h long, at long, n int, sides int"
 SPAN = "id long, h long, start long, end long"
 
 
@@ -163,16 +179,17 @@ def _met(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """Step 1: segments by gram (``kind`` 0), and spans that repeat one of the same task (``kind`` 1)."""
 
     def settled(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        name, mark, id_, h, at, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        name, mark, id_, h, at, n, sides = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((at, h, id_, mark, name))
-        name, mark, id_, h, at, n = (x[order] for x in (name, mark, id_, h, at, n))
+        name, mark, id_, h, at, n, sides = (x[order] for x in (name, mark, id_, h, at, n, sides))
         runs = _Runs(name, mark, id_, h, at)
         f, r = runs.first, runs.repeats
         zeros = np.zeros(int(f.sum()), dtype=np.int32)
-        yield _batch([zeros, name[f], mark[f], id_[f], h[f], at[f], n[f]], MET)
+        yield _batch([zeros, name[f], mark[f], id_[f], h[f], at[f], n[f], sides[f]], MET)
         i, x, start, end = _merged(id_[r], h[r], at[r], at[r] + n[r] + (length - 1))
         # a span travels by its document's hash, with its end in the place of the mark
-        yield _batch([np.ones(len(i), dtype=np.int32), x, end, i, x, start, np.zeros(len(i), dtype=np.int32)], MET)
+        zeros = np.zeros(len(i), dtype=np.int32)
+        yield _batch([zeros + 1, x, end, i, x, start, zeros, zeros], MET)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -186,9 +203,9 @@ def _met(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 data = np.frombuffer(b"".join(t.as_py() for t in texts[at:stop]), dtype=np.uint8)
                 ends = np.cumsum(sizes[at:stop])
                 begins = ends - sizes[at:stop]
-                for start, n, name, mark in segments(data, ends, length, gram):
+                for start, n, name, mark, sides in segments(data, ends, length, gram):
                     doc = np.searchsorted(ends, start, side="right")
-                    parts.append((name, mark, ids[at:stop][doc], hashes[at:stop][doc], start - begins[doc], n))
+                    parts.append((name, mark, ids[at:stop][doc], hashes[at:stop][doc], start - begins[doc], n, sides))
                     held += len(start)
                     if held > HELD:
                         yield from settled(parts)
@@ -203,42 +220,80 @@ def _met(docs: DataFrame, length: int, gram: int) -> DataFrame:
 ASKED = "kind int, name long, id long, h long, start long, end long, hot int"
 
 
-def _resolved(met: DataFrame, length: int) -> DataFrame:
-    """Step 2: spans that repeat an equal segment (``kind`` 1), segments to be compared (``kind`` 0)."""
+def _agreeing(name: np.ndarray, sides: np.ndarray) -> np.ndarray:
+    """Which of the rows agree with another of the same name on one side."""
+    found = np.zeros(len(name), dtype=bool)
+    for bits in (sides & 511, sides >> 9):
+        order = np.lexsort((bits, name))
+        n, b = name[order], bits[order]
+        same = (n[1:] == n[:-1]) & (b[1:] == b[:-1]) & (b[1:] > 0)
+        found[order] |= np.r_[False, same] | np.r_[same, False]
+    return found
+
 
-    def told(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        name, mark, id_, h, at, n = (t.column(k).to_numpy() for k in range(1, 7))
+def _resolved(met: DataFrame, length: int, gram: int) -> DataFrame:
+    """Step 2: spans that repeat an equal segment (``kind`` 1), segments to be compared (``kind`` 0).
+
+    A task holds ``HOT_ROWS`` rows of a gram; of one that has more, each row is judged as it comes,
+    by the first of its equals.
+    """
+
+    def told(t: pa.Table, hot_gram: bool, known_first: bool) -> Iterator[pa.RecordBatch]:
+        name, mark, id_, h, at, n, sides = (t.column(k).to_numpy() for k in range(1, 8))
         runs = _Runs(name, mark, id_, h, at)
         r = runs.repeats
         i, x, start, end = _merged(id_[r], h[r], at[r], at[r] + n[r] + (length - 1))
         zeros = np.zeros(len(i), dtype=np.int64)
         yield _batch([zeros.astype(np.int32) + 1, zeros, i, x, start, end, zeros.astype(np.int32)], ASKED)
-        a = runs.first & (runs.kinds > 1)
-        hot = (runs.kinds[a] > HOT).astype(np.int32)
-        yield _batch([np.zeros(len(hot), dtype=np.int32), name[a], id_[a], h[a], at[a], at[a] + n[a] + (length - 1), hot], ASKED)
+        hot = np.full(len(name), hot_gram) | (runs.kinds > HOT)
+        a = runs.first & (hot | (runs.kinds > 1))
+        a[:1] &= not known_first
+        if length >= 3 * gram:
+            cool = np.flatnonzero(a & ~hot)
+            a[cool] = _agreeing(name[cool], sides[cool])
+        yield _batch([np.zeros(int(a.sum()), dtype=np.int32), name[a], id_[a], h[a], at[a], at[a] + n[a] + (length - 1), hot[a].astype(np.int32)], ASKED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        rest, lead = None, None  # rows of the last gram; of one with too many, the first of its last equals
         for batch in batches:
             spans = batch.filter(pa.array(batch.column(0).to_numpy() == 1))
             if spans.num_rows:
-                _, _, end, i, x, start, n = (c.to_numpy() for c in spans.columns)
+                _, _, end, i, x, start, n, _ = (c.to_numpy() for c in spans.columns)
                 yield _batch([np.ones(len(i), dtype=np.int32), np.zeros(len(i), dtype=np.int64), i, x, start, end, n], ASKED)
             new = pa.Table.from_batches([batch.filter(pa.array(batch.column(0).to_numpy() == 0))])
             rows = new if rest is None else pa.concat_tables([rest, new])
             name = rows.column(1).to_numpy()
             cuts = np.flatnonzero(name[1:] != name[:-1])
+            if lead is not None and len(name):
+                # up to where the gram ends, or all
+                stop = (int(cuts[0]) + 1 if len(cuts) else len(name)) if name[0] == lead.column(1)[0].as_py() else 0
+                if stop:
+                    yield from told(pa.concat_tables([lead, rows.slice(0, stop)]), True, True)
+                    lead = _last_equals(pa.concat_tables([lead, rows.slice(0, stop)]))
+                if stop < len(name):
+                    lead = None
+                rows, name = rows.slice(stop), name[stop:]
+                cuts = np.flatnonzero(name[1:] != name[:-1])
             whole = int(cuts[-1]) + 1 if len(cuts) else 0
             if whole:
-                yield from told(rows.slice(0, whole))
+                yield from told(rows.slice(0, whole), False, False)
             rest = rows.slice(whole)
+            if rest.num_rows > HOT_ROWS:
+                yield from told(rest, True, False)
+                rest, lead = rest.slice(0, 0), _last_equals(rest)
         if rest is not None and rest.num_rows:
-            yield from told(rest)
+            yield from told(rest, False, False)
 
     sorted_ = met.repartition("name").sortWithinPartitions("name", "mark", "id", "h", "at")
     return saved(sorted_.mapInArrow(run, ASKED), "repeats")
 
 
+def _last_equals(rows: pa.Table) -> pa.Table:
+    """The first of the rows that have the last one's mark."""
+    mark = rows.column(2).to_numpy()
+    return rows.slice(int(np.flatnonzero(np.r_[True, mark[1:] != mark[:-1]])[-1]), 1)
+
+
 def previous_factors(order: np.ndarray, common: np.ndarray, least: int) -> np.ndarray:
     """Longest previous factor of each position, from suffix order and common prefixes.
 
@@ -355,11 +410,14 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     """
     if not 8 <= gram <= length:
         raise ValueError("gram must be 8 to length")
+    # texts are told apart by id alone, unless some id comes more than once
+    once = docs.groupBy(F.col(id_col).cast("long")).count().where("count > 1").isEmpty()
+    mark = F.lit(0).cast("long") if once else F.xxhash64(F.coalesce(text_col, F.lit("")))
     texts = docs.select(
         F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"),
-        F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("_h"), F.coalesce(text_col, F.lit("")).alias("_text"),
+        mark.alias("_h"), F.coalesce(text_col, F.lit("")).alias("_text"),
     )
-    asked = _resolved(_met(texts, length, gram), length)
+    asked = _resolved(_met(texts, length, gram), length, gram)
     wanted = asked.where("kind = 0")
     met = (F.col("_id") == F.col("id")) & (F.col("_h") == F.col("h"))
     cut = F.substring(F.col("_text").cast("binary"), (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))

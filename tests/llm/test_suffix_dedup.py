@@ -31,10 +31,24 @@ def brute(rows, length):
     return sorted((str(r[0]), *out[(r[0], r[1] or "")]) for r in rows)
 
 
-@pytest.mark.parametrize(("length", "gram", "hot"), [(100, 32, 4096), (30, 8, 4096), (30, 8, 2)])
-def test_against_brute_force(spark, monkeypatch, length, gram, hot):
+def passages():
+    """One line in ever new surroundings, by ids of their own."""
+    rng = random.Random(8)
+    line = " ".join(f"{rng.getrandbits(20):x}" for _ in range(30))
+    other = " ".join(f"{rng.getrandbits(20):x}" for _ in range(30))
+    rows = []
+    for i in range(60):
+        before, behind = (" ".join(f"{rng.getrandbits(20):x}" for _ in range(rng.randint(0, 12))) for _ in range(2))
+        cut = rng.randint(0, 40)
+        rows.append((i, f"{before} {line[cut:]} {behind}" + other * (i % 5 == 0), "en", "s", 1, 0.5, 1, "w"))
+    return [*rows, *((100 + i, rows[i][1], *rows[i][2:]) for i in range(8))]
+
+
+@pytest.mark.parametrize("rows", [documents(), passages()], ids=["documents", "passages"])
+@pytest.mark.parametrize(("length", "gram", "hot", "hot_rows"), [(100, 32, 4096, 1 << 16), (30, 8, 4096, 1 << 16), (30, 8, 2, 1 << 16), (30, 8, 4096, 3), (30, 16, 4096, 1 << 16)])
+def test_against_brute_force(spark, monkeypatch, rows, length, gram, hot, hot_rows):
     monkeypatch.setattr(suffix_dedup, "HOT", hot)
-    rows = documents()
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", hot_rows)
     got = suffix_dedup.remove_repeats(frame(spark, rows), length=length, gram=gram).collect()
     assert sorted((str(r["doc_id"]), r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got) == brute(rows, length)
 
