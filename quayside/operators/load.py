@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.operators.filters import high_water_filter
+from quayside.sinks.filetable import FileTable
 
 # Date parts a partition column may be derived by.
 PARTITION_FORMATS = ("dd", "MM", "yyyy", "yyyyMM", "MMdd", "yyyyMMdd")
@@ -34,9 +35,13 @@ def full_refresh(df: DataFrame, table: str, base: str, fmt: str = "parquet") ->
     return folder
 
 
-def incremental_append(source: DataFrame, table_path: str, marks: Sequence[str], last, fmt: str = "parquet") -> None:
-    """Append the rows past the last high-water mark."""
-    high_water_filter(source, marks, last).write.format(fmt).mode("append").save(table_path)
+def incremental_append(source: DataFrame, table: FileTable, marks: Sequence[str], last, batch: str | None = None) -> bool:
+    """Append the rows past the last high-water mark, once.
+
+    ``batch`` names the load; unnamed, it is known by its marks and the last value. A load that is in
+    the table's log already is left out, and false is returned.
+    """
+    return table.append(high_water_filter(source, marks, last), batch or f"{','.join(marks)}>{last}")
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str], keep: str = "latest") -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators import load, schema
 from quayside.plans.registry import query
+from quayside.sinks.filetable import FileTable
 
 # Urgent orders come back repriced, each twice with a later second copy; finished orders come
 # again under new keys.
@@ -47,14 +48,14 @@ def full_refresh(t):
 
 @query("f2_incremental_append", "SELECT o_orderkey, o_totalprice FROM orders")
 def incremental_append(t):
-    """An older load plus everything past its high-water mark is the whole table, each row once."""
+    """An older load plus everything past its high-water mark, sent twice, is the whole table, each row once."""
     import datetime
 
-    path = t.scratch("append")
-    mark = datetime.datetime(1997, 6, 30)
-    t.orders.where(F.col("o_orderdate") <= F.lit(mark)).write.parquet(path)
-    load.incremental_append(t.orders, path, ["o_orderdate"], mark)
-    return t.spark.read.parquet(path).select("o_orderkey", "o_totalprice")
+    table, mark = FileTable(t.spark, t.scratch("append")), datetime.datetime(1997, 6, 30)
+    table.append(t.orders.where(F.col("o_orderdate") <= F.lit(mark)), "first")
+    for _ in range(2):
+        load.incremental_append(t.orders, table, ["o_orderdate"], mark)
+    return table.read().select("o_orderkey", "o_totalprice")
 
 
 @query(
@@ -112,6 +113,59 @@ def merge_scd2(t):
     return merged.withColumns({c: F.col(c).cast("string") for c in ("valid_from", "valid_to")})
 
 
+# Orders of one customer come back closed, and a few keys are new.
+FEW = """
+  SELECT o_orderkey AS k, o_custkey AS cust, 'closed' AS status, cast(o_totalprice AS DECIMAL(18, 2)) * 5 AS price, o_orderdate AS seen
+  FROM orders WHERE o_orderkey <= 20
+  UNION ALL
+  SELECT -1 - n_nationkey, n_regionkey, n_name, CAST(1 AS DECIMAL(18, 2)) * 1, TIMESTAMP '2000-01-01 00:00:00' FROM nation"""
+
+
+def _indexed(t, rows, keys, files=16):
+    """A table of several files by ranges of its key."""
+    table = FileTable(t.spark, t.scratch("indexed"), keys)
+    staged = table.stage(rows, files=files)
+    table.commit(table.head(), staged, rows.schema.json(), "first")
+    return table
+
+
+@query(
+    "f3_merge_scd1_files",
+    f"""WITH target AS ({TARGET}), few AS ({FEW})
+        SELECT {_OUT}, k <= 20 AS rewritten FROM target WHERE k NOT IN (SELECT k FROM few)
+        UNION ALL SELECT {_OUT}, true FROM few""",
+)
+def merge_scd1_files(t):
+    """A small delta rewrites the files that may hold its keys; most stay what they are."""
+    table = _indexed(t, t.sql(TARGET), ["k"])
+    few = t.sql(FEW.replace("TIMESTAMP '", "TIMESTAMP_NTZ '"))
+    before = table.head()
+    gone = table.merge(few, lambda old, new: load.merge_scd1(old, new, ["k"]))
+    if not gone or len(gone) > len(before.files) // 4:
+        raise ValueError(f"{len(gone)} of {len(before.files)} files were rewritten")
+    return _shown(table.read()).withColumn("rewritten", (F.col("k") <= 20))
+
+
+@query(
+    "f4_merge_scd2_files",
+    f"""WITH h AS ({HISTORY}), d AS (SELECT k, 'Q' AS status, max(owner) AS owner, max(valid_from) + INTERVAL 5 DAY AS since FROM ({HISTORY}) WHERE k <= 20 GROUP BY k)
+        SELECT h.k, h.status, h.owner, CAST(valid_from AS VARCHAR) AS valid_from,
+               CAST(CASE WHEN h.is_current THEN coalesce(d.since, valid_to) ELSE valid_to END AS VARCHAR) AS valid_to, h.is_current AND d.k IS NULL AS is_current
+        FROM h LEFT JOIN d ON h.k = d.k
+        UNION ALL SELECT k, status, owner, CAST(since AS VARCHAR), NULL, true FROM d""",
+)
+def merge_scd2_files(t):
+    """Changes of a few keys rewrite the history files of those keys alone."""
+    history = t.sql(HISTORY.replace("CAST(NULL AS TIMESTAMP)", "CAST(NULL AS TIMESTAMP_NTZ)"))
+    table = _indexed(t, history, ["k"])
+    changes = history.where("k <= 20").groupBy("k").agg(
+        F.lit("Q").alias("status"), F.max("owner").alias("owner"), (F.max("valid_from") + F.expr("interval 5 days")).alias("since"))
+    gone = table.merge(changes, lambda old, new: load.merge_scd2(old, new, ["k"], "since"))
+    if not gone or len(gone) > 4:
+        raise ValueError(f"{len(gone)} files were rewritten")
+    return table.read().withColumns({c: F.col(c).cast("string") for c in ("valid_from", "valid_to")})
+
+
 @query("f5_dedup_latest", f"WITH delta AS ({DELTA}), latest AS ({_LATEST}) SELECT {_OUT} FROM latest")
 def dedup_latest(t):
     return _shown(load.dedup(t.sql(DELTA), ["k"], ["seen"]))

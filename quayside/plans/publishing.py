@@ -230,9 +230,9 @@ def file_arrival_stream(t):
     rows.hint("rebalance", "g").write.partitionBy("g").text(f"{folder}/data")
     arrived = t.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{folder}/data").select("path")
     done = arrived.where(F.col("path").rlike("g=g[12]")).select(
-        F.replace(F.col("path"), F.lit(".txt"), F.lit(".done")).alias("path"))
+        F.replace(F.col("path"), F.lit(".txt"), F.lit(".done")).alias("path"), F.lit(None).cast("string").alias("table_name"))
     log, ready = t.scratch("arrivals"), t.scratch("ready")
-    done.withColumn("modified", F.current_timestamp()).write.parquet(f"{log}/{ingest.BATCH}=-1")
+    done.write.parquet(f"{log}/{ingest.BATCH}=-1")
     patterns = {f"tab_{i}": f"/g=g{i}/.*\\.txt$" for i in range(1, 6)}
     stream = ingest.arrivals(t.spark, f"{folder}/data", files_per_trigger=3)
     ingest.gate_arrivals(stream, log, ready, t.scratch("cp"), patterns, ".txt", ".done").awaitTermination()

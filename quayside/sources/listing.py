@@ -67,6 +67,10 @@ def with_table(listing: DataFrame, patterns: Mapping[str, str]) -> DataFrame:
     return listing.withColumn("table_name", F.explode(F.array_compact(F.array(*hits))))
 
 
+def marker_of(path: str, suffix: str, marker_suffix: str) -> Column:
+    return F.concat(F.replace(F.col(path), F.lit(suffix), F.lit("")), F.lit(marker_suffix))
+
+
 def ready_tables(files: DataFrame, listing: DataFrame, suffix: str, marker_suffix: str) -> DataFrame:
     """Per table: number of data files, files without a marker, and whether it may be loaded.
 
@@ -75,8 +79,7 @@ def ready_tables(files: DataFrame, listing: DataFrame, suffix: str, marker_suffi
     """
     markers = listing.where(F.endswith(F.col("path"), F.lit(marker_suffix)))
     markers = markers.select(F.col("path").alias("_marker")).distinct()
-    wanted = F.concat(F.replace(F.col("path"), F.lit(suffix), F.lit("")), F.lit(marker_suffix))
-    checked = files.withColumn("_want", wanted).join(markers, F.col("_want") == F.col("_marker"), "left")
+    checked = files.withColumn("_want", marker_of("path", suffix, marker_suffix)).join(markers, F.col("_want") == F.col("_marker"), "left")
     return checked.groupBy("table_name").agg(
         F.count("*").alias("n_files"),
         F.count_if(F.col("_marker").isNull()).alias("n_unmarked"),

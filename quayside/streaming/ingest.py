@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from quayside.operators.load import dedup
 from quayside.operators.schema import ColumnSpec, typed_projection
 from quayside.sinks.messages import message_rows
-from quayside.sources.listing import ready_tables, with_table
+from quayside.sources.listing import marker_of, with_table
+from quayside.streaming.levels import FAN, LevelledLog
 
 BATCH = "batch_id"
 
@@ -50,15 +50,18 @@ def append_to_files(stream: DataFrame, path: str, checkpoint: str, fmt: str = "p
     )
 
 
-def upsert_log(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str]) -> StreamingQuery:
-    """Keep the newest row per key of every batch in a log folder named after the batch.
+def upsert_log(
+    stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], fan: int = FAN
+) -> StreamingQuery:
+    """Keep the newest row per key in a levelled log; see ``LevelledLog``.
 
-    A batch that runs again overwrites its own folder only, so replays change nothing, and the
-    work of a batch depends on the batch and not on the size of the table. ``current_rows`` reads
-    the result; ``compact`` folds old batches together.
+    A batch is known by its checkpoint and number, so one that runs again changes nothing, and its
+    work follows the batch, not the table. ``current_rows`` reads the result.
     """
+    log = LevelledLog(stream.sparkSession, path, keys, order, fan)
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        dedup(batch, keys, order).write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        log.add(batch, f"{checkpoint}:{batch_id}")
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -68,12 +71,12 @@ def upsert_log(stream: DataFrame, path: str, checkpoint: str, keys: Sequence[str
 
 def current_rows(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Newest row per key over all batches; of equal rows the later batch wins."""
-    return dedup(spark.read.parquet(path), keys, [*order, BATCH]).drop(BATCH)
+    return LevelledLog(spark, path, keys, order).rows()
 
 
-def compact(spark: SparkSession, path: str, into: str, keys: Sequence[str], order: Sequence[str]) -> None:
-    """Write the current rows as the first batch of a new log."""
-    current_rows(spark, path, keys, order).write.mode("overwrite").parquet(f"{into}/{BATCH}=-1")
+def compact(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[str]) -> None:
+    """Fold all that a log holds into one run."""
+    LevelledLog(spark, path, keys, order).compact()
 
 
 FILE_SCHEMA = T.StructType([
@@ -91,20 +94,48 @@ def arrivals(spark: SparkSession, folder: str, files_per_trigger: int = 1000) ->
     return stream.select("path", F.col("modificationTime").alias("modified"))
 
 
+STATE = "path string, table_name string"
+VERDICT = "table_name string, n_files long, n_unmarked long, ready boolean"
+
+
+def _of_batch(spark: SparkSession, folder: str, batch_id: int, schema: str) -> DataFrame:
+    """What a batch wrote into its folder; nothing if there was no such batch."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{BATCH}={batch_id}")
+    known = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    return spark.read.schema(schema).parquet(path.toString()) if known else spark.createDataFrame([], schema)
+
+
 def gate_arrivals(
     stream: DataFrame, log: str, ready: str, checkpoint: str,
     patterns: Mapping[str, str], suffix: str, marker_suffix: str,
 ) -> StreamingQuery:
     """After each batch, write which tables have all their files marked as complete.
 
-    Arrivals and verdicts of a batch go to folders named after it, so a replay rewrites them.
+    What goes from batch to batch is state, not history: files that wait for their marker and
+    markers that wait for their file (without a table), and one row per table. A batch reads the
+    state of the one before it and writes its own, so its cost follows what is new or waiting, and a
+    replay rewrites its own folders only. A marker serves the files that wait for it or come with it.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{log}/{BATCH}={batch_id}")
-        seen = spark.read.parquet(log).where(F.col(BATCH) <= batch_id).select("path")
-        verdict = ready_tables(with_table(seen, patterns), seen, suffix, marker_suffix)
-        verdict.write.mode("overwrite").parquet(f"{ready}/{BATCH}={batch_id}")
+        seen = batch.select("path").distinct()
+        markers = seen.where(F.endswith(F.col("path"), F.lit(marker_suffix))).withColumn("table_name", F.lit(None).cast("string"))
+        new = with_table(seen, patterns).select("path", "table_name")
+        # read twice, once for the state and once for the verdict
+        waiting = _of_batch(spark, log, batch_id - 1, STATE).unionByName(new).unionByName(markers).distinct()
+        files = waiting.where("table_name is not null").withColumn("_want", marker_of("path", suffix, marker_suffix))
+        marks = waiting.where("table_name is null").select(F.col("path").alias("_marker"))
+        unmarked = files.join(marks, F.col("_want") == F.col("_marker"), "left_anti").select("path", "table_name")
+        unused = marks.join(files, F.col("_want") == F.col("_marker"), "left_anti")
+        state = unmarked.unionByName(unused.select(F.col("_marker").alias("path"), F.lit(None).cast("string").alias("table_name")))
+        state.write.mode("overwrite").parquet(f"{log}/{BATCH}={batch_id}")
+
+        counts = _of_batch(spark, ready, batch_id - 1, VERDICT).select("table_name", "n_files", F.lit(0).cast("long").alias("n_unmarked"))
+        counts = counts.unionByName(new.select("table_name", F.lit(1).cast("long").alias("n_files"), F.lit(0).cast("long").alias("n_unmarked")))
+        left = _of_batch(spark, log, batch_id, STATE).where("table_name is not null")
+        counts = counts.unionByName(left.select("table_name", F.lit(0).cast("long").alias("n_files"), F.lit(1).cast("long").alias("n_unmarked")))
+        verdict = counts.groupBy("table_name").agg(F.sum("n_files").alias("n_files"), F.sum("n_unmarked").alias("n_unmarked"))
+        verdict.withColumn("ready", F.col("n_unmarked") == 0).write.mode("overwrite").parquet(f"{ready}/{BATCH}={batch_id}")
 
     return (
         stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from quayside.operators import load
 from quayside.operators.schema import ColumnSpec, typed_projection
 from quayside.streaming import ingest
+from quayside.streaming.levels import LevelledLog
 
 SPECS = [ColumnSpec("id", "bigint"), ColumnSpec("at", "timestamp"), ColumnSpec("v", "int", "val")]
 
@@ -40,9 +41,32 @@ def test_upsert_log_survives_a_replay(spark, shared):
     assert sorted(map(str, ingest.current_rows(spark, f"{shared}/log", ["id"], order).collect())) == want
     ingest.upsert_log(typed, f"{shared}/log", f"{shared}/cp2", ["id"], order).awaitTermination()
     assert sorted(map(str, ingest.current_rows(spark, f"{shared}/log", ["id"], order).collect())) == want
-    ingest.compact(spark, f"{shared}/log", f"{shared}/small", ["id"], order)
-    assert sorted(map(str, ingest.current_rows(spark, f"{shared}/small", ["id"], order).collect())) == want
-    assert spark.read.parquet(f"{shared}/small").count() == 23
+    ingest.compact(spark, f"{shared}/log", ["id"], order)
+    assert sorted(map(str, ingest.current_rows(spark, f"{shared}/log", ["id"], order).collect())) == want
+    log = LevelledLog(spark, f"{shared}/log", ["id"], order)
+    assert log.table.read().count() == 23 and len(log.table.head().files) >= 1
+
+
+def test_levels_bound_what_a_reader_folds(spark, shared):
+    """Forty batches, some sent again, some that replace rows of old ones."""
+    log = LevelledLog(spark, f"{shared}/log", ["id"], ["at"], fan=3)
+    want = {}
+    for n in range(40):
+        rows = [(k, n, f"{n}-{k}") for k in range(n % 7, n % 7 + 5)] + [(100 + n, 0, "own")]
+        assert log.add(spark.createDataFrame(rows, "id long, at long, v string"), f"b{n}")
+        want.update({k: (k, at, v) for k, at, v in rows})
+        if n % 9 == 0:
+            assert not log.add(spark.createDataFrame([(1, 99, "again")], "id long, at long, v string"), f"b{n}")
+        assert all(len(names) < 3 for names in log.runs().values())
+    assert max(log.runs()) >= 3
+    assert sorted(map(tuple, log.rows().collect())) == sorted(want.values())
+
+
+def test_later_of_equal_rows_wins_over_levels(spark, shared):
+    log = LevelledLog(spark, f"{shared}/log", ["id"], ["at"], fan=2)
+    for n in range(5):
+        log.add(spark.createDataFrame([(1, 0, f"v{n}"), (2, -n, f"w{n}")], "id long, at long, v string"), str(n))
+    assert {r["id"]: r["v"] for r in log.rows().collect()} == {1: "v4", 2: "w0"}
 
 
 def test_gate_waits_for_markers(spark, shared):
@@ -60,6 +84,15 @@ def test_gate_waits_for_markers(spark, shared):
     ingest.gate_arrivals(ingest.arrivals(spark, str(folder), 2), *args).awaitTermination()
     verdict = {r.table_name: r.ready for r in ingest.latest_verdict(spark, f"{shared}/ready").collect()}
     assert verdict == {"ta": True, "tb": True}
+    assert {r.table_name: r.n_files for r in ingest.latest_verdict(spark, f"{shared}/ready").collect()} == {"ta": 2, "tb": 1}
+    for name in ("b2.done", "b2.dat", "a3.dat"):  # a marker ahead of its file, a file without one
+        (folder / name).write_text("x")
+        ingest.gate_arrivals(ingest.arrivals(spark, str(folder), 2), *args).awaitTermination()
+    verdict = {r.table_name: (r.ready, r.n_files, r.n_unmarked) for r in ingest.latest_verdict(spark, f"{shared}/ready").collect()}
+    assert verdict == {"ta": (False, 3, 1), "tb": (True, 2, 0)}
+    last = max(int(p.name.split("=")[1]) for p in pathlib.Path(f"{shared}/log").iterdir() if "=" in p.name)
+    waiting = spark.read.parquet(f"{shared}/log/batch_id={last}").collect()
+    assert [r.path.rsplit("/", 1)[1] for r in waiting] == ["a3.dat"]  # only what waits is carried on
 
 
 def test_replays_are_dropped(spark, shared):
