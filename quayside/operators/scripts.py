@@ -15,6 +15,9 @@ PIECE = r"""'[^']*'?|"[^"]*"?|--[^\n]*|/\*(?s:.*?)(?:\*/|\z)|;|[^'"/;-]+|[/-]"""
 CUT = "\x01"
 # A statement in words: quoted texts, names with their quoted and ${} parts, and marks of lists.
 WORD = r"""'[^']*'?|(?:"[^"]*"?|\$\{\w*\}|[\w#$.]+)+|[(),]"""
+# What words are made of, and what lies between words other than marks and texts.
+IN_WORD, GAP = r"""[\w#$."{}]""", r"""[^\w#$."'(),]"""
+PLAIN_NAME = r"""\$\{\w*\}|["][^"\s(),']*["]"""
 VERBS = ("CREATE", "INSERT", "UPDATE", "DELETE", "DROP", "MERGE")
 # Words that may stand between a verb and the table it writes.
 FILLERS = ("OR", "REPLACE", "GLOBAL", "TEMPORARY", "TEMP", "VOLATILE", "MULTISET", "SET", "TABLE", "INTO", "OVERWRITE", "FROM", "IF", "NOT", "EXISTS")
@@ -88,26 +91,32 @@ def statements(scripts: DataFrame) -> DataFrame:
     return cut.where(s != "").withColumn("kind", kind)
 
 
-def _words(statement: str) -> Column:
+def _words(statement) -> Column:
     """The words and list marks of a statement, without its quoted texts."""
-    return F.filter(F.regexp_extract_all(F.col(statement), F.lit(WORD), F.lit(0)), lambda w: ~F.startswith(w, F.lit("'")))
+    return F.filter(F.regexp_extract_all(_col(statement), F.lit(WORD), F.lit(0)), lambda w: ~F.startswith(w, F.lit("'")))
 
 
-def _verb(words: Column) -> Column:
-    first = F.upper(F.get(words, F.lit(0)))
-    return F.when(first.isin(*VERBS), first)
+def _col(name) -> Column:
+    return F.col(name) if isinstance(name, str) else name
 
 
-def _target(words: Column) -> Column:
-    """The first word behind the verb that is no filler; CREATE and DROP write tables only."""
-    rest = F.slice(words, 2, F.greatest(F.size(words), F.lit(0)))
-    named = F.get(F.filter(rest, lambda w: ~F.upper(w).isin(*FILLERS)), F.lit(0))
-    table = F.exists(rest, lambda w: F.upper(w) == "TABLE") | ~_verb(words).isin("CREATE", "DROP")
-    return F.when(_verb(words).isNotNull() & table & named.rlike(r'^[\w"#$]'), named)
+def _word(*words: str) -> str:
+    """Pattern of whole words."""
+    return rf"(?<!{IN_WORD})(?:{'|'.join(words)})(?!{IN_WORD})"
 
 
-def _reads(words: Column) -> Column:
-    """Qualified names that follow FROM, JOIN or USING, or a comma in such a list."""
+def _without_texts(statement) -> Column:
+    """A statement whose quoted texts are blanks. Quoted names stay: see ``_odd_names``."""
+    return F.regexp_replace(_col(statement), "'[^']*'?", " ")
+
+
+def _odd_names(statement) -> Column:
+    """Whether a quoted name or brace holds what would end a word elsewhere."""
+    return F.regexp_replace(_col(statement), PLAIN_NAME, "").rlike('["{}]')
+
+
+def _fold_reads(words: Column) -> Column:
+    """``read_tables`` word by word, for statements with odd names."""
     def step(s, w):
         u = F.upper(w)
         opens = u.isin(*OPENERS) & ~((u == "FROM") & (s["last"] == "DELETE"))
@@ -121,30 +130,48 @@ def _reads(words: Column) -> Column:
 
     no = F.lit(False)
     start = F.struct(no.alias("wants"), no.alias("lists"), F.lit("").alias("last"), F.array().cast("array<string>").alias("found"))
-    return F.array_distinct(F.aggregate(words, start, step, lambda s: s["found"]))
+    return F.aggregate(words, start, step, lambda s: s["found"])
+
+
+def _listed_reads(plain: Column) -> Column:
+    """The same by three patterns. Where nothing closes it, a list goes on from its first opener;
+    the statement is cut at the closers, and of each part names are taken behind opener or comma."""
+    kept = F.regexp_replace(plain, rf"(?i){_word('DELETE')}{GAP}+{_word('FROM')}", " ")
+    parts = F.split(kept, rf"(?i){_word(*(c for c in CLOSERS if c.isalpha()))}|[()]")
+    opener = _word(*OPENERS)
+    tail = lambda p: F.regexp_extract(p, rf"(?is){opener}.*", 0)
+    return F.flatten(F.transform(parts, lambda p: F.regexp_extract_all(tail(p), F.lit(rf"(?i)(?:,|{opener}){GAP}*(?!{opener})({IN_WORD}+)"), F.lit(1))))
 
 
 def write_type(statement="statement") -> Column:
     """The verb of a statement that writes, else null."""
-    return _verb(_words(statement))
+    verb = F.upper(F.regexp_extract(_col(statement), rf"(?i)^{GAP}*({'|'.join(VERBS)})(?!{IN_WORD})", 1))
+    return F.when(verb != "", verb)
 
 
 def target_table(statement="statement") -> Column:
-    """The table a statement writes, as it is spelt there, else null."""
-    return _target(_words(statement))
+    """The table a statement writes, as it is spelt there, else null.
+
+    That is the first word behind the verb that is no filler; CREATE and DROP write tables only.
+    """
+    plain, verb = _without_texts(statement), write_type(statement)
+    fillers = rf"(?:{GAP}+(?:{'|'.join(FILLERS)})(?!{IN_WORD}))*+"
+    name = rf"""(?:"[^"]*"?|\$\{{\w*\}}|[\w#$.]+)+"""
+    named = F.regexp_extract(plain, rf"(?i)^{GAP}*(?:{'|'.join(VERBS)}){fillers}{GAP}*({name})", 1)
+    table = plain.rlike(rf"(?i){_word('TABLE')}") | ~verb.isin("CREATE", "DROP")
+    return F.when(verb.isNotNull() & table & named.rlike(r'^[\w"#$]'), named)
 
 
 def read_tables(statement="statement") -> Column:
     """Qualified tables after FROM, JOIN and USING, but not those of DELETE FROM; each once, in order."""
-    return _reads(_words(statement))
+    listed = F.filter(_listed_reads(_without_texts(statement)), lambda w: w.contains("."))
+    return F.array_distinct(F.when(_odd_names(statement), _fold_reads(_words(statement))).otherwise(listed))
 
 
 def dependency_edges(stmts: DataFrame) -> DataFrame:
     """One row per statement and table read; a statement that reads nothing keeps one row."""
-    read = stmts.where("kind = 'kept'").select("path", "n", _words("statement").alias("_w"))
-    words = F.col("_w")
-    return read.select("path", "n", _verb(words).alias("write_type"), _target(words).alias("write_table"),
-                       F.explode_outer(_reads(words)).alias("read_table"))
+    return stmts.where("kind = 'kept'").select(
+        "path", "n", write_type().alias("write_type"), target_table().alias("write_table"), F.explode_outer(read_tables()).alias("read_table"))
 
 
 def clean_name(name) -> Column:

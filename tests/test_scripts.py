@@ -116,3 +116,28 @@ def test_split_texts_by_database(how):
     assert not any("EXTRACT" in t for t in texts) and (how != "mod" or "(c % 4)" in texts[0])
     if how.startswith("hash"):
         assert all("MOD(HASHAMP(HASHBUCKET(HASHROW(c))), 4)" in t for t in texts)
+
+
+STATEMENT_READS = [
+    ("select * from a.b x, c.d AS y left join \"e\".\"f\" z on z.k = x.k where k in (select k from g.h, i.j), q.r", ['a.b', 'c.d', '"e"."f"', 'g.h', 'i.j']),
+    ("SELECT a.x, b.y FROM t1, s.t2 WHERE 'from x.y' = 'it''s from z.w' ORDER BY a.b, c.d", ["s.t2"]),
+    ("DELETE   FROM a.b USING c.d, e.f", ["c.d", "e.f"]), ("delete\nfrom a.b where x in (select y from c.d)", ["c.d"]),
+    ("select x.from, y.join from.a, b.c from d.e", ["d.e"]), ("SELECT 1 FROM (a.b), c.d", []), ("select * from ${db}.t, $x.y, #t.z, lateral v.w", ["${db}.t", "$x.y", "#t.z"]),
+    ('select * from "a b"."c,d", "x from y.z" join e.f', ['"a b"."c,d"', '"x from y.z"', "e.f"]), ('select * from a.b "al,q.r" , c.d', ["a.b", "c.d"]),
+    ("MERGE INTO a.b USING c.d ON 1 = 1 WHEN MATCHED THEN UPDATE SET x = y.z, q = w.v", ["c.d"]), ("from a.b, a.b join a.b", ["a.b"]), ("", []), ("from", []),
+    ("select * from a.b join c.d using (k) join e.f using (k)", ["a.b", "c.d", "e.f"]), ("select * from [a.b], {c.d}", ["a.b", "c.d"]),
+    ("select * from it.s 'quoted' , u.v", ["it.s", "u.v"]), ("select * from \"unclosed a.b, c.d", ['"unclosed a.b, c.d']),
+]
+
+
+def test_reads_by_patterns_and_word_by_word(spark):
+    df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(STATEMENT_READS)], "i int, statement string")
+    rows = df.select("i", scripts.read_tables().alias("reads"), F.array_distinct(scripts._fold_reads(scripts._words("statement"))).alias("fold")).orderBy("i").collect()
+    for r, (text, want) in zip(rows, STATEMENT_READS):
+        assert r["reads"] == want == r["fold"], text
+
+
+def test_long_lists_are_read(spark):
+    names = [f"s{i}.t{i}" for i in range(6000)]
+    text = "select * from " + " x, ".join(names) + " where a = 'b'"
+    assert spark.createDataFrame([(text,)], "statement string").select(scripts.read_tables()).first()[0] == names
