@@ -2,54 +2,30 @@
 
 from __future__ import annotations
 
-import json
-import uuid
-
-from pyarrow import fs as pa_fs
 from pyspark.sql import functions as F
 
 from quayside.operators.schema import ColumnSpec
 from quayside.plans.registry import query
-from quayside.sinks import document, files, messages, partitioned
+from quayside.session import saved
+from quayside.sinks import document, files, messages, partitioned, staged
+from quayside.sinks.filetable import FileTable
+from quayside.sources.listing import list_files
 from quayside.streaming import ingest
 
 
-class FolderWriter:
-    """Stands for a service: batches become files of JSON lines in the shared folder.
-
-    A file is named after the task and its number within it, so a task that runs again replaces
-    its own files.
-    """
-
-    def __init__(self, folder: str):
-        from pyspark import TaskContext
-
-        self.fs, self.folder = pa_fs.FileSystem.from_uri(folder)
-        self.task, self.n = TaskContext.get().partitionId(), 0
-        self.fs.create_dir(self.folder, recursive=True)
-
-    def upsert(self, rows):
-        partial = f"{self.folder}/.{uuid.uuid4().hex}"
-        with self.fs.open_output_stream(partial) as out:
-            out.write("".join(json.dumps(r, default=str) + "\n" for r in rows).encode())
-        self.fs.move(partial, f"{self.folder}/part-{self.task:06d}-{self.n:06d}.json")
-        self.n += 1
-
-    def close(self):
-        pass
-
-
-def folder_uri(path: str) -> str:
-    """A folder as the URI or plain path that file libraries outside Spark take."""
-    return path.replace("file:/", "file:///", 1) if path.startswith("file:/") and not path.startswith("file://") else path
+def _put(rows, path, mode="append", **options):
+    staged.register(rows.sparkSession)
+    rows.write.format("keyed_folder").mode(mode).options(path=path, **options).save()
 
 
 @query("g8_partition_upsert", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def partition_upsert(t):
-    folder = folder_uri(t.scratch("service"))
-    rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
-    partitioned.upsert(rows, lambda: FolderWriter(folder), batch=1000)
-    return t.spark.read.schema(rows.schema).json(folder)
+    """Orders with stale prices, then those that changed: each job is committed once, the later row counts."""
+    path, rows = t.scratch("service"), t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice")
+    changed = F.col("o_orderstatus") == "F"
+    _put(rows.withColumn("o_totalprice", F.when(changed, -F.col("o_totalprice")).otherwise(F.col("o_totalprice"))), path, keys="o_orderkey", batch=5000)
+    _put(rows.where(changed), path, keys="o_orderkey", batch=1000)
+    return staged.current(t.spark, path, ["o_orderkey"])
 
 
 @query(
@@ -57,35 +33,23 @@ def partition_upsert(t):
     "SELECT l_orderkey, l_linenumber, l_quantity, true AS within_limit FROM lineitem",
 )
 def chunked_upsert(t):
-    folder = folder_uri(t.scratch("chunks"))
-    sent = partitioned.upsert(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), lambda: FolderWriter(folder), batch=500)
-    back = t.spark.read.schema("l_orderkey long, l_linenumber int, l_quantity double").json(folder)
-    return back.withColumn("within_limit", F.lit(0 < sent["largest"] <= 500))
-
-
-class BusyWriter(FolderWriter):
-    """Refuses the first try of every batch, half of them after writing it."""
-
-    tries = 0
-
-    def upsert(self, rows):
-        self.tries += 1
-        if self.tries % 2:
-            if self.tries % 4 == 1:
-                super().upsert(rows)
-                self.n -= 1
-            raise TimeoutError("busy")
-        super().upsert(rows)
+    """No batch has more than 1,500 cells: 499 rows of three columns."""
+    path = t.scratch("chunks")
+    _put(t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity"), path, cells=1500)
+    told = staged.receipts(t.spark, path).select((F.col("largest").between(1, 499) & (F.col("rows") <= F.col("batches") * 499)).alias("within_limit"))
+    return staged.committed(t.spark, path).drop("_at", "_job").join(told)
 
 
 @query("g17_retry_policy", "SELECT c_custkey, c_name FROM customer")
 def retry_policy(t):
-    """Every batch fails once and is sent again; each row arrives once."""
-    folder = folder_uri(t.scratch("busy"))
+    """Loads that run side by side take each other's place in the log and try again; each row arrives once."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    table = FileTable(t.spark, t.scratch("contended"), retry=partitioned.RetryPolicy(first=0.02, total=30.0))
     rows = t.customer.select("c_custkey", "c_name")
-    quick = partitioned.RetryPolicy(first=0.001, total=1.0)
-    partitioned.upsert(rows, lambda: BusyWriter(folder), batch=400, retry=quick)
-    return t.spark.read.schema(rows.schema).json(folder)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: table.append(rows.where(F.col("c_custkey") % 4 == i), f"part {i}"), range(4)))
+    return table.read()
 
 
 @query("g10_parallelism_control", "SELECT o_orderkey, true AS spread_ok FROM orders")
@@ -143,10 +107,11 @@ def stream_body_sink(t):
 
 @query("g16_crm_upsert", "SELECT c_custkey, c_name FROM customer")
 def crm_upsert(t):
-    folder = folder_uri(t.scratch("crm"))
-    rows = t.customer.select("c_custkey", "c_name")
-    partitioned.crm_upsert(rows, lambda external_id: FolderWriter(folder), "c_custkey", batch=200)
-    return t.spark.read.schema(rows.schema).json(folder)
+    """Sent twice by its external id; each customer is there once."""
+    path, rows = t.scratch("crm"), t.customer.select("c_custkey", "c_name")
+    for name in (F.upper("c_name"), F.col("c_name")):
+        _put(rows.withColumn("c_name", name), path, keys="c_custkey", batch=200)
+    return staged.current(t.spark, path, ["c_custkey"])
 
 
 def _files_sink(name: str, fmt: str) -> None:
@@ -175,6 +140,28 @@ def archive_processed(t):
     return files.archive_plan(listed, "/done")
 
 
+@query(
+    "g20_archive_moves",
+    "SELECT 'o_orderstatus=' || o_orderstatus AS folder, count(*) AS lines, true AS moved, 0 AS left_behind FROM orders GROUP BY o_orderstatus",
+)
+def archive_moves(t):
+    """Files of orders by status are moved below a done folder, twice: what has moved stays there."""
+    base = t.scratch("archive")
+    rows = t.orders.select("o_orderstatus", F.col("o_orderkey").cast("string").alias("value"))
+    rows.write.partitionBy("o_orderstatus").text(f"{base}/in")
+    listed = list_files(t.spark, f"{base}/in", sub_folders=True).where(F.endswith("path", F.lit(".txt")))
+    folder = F.element_at(F.split("path", "/"), -2)
+    plan = files.archive_plan(listed.select("path", F.lit("2024-05-06").cast("date").alias("processed_at"), folder.alias("job_id")), f"{base}/done")
+    plan = saved(plan, "archive-plan")
+    for _ in range(2):
+        moved = saved(files.archive(plan), "archive-moves")
+    there = t.spark.read.option("recursiveFileLookup", True).text(f"{base}/done")
+    lines = there.groupBy(F.element_at(F.split("_metadata.file_path", "/"), -2).alias("folder")).agg(F.count("*").alias("lines"))
+    told = moved.groupBy(F.element_at(F.split("archived", "/"), -2).alias("folder")).agg(F.bool_and("moved").alias("moved"))
+    left = list_files(t.spark, f"{base}/in", sub_folders=True).where(F.endswith("path", F.lit(".txt"))).agg(F.count("*").cast("int").alias("left_behind"))
+    return lines.join(told, "folder").join(left).select("folder", "lines", "moved", "left_behind")
+
+
 _EVENT_SPECS = [
     ColumnSpec("event_id", "bigint"), ColumnSpec("user", "bigint", "user_id"),
     ColumnSpec("at", "timestamp", "ts", mask="yyyy-MM-dd HH:mm:ss"), ColumnSpec("kind", "string", "event_type"),
