@@ -421,10 +421,11 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     wanted = asked.where("kind = 0")
     met = (F.col("_id") == F.col("id")) & (F.col("_h") == F.col("h"))
     cut = F.substring(F.col("_text").cast("binary"), (F.col("start") + 1).cast("int"), (F.col("end") - F.col("start")).cast("int"))
-    segs = texts.join(wanted, met).select("name", "id", "h", "start", cut.alias("bytes"), "hot")
+    # read by both paths; the texts move for it once
+    segs = saved(texts.join(wanted, met).select("name", "id", "h", "start", cut.alias("bytes"), "hot"), "segments")
     spans = asked.where("kind = 1").select("id", "h", "start", "end")
     spans = spans.unionByName(_compared(segs.where("hot = 0").drop("hot"), length))
-    if not wanted.where("hot = 1").isEmpty():
+    if not segs.where("hot = 1").isEmpty():
         spans = spans.unionByName(_hot_windows(segs.where("hot = 1").drop("hot", "name"), length))
     return texts, spans
 
