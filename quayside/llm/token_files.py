@@ -38,14 +38,14 @@ from quayside.session import scratch_path
 FRAME_IDS = 1 << 16
 VERSION = 1
 LEVEL = 3
-# Distinct text pieces whose ids a task remembers: the last so many, and those it used before them.
-KNOWN_PIECES = 300_000
+# Distinct text pieces whose ids a worker remembers: the last so many, and those it used before them.
+KNOWN_PIECES = 100_000
 # Fixed values of the seekable zstandard format.
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 ENTRY, FOOTER = "<III", "<IBI"
 DIRECTORY = np.dtype([("has_id", "u1"), ("doc_id", "<i8"), ("start", "<u8"), ("n", "<u8"), ("frame", "<u4"), ("at", "<u4")])
 # Bytes of text whose words are encoded together.
-BATCH_BYTES = 1 << 25
+BATCH_BYTES = 1 << 22
 
 
 # Fixed values of byte-level tokenizers: bytes that stand for themselves as characters. The others
@@ -166,6 +166,7 @@ class Encoder:
             joined = data.to_pybytes() if data is not None else b""
             out += [joined[a:b] + self.end for a, b in zip(places, places[1:], strict=False)]
             at = stop
+        pa.default_memory_pool().release_unused()  # the worker stays, its buffers need not
         return out
 
 
