@@ -95,7 +95,8 @@ def secret_spans(
         ((F.col("kind") != 0) | (F.length("value") >= LEAST_VALUE)) & ((F.col("kind") != MIXED_CODE) | _looks_live(F.col("value")))
     ).select(*key, "kind", "start", "end", F.sha2("value", 256).alias("value_hash"))
     held = kept.groupBy("value_hash").agg(
-        F.countDistinct("_repository").alias("repositories"), F.countDistinct("_owner").alias("owners"), F.count("*").alias("seen")
+        # in a struct a null is a value like any other
+        F.countDistinct(F.struct("_repository")).alias("repositories"), F.countDistinct(F.struct("_owner")).alias("owners"), F.count("*").alias("seen")
     )
     judged = kept.join(held, "value_hash").withColumn("verdict", F.when(F.col("owners") <= max_owners, "live").otherwise("example"))
     around = Window.partitionBy(*key).orderBy("start", "kind")

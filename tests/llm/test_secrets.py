@@ -55,6 +55,13 @@ def test_owners_tell_credentials_from_examples(spark):
     assert told[(1007, "assign")]["repositories"] == 1
 
 
+def test_a_null_owner_is_an_owner(spark):
+    rows = [(1, f"x {LIVE}", "a"), (2, f"y {LIVE}", None), (3, f"z {EXAMPLE}", None), (4, f"w {EXAMPLE}", None)]
+    got = {r["doc_id"]: r for r in secrets.secret_spans(spark.createDataFrame(rows, "doc_id long, text string, source string"))[1].withColumnRenamed("_id", "doc_id").collect()}
+    assert set(got) == {3, 4}  # the first is held by two owners, the second by the one without a name
+    assert (got[3]["owners"], got[3]["repositories"]) == (1, 2)
+
+
 def test_a_copied_base_secret_stays_as_an_example(spark):
     rows = [(i, "token=abcdefgh12", f"owner{i}") for i in range(4)]
     got = secrets.secret_report(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
