@@ -85,8 +85,9 @@ def phrase_starts(postings: DataFrame, led: DataFrame, *, lists: int, slop: int)
     """``_id, _h, pid, start, exact`` where the rarest terms of a phrase meet.
 
     Each posting is moved back by the term's offset in the phrase. ``exact`` tells places where all
-    lists of the phrase agree on the start from those where they agree to within ``slop`` words.
-    Postings are shuffled by document before they meet the phrases, which then need no shuffle.
+    lists of the phrase agree on the start from those where all but one, and two at least, agree to
+    within ``slop`` words: whichever word was changed, the others still meet. Postings are shuffled
+    by document before they meet the phrases, which then need no shuffle.
     """
     met = postings.repartition("_id", "_h").join(_sent(led, BROADCAST_TERMS), "tid").select(
         "_id", "_h", "pid", "rank", (F.col("pos") - F.col("offset")).alias("start")
@@ -96,8 +97,9 @@ def phrase_starts(postings: DataFrame, led: DataFrame, *, lists: int, slop: int)
     lists_at = sum(F.max((F.col("rank") == k).cast("int")).over(at) for k in range(1, lists + 1))
     lists_near = sum(F.max((F.col("rank") == k).cast("int")).over(near) for k in range(1, lists + 1))
     needed = led.groupBy("pid").agg(F.max("rank").alias("needed"))
-    met = met.withColumn("_at", lists_at).withColumn("_near", lists_near).where("rank = 1")
-    met = met.join(_sent(needed, BROADCAST_TERMS), "pid").where(F.col("_near") == F.col("needed"))
+    enough = F.greatest(F.col("needed") - 1, F.least("needed", F.lit(2)))
+    met = met.withColumn("_at", lists_at).withColumn("_near", lists_near)
+    met = met.join(_sent(needed, BROADCAST_TERMS), "pid").where(F.col("_near") >= enough)
     exact = (F.col("_at") == F.col("needed")) & (F.col("start") >= 0)
     return saved(met.select("_id", "_h", "pid", "start", exact.alias("exact")).distinct(), "phrase-starts")
 
@@ -129,14 +131,14 @@ def benchmark_matches(
     item_col: str = "item_id",
     item_text_col: str = "text",
     words: int = 10,
-    lists: int = 2,
+    lists: int = 4,
     slop: int = 3,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """``(matches, items, texts)``.
 
     ``matches``: ``_id, _h, phrase, start, n, exact``, one row per place; ``exact`` rows are
-    verified word by word, the others are places where only the rarest terms meet, within
-    ``slop`` words. ``items``: ``phrase, item``, which items hold a phrase. ``texts``: ``_id, _h,
+    verified word by word, the others are places where only the rarest terms meet, all but one of
+    them, within ``slop`` words. ``items``: ``phrase, item``, which items hold a phrase. ``texts``: ``_id, _h,
     n_words`` of every row of ``docs``. ``_h`` is the hash of the document's text; rows equal in id
     and text count as one document. A null or empty text, or one without words, matches nothing on
     either side. Empty tables give no rows.
@@ -148,9 +150,11 @@ def benchmark_matches(
     led = rarest_terms(texts, runs, lists=lists)
     postings = build_index(texts, led)
     starts = phrase_starts(postings, led, lists=lists, slop=slop)
-    found = _verified(texts, starts.where("exact"), names).withColumn("exact", F.lit(True))
-    loose = starts.where("not exact").select("_id", "_h", "pid", "start").withColumn("exact", F.lit(False))
-    matches = saved(found.unionByName(loose).join(_sent(names, BROADCAST_TERMS), "pid").drop("pid"), "matches")
+    found = _verified(texts, starts.where("exact"), names).toDF("_i", "_x", "_p", "_s").withColumn("_found", F.lit(True))
+    here = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_x")) & (F.col("pid") == F.col("_p")) & (F.col("start") == F.col("_s"))
+    # a place whose rarest terms agree while other words do not is near
+    told = starts.drop("exact").join(found, here, "left").select("_id", "_h", "pid", "start", F.coalesce("_found", F.lit(False)).alias("exact"))
+    matches = saved(told.join(_sent(names, BROADCAST_TERMS), "pid").drop("pid"), "matches")
     ends = postings.where(F.col("tid") == F.xxhash64(F.lit(END))).select("_id", "_h", F.col("pos").cast("long").alias("n_words"))
     return matches.withColumn("n", F.size(F.split("phrase", " "))), runs.select("phrase", "item").distinct(), ends
 
@@ -159,7 +163,7 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, **options) -> Da
     """One row per document: ``_id, _h, n_words, n_hit, n_items, items_sha256, n_near, contaminated``.
 
     ``n_hit`` counts the words inside any exact match, ``n_items`` the items with one, ``n_near``
-    the phrases met by proximity only. Repeated rows each get their row, a null id is kept.
+    the phrases that the document meets by proximity and nowhere exactly. Repeated rows each get their row, a null id is kept.
     Options and edge cases are those of ``benchmark_matches``.
     """
     matches, items, texts = benchmark_matches(docs, benchmark, **options)
@@ -175,7 +179,8 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, **options) -> Da
     whose = exact.select("_id", "_h", "phrase").distinct().join(_sent(items, BROADCAST_TERMS), "phrase").groupBy("_id", "_h").agg(
         F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items")
     )
-    near = matches.where("not exact").groupBy("_id", "_h").agg(F.countDistinct("phrase").alias("n_near"))
+    only = matches.groupBy("_id", "_h", "phrase").agg(F.bool_or("exact").alias("exact")).where("not exact")
+    near = only.groupBy("_id", "_h").agg(F.count("*").alias("n_near"))
     per = (
         hit.unionByName(whose, allowMissingColumns=True).unionByName(near, allowMissingColumns=True)
         .groupBy(F.col("_id").alias("_i"), F.col("_h").alias("_x"))

@@ -45,7 +45,7 @@ a AS (SELECT *, sum(step) OVER (PARTITION BY doc_id, code ORDER BY k) AS fin FRO
 c AS (SELECT doc_id, source, code, kind, fin - long AS beg, fin, val FROM a
   WHERE (code <> 0 OR length(val) >= 8) AND (code <> 3 OR (regexp_matches(val, '[0-9]') AND regexp_matches(val, '[a-z]')
     AND regexp_matches(val, '[A-Z]') AND len(list_distinct(string_split(val, ''))) >= 12))),
-o AS (SELECT val, count(DISTINCT source) AS owners FROM c GROUP BY val),
+o AS (SELECT val, count(DISTINCT {{'owner': source}}) AS owners FROM c GROUP BY val),
 j AS (SELECT c.*, owners <= 1 AS live, max(CASE WHEN code < 3 THEN fin END) OVER (b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS upto,
     min(CASE WHEN code < 3 THEN beg END) OVER (b ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next
   FROM c JOIN o USING (val) WINDOW b AS (PARTITION BY doc_id ORDER BY beg, code)),
@@ -70,10 +70,21 @@ x AS (SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS phrase FROM
 m AS (SELECT doc_id, i, x.n, item_id FROM x JOIN p USING (phrase, n)),
 h AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM m, unnest(range(i, i + n)) AS t(k) GROUP BY doc_id),
 t AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
-  FROM m GROUP BY doc_id)
+  FROM m GROUP BY doc_id),
+o AS (SELECT doc_id, unnest(w) AS term, unnest(range(len(w))) AS pos FROM d),
+c AS (SELECT term, count(*) AS seen FROM o GROUP BY term),
+q AS (SELECT phrase, unnest(string_split(phrase, ' ')) AS term, unnest(range(n)) AS place FROM (SELECT DISTINCT phrase, n FROM p)),
+r AS (SELECT q.*, row_number() OVER (PARTITION BY phrase ORDER BY seen, place) AS rank, count(*) OVER z = count(seen) OVER z AS whole
+  FROM q LEFT JOIN c USING (term) WINDOW z AS (PARTITION BY phrase)),
+l AS (SELECT *, max(rank) OVER (PARTITION BY phrase) AS needed FROM r WHERE whole AND rank <= 4),
+v AS (SELECT doc_id, phrase, needed, {' + '.join(f'max(CAST(rank = {k} AS INTEGER)) OVER g' for k in range(1, 5))} AS near
+  FROM (SELECT doc_id, phrase, rank, needed, pos - place AS start FROM o JOIN l USING (term))
+  WINDOW g AS (PARTITION BY doc_id, phrase ORDER BY start RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+y AS (SELECT doc_id, count(DISTINCT phrase) AS n_near FROM v LEFT JOIN (SELECT DISTINCT doc_id, phrase, true AS got FROM m) USING (doc_id, phrase)
+  WHERE got IS NULL AND near >= greatest(needed - 1, least(needed, 2)) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_near, 0) AS n_near, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id) LEFT JOIN y USING (doc_id)
 """
 
 

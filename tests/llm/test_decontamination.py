@@ -76,11 +76,28 @@ def test_decontaminated_keeps_clean_rows_with_their_columns(spark):
 
 def test_proximity(spark):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
-    rows = [(1, item), (2, item.replace("beta", "beta so")), (3, "alpha kappa")]
+    rows = [
+        (1, item), (2, item.replace("gamma", "gamma so").replace("delta", "other")), (3, "alpha kappa"), (4, item.replace("beta", "beta so")),
+        (5, "alpha nothing of beta that was said here before gamma or rather delta"),
+    ]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     matches, _, _ = decontamination.benchmark_matches(docs, bench)
-    assert {(r["_id"], r["exact"]) for r in matches.collect()} == {(1, True), (2, False)}
+    assert {(r["_id"], r["exact"]) for r in matches.collect() if r["_id"] != 1} == {(2, False), (4, False)}
+    assert {r["_id"]: (r["n_near"], r["contaminated"]) for r in decontamination.contamination_report(docs, bench).collect()} == {
+        1: (0, True), 2: (1, False), 3: (0, False), 4: (1, False), 5: (0, False)}
+
+
+@pytest.mark.parametrize("changed", range(10))
+def test_a_passage_with_one_word_changed_is_near(spark, changed):
+    """Also if it is the rarest: the others still meet."""
+    item = [f"w{k}" for k in range(10)]
+    rest = [(10 + k, " ".join(item[k + 1 :])) for k in range(9)]  # earlier words are rarer
+    rows = [(1, " ".join(["new" if k == changed else w for k, w in enumerate(item)])), (2, " ".join(item)), *rest]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = {r["_id"]: (r["n_near"], r["contaminated"]) for r in decontamination.contamination_report(docs, bench).collect()}
+    assert got[1] == (1, False) and got[2] == (0, True)
 
 
 def test_empty_tables(spark):
