@@ -14,6 +14,8 @@ from quayside.sinks.filetable import FileTable
 
 # Date parts a partition column may be derived by.
 PARTITION_FORMATS = ("dd", "MM", "yyyy", "yyyyMM", "MMdd", "yyyyMMdd")
+# Buckets of keys by which copies are compared.
+BUCKETS = 256
 VALID_FROM, VALID_TO, IS_CURRENT = "valid_from", "valid_to", "is_current"
 
 
@@ -195,6 +197,50 @@ def replicate(
     return report
 
 
+def digests(df: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """Per bucket of keys (``_bucket, n, mark``) a digest of its rows that does not depend on their order.
+
+    The sum and the exclusive or of row hashes; columns are taken by name, so their order is free.
+    """
+    whole = F.xxhash64(*sorted(df.columns)).cast("decimal(20,0)")
+    rows = df.select(bucket_of(keys, buckets).alias("_bucket"), whole.alias("h"), F.xxhash64(F.lit("x"), *sorted(df.columns)).alias("x"))
+    return rows.groupBy("_bucket").agg(F.count("*").alias("n"), F.struct(F.sum("h").alias("sum"), F.bit_xor("x").alias("xor")).alias("mark"))
+
+
+def bucket_of(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def differing(source: DataFrame, copy: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> list[int]:
+    """Buckets whose contents differ. Digests alone travel; at most ``buckets`` numbers come back."""
+    a, b = digests(source, keys, buckets), digests(copy, keys, buckets).toDF("_b", "_n", "_mark")
+    same = F.col("mark").eqNullSafe(F.col("_mark")) & F.col("n").eqNullSafe(F.col("_n"))
+    apart = a.join(b, F.col("_bucket") == F.col("_b"), "full_outer").where(~same).select(F.coalesce("_bucket", "_b").alias("b"))
+    return sorted(r["b"] for r in apart.collect())
+
+
+def replicate_into(source: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> list[int]:
+    """Bring a copy kept in bucket folders up to date; returns the buckets that were written.
+
+    Contents are compared by bucket, both sides where they are, and only buckets that differ are
+    copied. A copy that does not exist yet is written whole. Columns are those of ``source``.
+    """
+    spark = source.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    marked = source.withColumn("_bucket", bucket_of(keys, buckets))
+    have = spark.read.schema(marked.schema).parquet(path) if fs.exists(folder) else spark.createDataFrame([], marked.schema)
+    apart = differing(source, have.drop("_bucket"), keys, buckets)
+    if apart:
+        changed = marked.where(F.col("_bucket").isin(apart))
+        writer = changed.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("_bucket").parquet(path)
+        filled = {r["_bucket"] for r in changed.select("_bucket").distinct().collect()}
+        for bucket in set(apart) - filled:  # nothing is left of these in the source
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_bucket={bucket}"), True)
+    return apart
+
+
 def templated(spark: SparkSession, template: str, rows: Iterable[Mapping[str, str]], **views: DataFrame) -> DataFrame:
     """One SQL template run for each spec row, results united.
 

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Leading bits of a hash by which rows are counted before they are drawn.
+DRAW_BITS = 12
+
+
 def qualify(df: DataFrame, condition: str, **windows: Column) -> DataFrame:
     """Filter on window results without keeping them.
 
@@ -103,3 +107,22 @@ def lookback_sum(df: DataFrame, keys: Sequence[str], at: str, value: str, second
     placed = df.withColumns({"_at": micros, "_copy": copies}).select("*", "_copy._block", "_copy._own")
     frame = Window.partitionBy(*keys, "_block").orderBy("_at").rangeBetween(-seconds * 1_000_000, 0)
     return placed.withColumn(out, F.sum(value).over(frame)).where("_own").select(*df.columns, out)
+
+
+def sample_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
+    """``n`` rows drawn uniformly (all, if there are fewer), the same ones for a seed however ``df`` is partitioned.
+
+    The rows with the smallest seeded hashes are drawn. Rows are first counted by the leading bits of
+    their hash; those below the bits in which the n-th falls are taken as they are, and only rows that
+    share these bits are put in order. Equal rows share a hash and are drawn one by one.
+    """
+    bits = F.shiftrightunsigned(F.col("_draw"), 64 - DRAW_BITS)
+    drawn = df.withColumn("_draw", F.xxhash64(F.lit(seed), *df.columns))
+    counts = sorted(drawn.groupBy(bits.alias("b")).agg(F.count("*").alias("n")).collect())  # 2**DRAW_BITS at most
+    left = n
+    for b, count in counts:
+        if count >= left:
+            last = drawn.where(bits == b).orderBy("_draw").limit(left)
+            return drawn.where(bits < b).unionByName(last).drop("_draw")
+        left -= count
+    return df

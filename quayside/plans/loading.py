@@ -243,6 +243,19 @@ def table_replicate(t):
     return t.spark.createDataFrame(rows, "table_name string, n_read long, n_copied long, same boolean")
 
 
+@query("f9_replicate_changes", "SELECT o_orderkey, o_custkey, o_totalprice, true AS few FROM orders")
+def replicate_changes(t):
+    """A copy with one altered, one lost and one strange row is found out and mended where it differs."""
+    path, rows = t.scratch("copy"), t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    first = rows.agg(F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")).head()
+    altered = F.when(F.col("o_orderkey") == first["low"], -1.0).otherwise(F.col("o_totalprice")).alias("o_totalprice")
+    strange = t.spark.range(1).select((F.lit(first["high"]) + 1).alias("o_orderkey"), F.lit(1).cast("long").alias("o_custkey"), F.lit(1.0).alias("o_totalprice"))
+    load.replicate_into(rows.where(F.col("o_orderkey") != first["high"]).select("o_orderkey", "o_custkey", altered).unionByName(strange), path, ["o_orderkey"], 32)
+    mended = load.replicate_into(rows, path, ["o_orderkey"], 32)
+    few = 0 < len(mended) <= 3 and load.replicate_into(rows, path, ["o_orderkey"], 32) == []
+    return t.spark.read.schema(rows.schema).parquet(path).select(*rows.columns, F.lit(few).alias("few"))
+
+
 @query(
     "f10_templated_projection",
     """SELECT 'priority' AS what, o_orderpriority AS v, count(*) AS n FROM orders GROUP BY 2

@@ -89,6 +89,23 @@ def jdbc_split_predicates(t):
     return t.orders.groupBy(task.alias("task")).agg(F.count("*").alias("n"))
 
 
+@query(
+    "a5_jdbc_depth_splits",
+    """SELECT count(*) AS n_rows, count(*) AS n_once, true AS even, true AS enough FROM orders""",
+)
+def jdbc_depth_splits(t):
+    """Reads of a column that grows with the square of the key and holds one value in half its rows."""
+    skewed = F.when(F.col("o_custkey") % 2 == 0, 5).otherwise(F.col("o_orderkey") * F.col("o_orderkey")).cast("long")
+    rows = t.orders.select(F.when(F.col("o_orderkey") % 97 != 0, skewed).alias("k"), "o_orderkey")
+    texts = jdbc.depth_predicates(rows, "k", 10, "o_orderkey")
+    reads = rows.select(F.filter(F.array(*[F.when(F.expr(p), F.lit(i)) for i, p in enumerate(texts)]), lambda i: i.isNotNull()).alias("reads"))
+    sizes = reads.select(F.size("reads").alias("times"), F.get("reads", F.lit(0)).alias("read")).groupBy("read").agg(
+        F.count("*").alias("n"), F.count_if(F.col("times") == 1).alias("once"))
+    return sizes.agg(
+        F.sum("n").alias("n_rows"), F.sum("once").alias("n_once"), (F.max("n") <= 1.5 * F.sum("n") / 10).alias("even"),
+        (F.count("*") >= 10).alias("enough"))
+
+
 @query(
     "a6_split_bucket_expr",
     """SELECT o_orderkey, day(o_orderdate)::INTEGER AS dd, month(o_orderdate)::INTEGER AS mm,

@@ -191,6 +191,20 @@ def tablesample_rows(t):
     return known.agg(F.count("*").cast("int").alias("rows"), F.count(F.when(F.col("_known").isNull(), 1)).cast("int").alias("strangers"))
 
 
+@query("k11_sample_rows", """SELECT 500 AS n, 0 AS strangers, true AS spread_out, true AS same_again FROM orders LIMIT 1""")
+def sample_rows(t):
+    """Drawn rows are of the table, spread over it, and the same under another partitioning."""
+    rows = t.orders.select("o_orderkey", "o_custkey")
+    one, two = (rel.sample_rows(df, 500, 7) for df in (rows, rows.repartition(7, "o_custkey")))
+    both = one.withColumn("one", F.lit(1)).unionByName(two.withColumn("two", F.lit(1)), allowMissingColumns=True)
+    known = rows.distinct().withColumn("known", F.lit(1))
+    per = both.groupBy("o_orderkey", "o_custkey").agg(F.count("one").alias("one"), F.count("two").alias("two")).join(known, ["o_orderkey", "o_custkey"], "left")
+    middle = rows.agg(F.avg("o_orderkey")).head()[0]
+    return per.agg(
+        F.sum("one").cast("int").alias("n"), F.count_if(F.col("known").isNull()).cast("int").alias("strangers"),
+        F.count_if(F.col("o_orderkey") > middle).between(150, 350).alias("spread_out"), (F.count_if(F.col("one") != F.col("two")) == 0).alias("same_again"))
+
+
 @query("k11_tablesample_bucket", "SELECT o_orderkey FROM orders WHERE o_custkey % 4 = 0")
 def tablesample_bucket(t):
     return t.orders.where(F.pmod("o_custkey", F.lit(4)) == 0).select("o_orderkey")

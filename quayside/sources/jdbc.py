@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import decimal
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 DATE_SPLITS = {"dd": 31, "MM": 12, "yyyy": None, "yyyyMM": None, "MMdd": 366, "yyyyMMdd": None}
 HASH_SPLITS = ("mod", "hashamp_hashbucket_hashrow")
 DEFAULT_DATE_SPLIT = "MM"
+# Reads of equal size from a sketch of the column, and quantiles that are put together for one.
+DEPTH_SPLIT, CELLS = "depth", 4
 
 # Schemas and tables that belong to the database itself.
 SYSTEM_OWNERS = {"netezza": ("ADMIN",)}
@@ -92,6 +95,7 @@ class Split:
     column: str
     how: str | None = None
     buckets: int = 8
+    spread: str | None = None
 
 
 def default_split(column: str, type_name: str, dialect: str | None = None) -> Split:
@@ -155,25 +159,81 @@ def split_predicates(split: Split, values: Sequence | None = None, dialect: str
     return [f"({first})"] + [f"({derived} IN ({', '.join(map(str, g))}))" for g in groups[1:]]
 
 
+def _literal(value) -> str:
+    return str(value) if isinstance(value, (int, float, decimal.Decimal)) else f"'{value}'"
+
+
+def depth_predicates(
+    values: DataFrame, column: str, tasks: int, spread: str | None = None, dialect: str | None = None, accuracy: int = 100_000
+) -> list[str]:
+    """WHERE texts of about ``tasks`` reads of about equal size, however skewed ``column`` is.
+
+    The bounds come from a quantile sketch of ``values``, which tasks make of their own rows and Spark
+    merges: four quantiles a read, which are put together until they are a read's share. A value that
+    holds three quantiles or more is a read of its own; if it is more than one share, it is cut further
+    by the remainder of ``spread``, a numeric column. Without one it stays whole. Together the texts
+    cover every row once, nulls included, also rows that were not there when the sketch was made.
+    """
+    cells = CELLS * tasks
+    points = [F.lit(k / cells) for k in range(1, cells)]
+    found = values.agg(F.percentile_approx(column, F.array(*points), F.lit(accuracy)).alias("q")).head()["q"]  # a few per task
+    if not found:
+        return ["(1 = 1)"]
+    name = f"{column}"
+    at_value = {v: found.count(v) for v in found}
+    texts, low, share = [], None, 0
+
+    def span(low, high, closed: bool) -> str:
+        parts = [] if low is None else [f"{name} > {_literal(low)}"]
+        parts += [] if high is None else [f"{name} {'<=' if closed else '<'} {_literal(high)}"]
+        return " AND ".join(parts) or "1 = 1"
+
+    for value in sorted(at_value):
+        hot = at_value[value] > CELLS // 2
+        if hot:
+            texts.append(f"({span(low, value, False)})")
+            pieces = -(-(at_value[value] + 1) // CELLS) if spread else 1
+            for k in range(pieces):
+                rest = f"{'ABS(' + spread + ') % ' + str(pieces) if dialect == 'sqlserver' else f'MOD(ABS({spread}), {pieces})'}"
+                cut = "" if pieces == 1 else f" AND {rest} = {k}" if k else f" AND ({spread} IS NULL OR {rest} = 0)"
+                texts.append(f"({name} = {_literal(value)}{cut})")
+            low, share = value, 0
+            continue
+        if share and share + at_value[value] > CELLS:
+            texts.append(f"({span(low, before, True)})")
+            low, share = before, 0
+        share += at_value[value]
+        before = value
+        if share >= CELLS:
+            texts.append(f"({span(low, value, True)})")
+            low, share = value, 0
+    return [*texts, f"({span(low, None, True)} OR {name} IS NULL)"]
+
+
 def jdbc_scan(
     spark: SparkSession,
     url: str,
     table: str,
     split: Split | None = None,
     bounds: tuple | None = None,
-    values: Sequence | None = None,
+    values: Sequence | DataFrame | None = None,
     properties: Mapping[str, str] | None = None,
     dialect: str | None = None,
 ) -> DataFrame:
     """Read a table with one connection per split instead of one for all rows.
 
     A plain numeric or date column uses ``bounds``; a derived split uses one predicate per task. The
-    values of an open-ended date part are asked of the database if they are not given.
+    values of an open-ended date part are asked of the database if they are not given. A split by
+    ``depth`` first reads the split column alone and sketches it, unless ``values`` is a frame of it.
     Filters and column selections made on the result are pushed into the database.
     """
     properties = dict(properties or {})
     if split is None:
         return spark.read.jdbc(url, table, properties=properties)
+    if split.how == DEPTH_SPLIT:
+        column = values if values is not None else spark.read.jdbc(url, f"(SELECT {split.column} FROM {table}) q", properties=properties)
+        texts = depth_predicates(column, split.column, split.buckets, split.spread, dialect)
+        return spark.read.jdbc(url, table, predicates=texts, properties=properties)
     if split.how:
         if values is None and split.how not in HASH_SPLITS and not DATE_SPLITS.get(split.how):
             asked = f"(SELECT DISTINCT {split_expression(split, dialect)} AS v FROM {table}) q"
