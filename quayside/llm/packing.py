@@ -66,6 +66,7 @@ def token_pieces(
             columns = [batch.column(0).take(pa.array(owner, pa.int64())), place, start, pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             columns += [pa.array(parts, pa.binary())] * ids
             yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in schema.split(", ")])
+            encoder.rest()
 
     return rows.mapInArrow(run, schema)
 

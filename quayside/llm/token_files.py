@@ -39,13 +39,13 @@ FRAME_IDS = 1 << 16
 VERSION = 1
 LEVEL = 3
 # Distinct text pieces whose ids a worker remembers: the last so many, and those it used before them.
-KNOWN_PIECES = 100_000
+KNOWN_PIECES = 200_000
 # Fixed values of the seekable zstandard format.
 SKIPPABLE, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x8F92EAB1, 0x80
 ENTRY, FOOTER = "<III", "<IBI"
 DIRECTORY = np.dtype([("has_id", "u1"), ("doc_id", "<i8"), ("start", "<u8"), ("n", "<u8"), ("frame", "<u4"), ("at", "<u4")])
 # Bytes of text whose words are encoded together.
-BATCH_BYTES = 1 << 22
+BATCH_BYTES = 1 << 24
 
 
 # Fixed values of byte-level tokenizers: bytes that stand for themselves as characters. The others
@@ -144,6 +144,11 @@ class Encoder:
             ids.append(own.take(coded.indices))
         return pc.binary_join_element_wise(*ids, pa.scalar(b"", pa.large_binary()))
 
+    def rest(self) -> None:
+        """Between tasks: keep the words known last, give back the rest."""
+        self.known.before = {}
+        pa.default_memory_pool().release_unused()
+
     def encode(self, text: str) -> bytes:
         return self.encode_all(pa.array([text], pa.string()))[0]
 
@@ -166,7 +171,6 @@ class Encoder:
             joined = data.to_pybytes() if data is not None else b""
             out += [joined[a:b] + self.end for a, b in zip(places, places[1:], strict=False)]
             at = stop
-        pa.default_memory_pool().release_unused()  # the worker stays, its buffers need not
         return out
 
 
@@ -321,6 +325,7 @@ def write_token_files(
                 if doc_id is not None:
                     low, high = doc_id if low is None else low, doc_id
         writer.close()
+        encoder.rest()
         out = [task.partitionId()], [name], [len(writer.docs)], [writer.total], [low], [high]
         kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
         names = [x.split()[0] for x in MANIFEST.split(", ")]
