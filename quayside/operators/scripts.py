@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,9 @@ KEPT = r"(?i)^(?:CREATE\s*(?:TEMPORARY\s*)?TABLE|INSERT\s*INTO|UPDATE|DELETE\s*F
 SESSION = r"(?i)^(?:USE|SET)"
 SET_VALUE = r"SET\s+(\w+)\s*=\s*'([^']*)'"
 
+# Letters of a rule's required literal under which it is filed.
+GRAM = 3
+
 # Rewrites of loader expressions, applied in this order.
 REWRITES = [
     (r"\(CASESPECIFIC\)", ""),
@@ -287,6 +291,70 @@ def match_function(expression, rules: Sequence[tuple[str, str, str]] = tuple(FUN
     return result
 
 
+def required_literal(pattern: str) -> str:
+    """Capitals that every match begins with behind blanks; empty where that is not certain."""
+    import re
+
+    depth = 0
+    for mark in re.findall(r"\\.|\[(?:\\.|[^\]])*\]|[()|]", pattern):
+        depth += {"(": 1, ")": -1}.get(mark, 0)
+        if mark == "|" and depth == 0:
+            return ""
+    # blanks may come first, and one group may be open if nothing in it is an alternative
+    lead = re.match(r"(?:\\s[*+]\??)*(?P<open>\(\?:)?(?:\\s[*+]\??)*(?P<word>[A-Z_]{3,})(?![?*{])", pattern)
+    if lead is None or (lead["open"] and re.match(r"(?:\\.|\[(?:\\.|[^\]])*\]|\((?:\\.|[^()])*\)|[^()|\\])*\)[^?*{]", pattern[lead.end() :]) is None):
+        return ""
+    return lead["word"]
+
+
+RULES = "place int, pattern string, function string, search string, groups int, gram string"
+
+
+def rule_table(rules: DataFrame) -> DataFrame:
+    """``RULES`` of a table of ``place, pattern, function, search``: each rule is filed under the first
+    letters of its required literal, or under none if it has none."""
+    import re
+
+    def filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            patterns = batch.column(1).to_pylist()
+            groups = pa.array([re.compile(p).groups for p in patterns], pa.int32())
+            grams = pa.array([required_literal(p)[:GRAM] for p in patterns], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, groups, grams], names=[c.split()[0] for c in RULES.split(", ")])
+
+    plain = rules.select(F.col("place").cast("int").alias("place"), "pattern", "function", "search")
+    return plain.mapInArrow(filed, RULES)
+
+
+def match_rules(expressions: DataFrame, keys: Sequence[str], expression: str, rules: DataFrame) -> DataFrame:
+    """``keys``, ``function`` and ``params`` of the first rule each expression fits; null for none.
+
+    ``rules`` as in ``rule_table``. An expression meets only the rules filed under letters it holds, by
+    an equality join, and only those run their pattern; so thousands of rules cost no more than the
+    few that can fit. ``keys`` tell the expressions apart.
+    """
+    text = F.upper(F.trim(F.col(expression)))
+    rows = expressions.select(*keys, text.alias("_text"))
+    starts = F.sequence(F.lit(1), F.greatest(F.length("_text") - (GRAM - 1), F.lit(1)))
+    grams = F.array_union(F.transform(starts, lambda i: F.substring(F.col("_text"), i, F.lit(GRAM))), F.array(F.lit("")))
+    met = rows.withColumn("gram", F.explode(grams)).join(rules, "gram").where(F.regexp_like("_text", F.col("pattern")))
+
+    def group(g: Column, function: str) -> Column:
+        return F.call_function(function, F.col("_text"), F.col("pattern"), g)
+
+    numbers = F.when(F.col("groups") > 0, F.sequence(F.lit(1), F.greatest("groups", F.lit(1)))).otherwise(F.array().cast("array<int>"))
+    every = F.transform(numbers, lambda g: group(g, "regexp_extract_all"))
+    places = F.sequence(F.lit(0), F.greatest(F.size(F.get(every, F.lit(0))) - 1, F.lit(0)))
+    by_match = F.flatten(F.transform(places, lambda j: F.transform(every, lambda of_group: F.get(of_group, j))))
+    params = F.when(F.col("search") == "single", F.transform(numbers, lambda g: group(g, "regexp_extract"))).otherwise(by_match)
+    kept = F.filter(F.transform(params, lambda p: F.trim(p)), lambda p: p != "")
+    first = met.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min_by(F.struct("function", kept.alias("params")), "place").alias("_hit"))
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return rows.join(first, same, "left").select(*keys, "_hit.function", "_hit.params")
+
+
 def drop_null_targets(columns, values) -> Column:
     """Column and value pairs of an INSERT without those whose value is the literal NULL."""
     pairs = F.arrays_zip(F.col(columns).alias("column"), F.col(values).alias("value"))

@@ -197,6 +197,26 @@ def file_select(t):
     return chosen.select("path", listing.archive_path().alias("archived"))
 
 
+@query(
+    "a10_folder_walk",
+    "SELECT o_orderstatus, left(o_orderpriority, 1) AS priority, count(*) AS lines, true AS as_listed FROM orders GROUP BY ALL",
+)
+def folder_walk(t):
+    """Files of a tree two folders deep, listed by tasks; each file's lines are counted by its folders."""
+    path = t.scratch("tree")
+    rows = t.orders.select("o_orderstatus", F.substring("o_orderpriority", 1, 1).alias("priority"), F.col("o_orderkey").cast("string").alias("value"))
+    rows.write.partitionBy("o_orderstatus", "priority").text(path)
+    name = F.substring_index("path", "/", -3)
+    walked = listing.walk_files(t.spark, path).select(name.alias("name"), "length")
+    listed = listing.list_files(t.spark, path, sub_folders=True).select(name.alias("_name"), F.col("length").alias("_length"), F.lit(True).alias("_known"))
+    both = walked.join(listed, (F.col("name") == F.col("_name")) & (F.col("length") == F.col("_length")), "full_outer")
+    file = F.substring_index(F.col("_metadata.file_path"), "/", -3)
+    lines = t.spark.read.option("recursiveFileLookup", True).text(path).groupBy(file.alias("_file")).agg(F.count("*").alias("n"))
+    folder = lambda k: F.regexp_extract("name", f"{k}=([^/]*)", 1).alias(k)
+    return both.join(lines, F.col("name") == F.col("_file"), "left").groupBy(folder("o_orderstatus"), folder("priority")).agg(
+        F.sum("n").alias("lines"), F.bool_and(F.coalesce(F.col("_known") & F.col("name").isNotNull(), F.lit(False))).alias("as_listed"))
+
+
 @query(
     "a11_files_modified_after",
     f"""WITH f AS ({FILES}) SELECT grp, max_by(path, struct_pack(m := modified, p := path)) AS path,

@@ -143,6 +143,7 @@ def temp_table_stage(t):
     return scripts.temp_table_stages(_statements(t), t.sql(MAPPING), stages).select("path", "n", "temp_table", "database", "stage")
 
 
+QUOTED = "'''(.*)'''"
 EXPRESSIONS = """
   SELECT o_orderkey AS k,
     CASE WHEN o_orderpriority LIKE '1%' THEN concat('(CASE WHEN :st_', cast(o_custkey AS STRING), ' = ''F'' THEN 1 END)')
@@ -181,6 +182,26 @@ def expr_function_match(t):
     return hit.select("k", "hit.function", F.array_join("hit.params", "|").alias("params"))
 
 
+@query(
+    "j10_rule_table",
+    f"""WITH e AS ({EXPRESSIONS}), u AS (SELECT k, upper(trim(expression)) AS x FROM e),
+          n AS (SELECT k, x, regexp_extract(x, 'DIVIDE\\(.*,\\s*(\\d+)', 1) AS divisor FROM u)
+        SELECT k, CASE WHEN x LIKE 'DIVIDE%' THEN 'divide_' || divisor WHEN contains(x, '||') THEN 'concat_columns' END AS function,
+               CASE WHEN x LIKE 'DIVIDE%' THEN '' WHEN contains(x, '||') THEN ':FIRST|' || regexp_extract(x, {QUOTED}, 1) || '|:LAST' END AS params
+        FROM n""",
+)
+def rule_table(t):
+    """Thousands of rules, one for each number to divide by; an expression meets those filed under its letters."""
+    numbers = t.orders.select(F.col("o_orderkey").cast("int").alias("place")).union(t.spark.range(1, 2000).select(F.col("id").cast("int"))).distinct()
+    number = F.col("place").cast("string")
+    divides = numbers.select("place", F.concat(F.lit(r"DIVIDE\(.*,\s*"), number, F.lit(r"\s*\)")).alias("pattern"),
+                             F.concat(F.lit("divide_"), number).alias("function"), F.lit("single").alias("search"))
+    concat = next(r for r in scripts.FUNCTION_RULES if r[1] == "concat_columns")
+    last = t.spark.range(1).select(F.lit(0).alias("place"), *[F.lit(v).alias(c) for v, c in zip(concat, ("pattern", "function", "search"))])
+    hit = scripts.match_rules(t.sql(EXPRESSIONS), ["k"], "expression", scripts.rule_table(divides.unionByName(last)))
+    return hit.select("k", "function", F.array_join("params", "|").alias("params"))
+
+
 INSERTS = """
   SELECT o_orderkey AS k, concat('id,', o_orderstatus, ',prio,total') AS cols,
          concat(cast(o_orderkey AS STRING), ',', CASE WHEN o_orderstatus = 'F' THEN 'NULL' ELSE ':s' END, ',',

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.session import saved
+
 # Files never taken, optional compression suffix, and the archive folder swap.
 EXCLUDED = "(.*done_bkp.*|.*done_backup.*|.*_bkp)"
 OPTIONAL_GZ = "(.gz)?"
@@ -20,6 +23,39 @@ def list_files(spark: SparkSession, folder: str, sub_folders: bool = False) -> D
     return found.select("path", F.col("modificationTime").alias("modified"), "length")
 
 
+def walk_files(spark: SparkSession, folder: str, depth: int | None = None) -> DataFrame:
+    """The files of a folder tree as in ``list_files``, listed by the executors.
+
+    A round lists all folders found in the one before, a folder a row; only their number comes back
+    to the driver, which holds no list of files. Every round is written to the shared folder. Hidden
+    names (with ``.`` or ``_`` ahead) are left out. Paths are those of pyarrow.
+    """
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for uri in batch.column(0).to_pylist():
+                plain = uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri
+                system, root = fs.FileSystem.from_uri(plain)
+                found = [i for i in system.get_file_info(fs.FileSelector(root)) if not i.base_name.startswith(".") and (not i.base_name.startswith("_") or "=" in i.base_name)]
+                yield pa.RecordBatch.from_pydict({
+                    "path": pa.array([f"{uri.rstrip('/')}/{i.base_name}" for i in found], pa.string()), "modified": pa.array([i.mtime for i in found], pa.timestamp("us", "UTC")),
+                    "length": pa.array([i.size for i in found], pa.int64()), "is_folder": pa.array([i.type == fs.FileType.Directory for i in found], pa.bool_())})
+
+    whole = spark.range(1).select(F.lit(folder.rstrip("/")).alias("path"))
+    rounds, n = [], 1
+    while n and (depth is None or len(rounds) <= depth):
+        tasks = min(n, spark.sparkContext.defaultParallelism * 4)
+        found = saved(whole.repartition(tasks, "path").mapInArrow(listed, "path string, modified timestamp, length long, is_folder boolean"), "listing")
+        rounds.append(found.where("not is_folder").drop("is_folder"))
+        whole = found.where("is_folder").select("path")
+        n = whole.count()
+    files = rounds[0]
+    for more in rounds[1:]:
+        files = files.unionByName(more)
+    return files
+
+
 def base_name(path="path") -> Column:
     return F.substring_index(F.col(path) if isinstance(path, str) else path, "/", -1)
 

@@ -141,3 +141,21 @@ def test_long_lists_are_read(spark):
     names = [f"s{i}.t{i}" for i in range(6000)]
     text = "select * from " + " x, ".join(names) + " where a = 'b'"
     assert spark.createDataFrame([(text,)], "statement string").select(scripts.read_tables()).first()[0] == names
+
+
+def test_rules_of_a_table_as_of_the_list(spark):
+    rows = [(i, p, f, s) for i, (p, f, s) in enumerate(scripts.FUNCTION_RULES)]
+    table = scripts.rule_table(spark.createDataFrame(rows, "place int, pattern string, function string, search string"))
+    filed = {r["function"]: r["gram"] for r in table.collect()}
+    assert filed["upper"] == "UPP" and filed["divide"] == "DIV" and filed["concat_columns"] == "" and filed["case_when_map"] == "WHE"
+    texts = [a for a, _ in MATCHED] + [a for a, _ in REWRITTEN] + [
+        None, "", "CASE WHEN :a 'x' THEN 'il' WHEN :b 'y' THEN 'el' ELSE '??' END", "case when :a 'q' then '12' when :b 'r' then '13' else '0' end"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, e string")
+    one = df.select("i", scripts.match_function("e").alias("h")).select("i", "h.function", "h.params").orderBy("i").collect()
+    two = scripts.match_rules(df, ["i"], "e", table).orderBy("i").collect()
+    assert [tuple(r) for r in two] == [tuple(r) for r in one]
+
+
+def test_required_literals():
+    cases = {"UPPER": "UPPER", r"NULLIF\s*\(": "NULLIF", r"(?:\s*WHEN\s*x)(?:\s*ELSE)?": "WHEN", r"AB|CD": "", r"(?:ABC|D)E": "", r"(ABC)?D": "", r"ABCD*E": "ABC", "abc": "", r"\s*ABC(x|y)": "ABC"}
+    assert {p: scripts.required_literal(p) for p in cases} == cases
