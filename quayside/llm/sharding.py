@@ -125,7 +125,7 @@ def assign_shards(
     alone = F.col("bytes") * (shards * ALONE) > F.lit(total)
     atom = F.when(alone, F.col("group_hash")).otherwise(cell)
     # groups that stand alone are named whole, so rows find their atom by a list of those names
-    atoms = groups.groupBy(atom.alias("atom")).agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).orderBy("atom").collect()
+    atoms = groups.groupBy(atom.alias("atom")).agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).orderBy("atom").collect()  # bound: cells and large groups
     shard = plan_shards(np.array([a["bytes"] for a in atoms], dtype=np.int64), shards)
     base, listed = [0] * shards, []
     for a, s in zip(atoms, shard.tolist(), strict=True):

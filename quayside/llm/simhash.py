@@ -123,7 +123,7 @@ def _upper_nodes(unique: DataFrame, distance: int) -> Iterator[DataFrame]:
         met = nodes.join(named, (F.col("mask") == F.col("_m")) & (F.col("value") == F.col("_v")))
         yield met.where("not _cut").select("mask", "value", "fp")
         # only masks with a node to be cut go on; there are fewer of them than such nodes
-        below = [(r["_m"], wider_masks(r["_m"], distance)) for r in named.where("_cut").select("_m").distinct().collect()]
+        below = [(r["_m"], wider_masks(r["_m"], distance)) for r in named.where("_cut").select("_m").distinct().collect()]  # bound: masks
         if not below:
             return
         book = F.map_from_arrays(F.array(*[F.lit(m) for m, _ in below]), F.array(*[F.array(*[F.lit(x) for x in xs]) for _, xs in below]))

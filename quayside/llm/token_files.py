@@ -333,7 +333,7 @@ def write_token_files(
 
     written = posixpath.join(folder, f"_manifest-{uuid.uuid4().hex[:8]}")
     rows.mapInArrow(write, MANIFEST).write.parquet(written)
-    told = sorted(spark.read.schema(MANIFEST).parquet(written).collect())  # one row per file
+    told = sorted(spark.read.schema(MANIFEST).parquet(written).collect())  # bound: one row per file
     bases = [0, *itertools.accumulate(r["ids"] for r in told)]
     return spark.createDataFrame([(*r, b) for r, b in zip(told, bases, strict=False)], f"{MANIFEST}, base long")
 

@@ -175,14 +175,14 @@ def train(
             every = np.bincount(where, minlength=len(bucket))
             yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(ones), pa.array(every.astype(np.int64))], names=["bucket", "ones", "rows"])
 
-    sums = {r["label"]: r["n"] for r in fitting.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    sums = {r["label"]: r["n"] for r in fitting.groupBy("label").agg(F.count("*").alias("n")).collect()}  # bound: two labels
     p, q = sums.get(1, 0), sums.get(0, 0)
     seen = fitting.mapInArrow(count, "bucket long, ones long, rows long").groupBy("bucket").agg(F.sum("ones").alias("a"), F.sum("rows").alias("r"))
     apart = F.col("a") / F.lit(float(max(p, 1))) - (F.col("r") - F.col("a")) / F.lit(float(max(q, 1)))
     pooled = F.col("r") / F.lit(float(max(p + q, 1)))
     spread = F.sqrt(pooled * F.greatest(1.0 - pooled, F.lit(1e-9)) * F.lit(1 / max(p, 1) + 1 / max(q, 1)))
     told = seen.where(F.col("r") >= LEAST_ROWS).select("bucket", F.abs(apart / spread).alias("z")).where(F.col("z") >= LEAST_DEVIATION)
-    kept = np.sort(np.array([r["bucket"] for r in told.orderBy(F.desc("z"), "bucket").limit(terms).collect()], dtype=np.int64))
+    kept = np.sort(np.array([r["bucket"] for r in told.orderBy(F.desc("z"), "bucket").limit(terms).collect()], dtype=np.int64))  # bound: terms
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(kept)
@@ -190,7 +190,7 @@ def train(
             rows_ = [reader.positions(t).tolist() for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int32()), pa.array(rows_, pa.list_(pa.int64()))], names=["label", "at"])
 
-    told_rows = sorted((r["label"], sorted(r["at"])) for r in fitting.mapInArrow(project, "label int, at array<long>").collect())
+    told_rows = sorted((r["label"], sorted(r["at"])) for r in fitting.mapInArrow(project, "label int, at array<long>").collect())  # bound: twice FIT_ROWS
     return fit(kept, [np.array(at, dtype=np.int64) for _, at in told_rows], np.array([y for y, _ in told_rows], dtype=np.float64))
 
 
