@@ -216,7 +216,7 @@ def differing(source: DataFrame, copy: DataFrame, keys: Sequence[str], buckets:
     a, b = digests(source, keys, buckets), digests(copy, keys, buckets).toDF("_b", "_n", "_mark")
     same = F.col("mark").eqNullSafe(F.col("_mark")) & F.col("n").eqNullSafe(F.col("_n"))
     apart = a.join(b, F.col("_bucket") == F.col("_b"), "full_outer").where(~same).select(F.coalesce("_bucket", "_b").alias("b"))
-    return sorted(r["b"] for r in apart.collect())
+    return sorted(r["b"] for r in apart.collect())  # bound: the number of buckets
 
 
 def replicate_into(source: DataFrame, path: str, keys: Sequence[str], buckets: int = BUCKETS) -> list[int]:
@@ -235,7 +235,7 @@ def replicate_into(source: DataFrame, path: str, keys: Sequence[str], buckets: i
         changed = marked.where(F.col("_bucket").isin(apart))
         writer = changed.repartition("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("_bucket").parquet(path)
-        filled = {r["_bucket"] for r in changed.select("_bucket").distinct().collect()}
+        filled = {r["_bucket"] for r in changed.select("_bucket").distinct().collect()}  # bound: the number of buckets
         for bucket in set(apart) - filled:  # nothing is left of these in the source
             fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_bucket={bucket}"), True)
     return apart

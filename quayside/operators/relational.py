@@ -118,7 +118,7 @@ def sample_rows(df: DataFrame, n: int, seed: int = 0) -> DataFrame:
     """
     bits = F.shiftrightunsigned(F.col("_draw"), 64 - DRAW_BITS)
     drawn = df.withColumn("_draw", F.xxhash64(F.lit(seed), *df.columns))
-    counts = sorted(drawn.groupBy(bits.alias("b")).agg(F.count("*").alias("n")).collect())  # 2**DRAW_BITS at most
+    counts = sorted(drawn.groupBy(bits.alias("b")).agg(F.count("*").alias("n")).collect())  # bound: 2**DRAW_BITS
     left = n
     for b, count in counts:
         if count >= left:

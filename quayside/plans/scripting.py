@@ -184,21 +184,22 @@ def expr_function_match(t):
 
 @query(
     "j10_rule_table",
-    f"""WITH e AS ({EXPRESSIONS}), u AS (SELECT k, upper(trim(expression)) AS x FROM e),
-          n AS (SELECT k, x, regexp_extract(x, 'DIVIDE\\(.*,\\s*(\\d+)', 1) AS divisor FROM u)
-        SELECT k, CASE WHEN x LIKE 'DIVIDE%' THEN 'divide_' || divisor WHEN contains(x, '||') THEN 'concat_columns' END AS function,
-               CASE WHEN x LIKE 'DIVIDE%' THEN '' WHEN contains(x, '||') THEN ':FIRST|' || regexp_extract(x, {QUOTED}, 1) || '|:LAST' END AS params
-        FROM n""",
+    f"""WITH e AS ({EXPRESSIONS}), u AS (SELECT k, upper(trim(expression)) AS x FROM e)
+        SELECT k, CASE WHEN x LIKE 'DIVIDE%' THEN 'divide' WHEN contains(x, '||') THEN 'concat_columns' END AS function,
+               CASE WHEN x LIKE 'DIVIDE%' THEN regexp_extract(x, '(\\d+)', 1)
+                    WHEN contains(x, '||') THEN ':FIRST|' || regexp_extract(x, {QUOTED}, 1) || '|:LAST' END AS params
+        FROM u""",
 )
 def rule_table(t):
-    """Thousands of rules, one for each number to divide by; an expression meets those filed under its letters."""
-    numbers = t.orders.select(F.col("o_orderkey").cast("int").alias("place")).union(t.spark.range(1, 2000).select(F.col("id").cast("int"))).distinct()
-    number = F.col("place").cast("string")
-    divides = numbers.select("place", F.concat(F.lit(r"DIVIDE\(.*,\s*"), number, F.lit(r"\s*\)")).alias("pattern"),
-                             F.concat(F.lit("divide_"), number).alias("function"), F.lit("single").alias("search"))
-    concat = next(r for r in scripts.FUNCTION_RULES if r[1] == "concat_columns")
-    last = t.spark.range(1).select(F.lit(0).alias("place"), *[F.lit(v).alias(c) for v, c in zip(concat, ("pattern", "function", "search"))])
-    hit = scripts.match_rules(t.sql(EXPRESSIONS), ["k"], "expression", scripts.rule_table(divides.unionByName(last)))
+    """A rule for a function named after each order, ahead of the listed ones; an expression meets
+    only those filed under its letters."""
+    letters = F.translate(F.col("o_orderkey").cast("string"), "0123456789", "ABCDEFGHIJ")
+    named = t.orders.select(F.col("o_orderkey").cast("int").alias("place"), F.concat(F.lit("XYZ"), letters).alias("function"))
+    named = named.select("place", F.concat(F.reverse("function"), F.lit(r"\s*\(")).alias("pattern"), "function", F.lit("single").alias("search")).distinct()
+    listed = [F.struct(F.lit(10**9 + i).alias("place"), F.lit(p).alias("pattern"), F.lit(f).alias("function"), F.lit(s).alias("search"))
+              for i, (p, f, s) in enumerate(scripts.FUNCTION_RULES)]
+    rules = named.unionByName(t.spark.range(1).select(F.inline(F.array(*listed))))
+    hit = scripts.match_rules(t.sql(EXPRESSIONS), ["k"], "expression", scripts.rule_table(rules))
     return hit.select("k", "function", F.array_join("params", "|").alias("params"))
 
 
