@@ -76,8 +76,8 @@ c AS (SELECT term, count(*) AS seen FROM o GROUP BY term),
 q AS (SELECT phrase, unnest(string_split(phrase, ' ')) AS term, unnest(range(n)) AS place FROM (SELECT DISTINCT phrase, n FROM p)),
 r AS (SELECT q.*, row_number() OVER (PARTITION BY phrase ORDER BY seen, place) AS rank, count(*) OVER z = count(seen) OVER z AS whole
   FROM q LEFT JOIN c USING (term) WINDOW z AS (PARTITION BY phrase)),
-l AS (SELECT *, max(rank) OVER (PARTITION BY phrase) AS needed FROM r WHERE whole AND rank <= 4),
-v AS (SELECT doc_id, phrase, needed, {' + '.join(f'max(CAST(rank = {k} AS INTEGER)) OVER g' for k in range(1, 5))} AS near
+l AS (SELECT *, max(rank) OVER (PARTITION BY phrase) AS needed FROM r WHERE whole AND rank <= 3),
+v AS (SELECT doc_id, phrase, needed, {' + '.join(f'max(CAST(rank = {k} AS INTEGER)) OVER g' for k in range(1, 4))} AS near
   FROM (SELECT doc_id, phrase, rank, needed, pos - place AS start FROM o JOIN l USING (term))
   WINDOW g AS (PARTITION BY doc_id, phrase ORDER BY start RANGE BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
 y AS (SELECT doc_id, count(DISTINCT phrase) AS n_near FROM v LEFT JOIN (SELECT DISTINCT doc_id, phrase, true AS got FROM m) USING (doc_id, phrase)
