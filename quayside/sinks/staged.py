@@ -205,6 +205,8 @@ def committed(spark: SparkSession, path: str) -> DataFrame:
     start = told.where("replaces").agg(F.max(F.struct("at", "job")).alias("since")).first()["since"]
     counted = told if start is None else told.where(F.struct("at", "job") >= F.struct(F.lit(start["at"]).cast("long").alias("at"), F.lit(start["job"]).alias("job")))
     named = counted.select(F.explode("attempts").alias("_attempt"), F.col("at").alias("_at"), F.col("job").alias("_job"))
+    if named.isEmpty():
+        return spark.createDataFrame([], schema).select("*", F.lit(0).cast("long").alias("_at"), F.lit("").alias("_job"))
     rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{path}/staged")
     attempt = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     return rows.withColumn("_attempt", attempt).join(named, "_attempt").drop("_attempt").select(*schema.names, "_at", "_job")

@@ -179,13 +179,12 @@ def depth_predicates(
     found = values.agg(F.percentile_approx(column, F.array(*points), F.lit(accuracy)).alias("q")).head()["q"]  # a few per task
     if not found:
         return ["(1 = 1)"]
-    name = f"{column}"
     at_value = {v: found.count(v) for v in found}
-    texts, low, share = [], None, 0
+    texts, low, before, share = [], None, None, 0
 
     def span(low, high, closed: bool) -> str:
-        parts = [] if low is None else [f"{name} > {_literal(low)}"]
-        parts += [] if high is None else [f"{name} {'<=' if closed else '<'} {_literal(high)}"]
+        parts = [] if low is None else [f"{column} > {_literal(low)}"]
+        parts += [] if high is None else [f"{column} {'<=' if closed else '<'} {_literal(high)}"]
         return " AND ".join(parts) or "1 = 1"
 
     for value in sorted(at_value):
@@ -194,9 +193,9 @@ def depth_predicates(
             texts.append(f"({span(low, value, False)})")
             pieces = -(-(at_value[value] + 1) // CELLS) if spread else 1
             for k in range(pieces):
-                rest = f"{'ABS(' + spread + ') % ' + str(pieces) if dialect == 'sqlserver' else f'MOD(ABS({spread}), {pieces})'}"
+                rest = f"ABS({spread}) % {pieces}" if dialect == "sqlserver" else f"MOD(ABS({spread}), {pieces})"
                 cut = "" if pieces == 1 else f" AND {rest} = {k}" if k else f" AND ({spread} IS NULL OR {rest} = 0)"
-                texts.append(f"({name} = {_literal(value)}{cut})")
+                texts.append(f"({column} = {_literal(value)}{cut})")
             low, share = value, 0
             continue
         if share and share + at_value[value] > CELLS:
@@ -207,7 +206,7 @@ def depth_predicates(
         if share >= CELLS:
             texts.append(f"({span(low, value, True)})")
             low, share = value, 0
-    return [*texts, f"({span(low, None, True)} OR {name} IS NULL)"]
+    return [*texts, f"({span(low, None, True)} OR {column} IS NULL)"]
 
 
 def jdbc_scan(

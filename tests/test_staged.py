@@ -38,8 +38,9 @@ def test_a_later_job_wins_by_key_and_overwrite_replaces(registered, shared):
     assert {tuple(r) for r in staged.current(registered, path, ["k"]).collect()} == {(1, "a"), (2, "c"), (3, None)}
     put(registered.createDataFrame([(9, "z")], "k int, v string"), path, "overwrite", keys="k")
     assert [tuple(r) for r in staged.current(registered, path, ["k"]).collect()] == [(9, "z")]
-    put(registered.createDataFrame([], "k int, v string"), path, "overwrite", keys="k")
-    assert staged.current(registered, path, ["k"]).collect() == []
+    for target in (path, f"{shared}/new"):
+        put(registered.createDataFrame([], "k int, v string"), target, "overwrite", keys="k")
+        assert staged.current(registered, target, ["k"]).collect() == []
 
 
 def test_a_failed_job_leaves_nothing(registered, shared):
