@@ -50,7 +50,7 @@ def test_heads_reach_words_never_seen(spark):
     assert got[1000]["predicted"] == 1 and got[1001]["predicted"] == 0
 
 
-def test_gradient_steps_against_differences():
+def test_pairs_in_closed_form():
     """The sum over all pairs is what the closed form says."""
     rng = np.random.default_rng(1)
     m = toxicity.FactorizationMachine(np.arange(6), 0.3, rng.normal(size=6), rng.normal(size=(6, 8)))
@@ -59,6 +59,15 @@ def test_gradient_steps_against_differences():
         assert np.isclose(m.scores([np.array(row, dtype=np.int64)])[0], 1 / (1 + np.exp(-raw)))
 
 
+def test_machine_learns_a_pair_whose_terms_tell_nothing_alone():
+    """Each term is as common in one class as in the other, so no additive weights tell them apart."""
+    rows = [np.array(r, dtype=np.int64) for r in ([], [0], [1], [0, 1])] * 30
+    labels = np.array([1.0, 0.0, 0.0, 1.0] * 30)
+    model = toxicity.fit(np.arange(2), rows, labels)
+    none, first, second, both = model.scores(rows[:4])
+    assert min(none, both) > 0.7 > 0.3 > max(first, second)
+
+
 def test_edges(spark):
     rows = documents()
     df = frame(spark, rows)
