@@ -11,6 +11,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,8 +99,9 @@ def url_verdicts(
         F.explode(F.array_distinct(F.split(F.lower(F.concat("host", "path")), TOKEN_BREAK))).alias("token"),
     ).where("token <> ''")
 
-    shape = "name string, pattern string, verdict string, weight int, listed boolean, tokens array<string>"
-    book = spark.createDataFrame([(r.name, r.pattern, r.verdict, r.weight, r.listed, list(r.tokens)) for r in rules], shape)
+    # from an Arrow table, so that no Python worker has to read the rules
+    shape = [("name", pa.string()), ("pattern", pa.string()), ("verdict", pa.string()), ("weight", pa.int32()), ("listed", pa.bool_()), ("tokens", pa.list_(pa.string()))]
+    book = spark.createDataFrame(pa.Table.from_pylist([{**vars(r), "tokens": list(r.tokens)} for r in rules], pa.schema(shape)))
     small = sum(len(r.pattern) + sum(map(len, r.tokens)) for r in rules) <= BROADCAST_BYTES
     sent = F.broadcast if small else (lambda df: df)
 

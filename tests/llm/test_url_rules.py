@@ -48,3 +48,19 @@ def test_rules_need_a_token(spark):
 
 def test_empty_table(spark):
     assert url_rules.url_verdicts(spark.createDataFrame([], "page_id long, url string"), url_rules.LISTED).collect() == []
+
+
+def test_rules_pass_no_python_worker(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    judged = url_rules.url_verdicts(pages, [*url_rules.LISTED, *url_rules.UNLISTED])
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+
+
+@pytest.mark.parametrize("n", [10_000])
+def test_many_rules_meet_few_urls(spark, n):
+    """Every rule has a common and a rare token; it is filed under the rare one, and only it is looked at."""
+    rules = [url_rules.Rule(f"r{i}", rf"/shop/k{i}(/|$)", ("shop", f"k{i}"), "block", 1, False) for i in range(n)]
+    rows = [(i, f"http://h{i % 7}.org/shop/k{i * 3}/x") for i in range(300)] + [(1000, "http://a.org/shop/"), (1001, None)]
+    got = url_rules.url_verdicts(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()
+    assert {r["page_id"]: r["pattern_rule"] for r in got} == {i: f"r{i * 3}" for i in range(300)} | {1000: None, 1001: None}
