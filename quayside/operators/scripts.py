@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.operators.relational import join_back, running_total
+from quayside.session import saved
 
 BLANKS = " \t\n\x0b\f\r"
 # A script in pieces: quoted texts and names, comments, statement ends, and what lies between.
@@ -30,8 +31,10 @@ KEPT = r"(?i)^(?:CREATE\s*(?:TEMPORARY\s*)?TABLE|INSERT\s*INTO|UPDATE|DELETE\s*F
 SESSION = r"(?i)^(?:USE|SET)"
 SET_VALUE = r"SET\s+(\w+)\s*=\s*'([^']*)'"
 
-# Letters of a rule's required literal under which it is filed.
-GRAM = 3
+# Letters of a rule's required literal under which it is filed, and the most that are compared whole.
+GRAM, LITERAL = 3, 32
+# Rules that are sent to all tasks; more meet the expressions in a shuffle.
+SENT_RULES = 20_000
 
 # Rewrites of loader expressions, applied in this order.
 REWRITES = [
@@ -307,20 +310,21 @@ def required_literal(pattern: str) -> str:
     return lead["word"]
 
 
-RULES = "place int, pattern string, function string, search string, groups int, gram string"
+RULES = "place int, pattern string, function string, search string, groups int, gram string, literal string"
 
 
 def rule_table(rules: DataFrame) -> DataFrame:
     """``RULES`` of a table of ``place, pattern, function, search``: each rule is filed under the first
-    letters of its required literal, or under none if it has none."""
+    letters of its required literal, or under none if it has none. ``literal`` has up to ``LITERAL`` of them."""
     import re
 
     def filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             patterns = batch.column(1).to_pylist()
             groups = pa.array([re.compile(p).groups for p in patterns], pa.int32())
-            grams = pa.array([required_literal(p)[:GRAM] for p in patterns], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, groups, grams], names=[c.split()[0] for c in RULES.split(", ")])
+            words = [required_literal(p)[:LITERAL] for p in patterns]
+            grams, literals = pa.array([w[:GRAM] for w in words], pa.string()), pa.array(words, pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, groups, grams, literals], names=[c.split()[0] for c in RULES.split(", ")])
 
     plain = rules.select(F.col("place").cast("int").alias("place"), "pattern", "function", "search")
     return plain.mapInArrow(filed, RULES)
@@ -329,15 +333,23 @@ def rule_table(rules: DataFrame) -> DataFrame:
 def match_rules(expressions: DataFrame, keys: Sequence[str], expression: str, rules: DataFrame) -> DataFrame:
     """``keys``, ``function`` and ``params`` of the first rule each expression fits; null for none.
 
-    ``rules`` as in ``rule_table``. An expression meets only the rules filed under letters it holds, by
-    an equality join, and only those run their pattern; so thousands of rules cost no more than the
-    few that can fit. ``keys`` tell the expressions apart.
+    ``rules`` as in ``rule_table``. A rule whose literal has letters that stand together in no expression is
+    left out first. An expression meets the others only by their whole literals, in an equality join,
+    and only those run their pattern; so rules cost no more than the few that can fit, however many
+    there are and however many begin alike. Rules without a literal meet every expression. ``keys``
+    tell the expressions apart.
     """
     text = F.upper(F.trim(F.col(expression)))
     rows = expressions.select(*keys, text.alias("_text"))
-    starts = F.sequence(F.lit(1), F.greatest(F.length("_text") - (GRAM - 1), F.lit(1)))
-    grams = F.array_union(F.transform(starts, lambda i: F.substring(F.col("_text"), i, F.lit(GRAM))), F.array(F.lit("")))
-    met = rows.withColumn("gram", F.explode(grams)).join(rules, "gram").where(F.regexp_like("_text", F.col("pattern")))
+    kept = _possible(rows.select(_tails("_text").alias("_tails")), rules)
+    filed, plain = kept.where("literal != ''"), kept.where("literal = ''")
+    # one row per leading letters and length of a literal
+    shapes = filed.select("gram", F.length("literal").alias("_size")).distinct()
+    tails = rows.select(*keys, "_text", F.explode(_tails("_text")).alias("_tail")).withColumn("gram", F.substring("_tail", 1, GRAM))
+    words = tails.join(shapes.hint("broadcast"), "gram").where(F.col("_size") <= F.length("_tail"))
+    words = words.select(*keys, "_text", F.substring(F.col("_tail"), F.lit(1), F.col("_size")).alias("literal"))
+    every = rows.withColumn("literal", F.lit(""))
+    met = _meeting(words, filed).unionByName(_meeting(every, plain)).where(F.regexp_like("_text", F.col("pattern")))
 
     def group(g: Column, function: str) -> Column:
         return F.call_function(function, F.col("_text"), F.col("pattern"), g)
@@ -347,12 +359,34 @@ def match_rules(expressions: DataFrame, keys: Sequence[str], expression: str, ru
     places = F.sequence(F.lit(0), F.greatest(F.size(F.get(every, F.lit(0))) - 1, F.lit(0)))
     by_match = F.flatten(F.transform(places, lambda j: F.transform(every, lambda of_group: F.get(of_group, j))))
     params = F.when(F.col("search") == "single", F.transform(numbers, lambda g: group(g, "regexp_extract"))).otherwise(by_match)
-    kept = F.filter(F.transform(params, lambda p: F.trim(p)), lambda p: p != "")
-    first = met.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min_by(F.struct("function", kept.alias("params")), "place").alias("_hit"))
-    same = F.lit(True)
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return rows.join(first, same, "left").select(*keys, "_hit.function", "_hit.params")
+    found = F.filter(F.transform(params, lambda p: F.trim(p)), lambda p: p != "")
+    hits = met.select(*keys, "place", F.struct("function", found.alias("params")).alias("_hit"), F.lit(0).alias("_row"))
+    # expressions and hits are put together by one shuffle; an expression without a hit stays
+    both = rows.select(*keys, F.lit(1).alias("_row")).unionByName(hits, allowMissingColumns=True)
+    first = both.groupBy(*keys).agg(F.min_by("_hit", "place").alias("_hit"), F.sum("_row").cast("int").alias("_rows"))
+    return first.withColumn("_row", F.explode(F.array_repeat(F.lit(0), F.col("_rows")))).select(*keys, "_hit.function", "_hit.params")
+
+
+def _tails(text: str) -> Column:
+    """What stands from each letter of a run of capitals on, up to ``LITERAL`` letters: any literal begins one of these."""
+    runs = F.regexp_extract_all(text, F.lit(f"[A-Z_]{{{GRAM},}}"), F.lit(0))
+    starts = lambda run: F.sequence(F.lit(1), F.length(run) - (GRAM - 1))
+    return F.array_distinct(F.flatten(F.transform(runs, lambda run: F.transform(starts(run), lambda i: F.substring(run, i, F.lit(LITERAL))))))
+
+
+def _possible(tails: DataFrame, rules: DataFrame) -> DataFrame:
+    """The rules whose literal is made of letters that stand together in some expression, written once."""
+    found = tails.select(F.explode("_tails").alias("_tail")).select(F.substring("_tail", 1, GRAM).alias("gram")).distinct()
+    grams = [r["gram"] for r in found.collect()]  # bound: 27 ** GRAM
+    starts = F.sequence(F.lit(1), F.greatest(F.length("literal") - (GRAM - 1), F.lit(1)))
+    strange = F.exists(starts, lambda i: ~F.substring(F.col("literal"), i, F.lit(GRAM)).isin(grams))
+    return saved(rules.where((F.col("literal") == "") | ~strange), "rules")
+
+
+def _meeting(words: DataFrame, rules: DataFrame) -> DataFrame:
+    """Join on the literal. Which side is sent is told by the rules' number: sizes after an explode are guesses."""
+    how = "broadcast" if rules.limit(SENT_RULES + 1).count() <= SENT_RULES else "merge"
+    return words.join(rules.hint(how), "literal")
 
 
 def drop_null_targets(columns, values) -> Column:

@@ -159,3 +159,32 @@ def test_rules_of_a_table_as_of_the_list(spark):
 def test_required_literals():
     cases = {"UPPER": "UPPER", r"NULLIF\s*\(": "NULLIF", r"(?:\s*WHEN\s*x)(?:\s*ELSE)?": "WHEN", r"AB|CD": "", r"(?:ABC|D)E": "", r"(ABC)?D": "", r"ABCD*E": "ABC", "abc": "", r"\s*ABC(x|y)": "ABC"}
     assert {p: scripts.required_literal(p) for p in cases} == cases
+
+
+def test_rules_meet_expressions_by_their_whole_literals(spark):
+    """Rules that begin like a word of every expression, but are found in few, meet only those few."""
+    names = ["DIVIDE" + "".join("ABCDEFGHIJ"[int(c)] for c in str(i)) for i in range(3000)]
+    table = scripts.rule_table(spark.createDataFrame([(i, n + r"\s*\((\d+)", n.lower(), "single") for i, n in enumerate(names)], "place int, pattern string, function string, search string"))
+    texts = [f"divide(x) {names[i] if i % 100 == 0 else ''} ({i})" for i in range(1000)] + ["divide(x)", "divide(x)"]
+    df = spark.createDataFrame([(min(i, 1000), t) for i, t in enumerate(texts)], "i int, e string")
+    hit = scripts.match_rules(df, ["i"], "e", table)
+    rows = hit.collect()
+    assert len(rows) == len(texts)  # an expression that comes twice stays twice
+    assert sorted((r["i"], r["function"], *r["params"]) for r in rows if r["function"]) == [(i, names[i].lower(), str(i)) for i in range(0, 1000, 100)]
+    assert "BuildLeft" not in plan(hit)  # expressions are never sent to all tasks
+
+
+def test_many_possible_rules_meet_in_a_shuffle(spark, monkeypatch):
+    rows = [(i, p, f, s) for i, (p, f, s) in enumerate(scripts.FUNCTION_RULES)]
+    table = scripts.rule_table(spark.createDataFrame(rows, "place int, pattern string, function string, search string"))
+    df = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(MATCHED)], "i int, e string")
+    want = sorted(map(str, scripts.match_rules(df, ["i"], "e", table).collect()))
+    monkeypatch.setattr(scripts, "SENT_RULES", 1)
+    assert sorted(map(str, scripts.match_rules(df, ["i"], "e", table).collect())) == want
+
+
+def test_rule_query_sends_no_expressions(spark):
+    from quayside.plans import QUERIES
+    from tests.oracle import TESTDATA
+
+    assert "BuildLeft" not in plan(QUERIES["j10_rule_table"](spark, f"{TESTDATA}/sf0.001"))
