@@ -18,6 +18,8 @@ from quayside.sources.listing import marker_of, with_table
 from quayside.streaming.levels import FAN, LevelledLog
 
 BATCH = "batch_id"
+# Batches in which files that wait already are taken, about.
+CATCH_UP = 24
 
 
 def text_stream(
@@ -25,16 +27,25 @@ def text_stream(
 ) -> DataFrame:
     """Lines of files as they arrive; a Kafka source gives the same ``value`` column.
 
-    With ``archive_to``, files are put away there once their batch is committed.
+    With ``archive_to``, files are put away there once their batch is committed. A batch takes
+    ``files_per_trigger`` files, or more if that many wait that it would be over ``CATCH_UP`` batches:
+    each has a cost of its own, whatever its size, so many small files are not taken a few at a time.
     """
     reader = spark.readStream.format("text")
     if archive_to:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_to)
     if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+        reader = reader.option("maxFilesPerTrigger", max(files_per_trigger, -(-waiting_files(spark, path) // CATCH_UP)))
     return reader.load(path)
 
 
+def waiting_files(spark: SparkSession, path: str) -> int:
+    """How many files a folder, or all folders of a pattern, hold."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sum(fs.getContentSummary(s.getPath()).getFileCount() for s in fs.globStatus(folder) or [])
+
+
 def typed_records(lines: DataFrame, specs: Sequence[ColumnSpec], rejects: str | None = "rejects") -> DataFrame:
     """JSON records to typed columns: the same projection a batch load uses."""
     fields = {s.source_name: T.StructField(s.source_name, T.StringType()) for s in specs}

@@ -125,3 +125,13 @@ def test_source_files_are_archived(spark, shared):
         feed_more.write.mode("append").text(f"{shared}/in")
     assert list(pathlib.Path(f"{shared}/kept").rglob("*.json"))
     assert spark.read.parquet(f"{shared}/out").count() == 201
+
+
+def test_batches_do_not_grow_with_the_files_that_wait(spark, shared):
+    import pathlib
+
+    feed(spark, f"{shared}/in", files=120, rows=240)
+    lines = ingest.text_stream(spark, f"{shared}/in", 2)
+    ingest.append_to_files(lines, f"{shared}/out", f"{shared}/cp").awaitTermination()
+    done = [p for p in pathlib.Path(f"{shared}/cp/commits").iterdir() if p.name.isdigit()]
+    assert 1 < len(done) <= ingest.CATCH_UP and spark.read.parquet(f"{shared}/out").count() == 240
