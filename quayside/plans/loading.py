@@ -122,9 +122,9 @@ FEW = """
 
 
 def _indexed(t, rows, keys, files=16):
-    """A table of several files by ranges of its key."""
+    """A table of several files by ranges of its key; of more, where they would have over ``FILE_ROWS`` rows."""
     table = FileTable(t.spark, t.scratch("indexed"), keys)
-    staged = table.stage(rows, files=files)
+    staged = table.stage(rows, files=max(files, table._files_for(rows)))
     table.commit(table.head(), staged, rows.schema.json(), "first")
     return table
 

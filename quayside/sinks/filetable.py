@@ -15,6 +15,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, StructType, TimestampType
@@ -27,6 +28,8 @@ FILE_ROWS = 1_000_000
 MOST_KEYS = 200_000
 # Bits of a file's filter per key, and hashes per key: about one false hit in a hundred.
 BITS, HASHES = 10, 7
+# Keys whose places in a filter are worked out in one go.
+CHUNK = 1 << 14
 # Loads whose ids a table remembers.
 REMEMBERED = 10_000
 
@@ -68,28 +71,76 @@ def _positions(hashes: np.ndarray, bits: int) -> np.ndarray:
     return ((low[:, None] + steps * high[:, None]) & np.uint64(bits - 1)).astype(np.int64)
 
 
+def filter_bits(keys: int) -> int:
+    return max(64, 1 << (BITS * max(1, keys) - 1).bit_length())
+
+
+def add_keys(filter_: np.ndarray, hashes: np.ndarray) -> None:
+    """Enter keys into a filter of whole bytes, some at a time."""
+    for start in range(0, len(hashes), CHUNK):
+        at = np.unique(_positions(hashes[start : start + CHUNK], 8 * len(filter_)))
+        np.bitwise_or.at(filter_, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
+
+
 def key_filter(hashes: np.ndarray) -> bytes:
-    bits = max(64, 1 << (BITS * max(1, len(hashes)) - 1).bit_length())
-    found = np.zeros(bits, dtype=bool)
-    found[_positions(hashes, bits).ravel()] = True
-    return np.packbits(found, bitorder="little").tobytes()
+    found = np.zeros(filter_bits(len(hashes)) // 8, dtype=np.uint8)
+    add_keys(found, hashes)
+    return found.tobytes()
 
 
 def may_hold(filter_: bytes, hashes: np.ndarray) -> np.ndarray:
-    found = np.unpackbits(np.frombuffer(filter_, dtype=np.uint8), bitorder="little").astype(bool)
-    return found[_positions(hashes, len(found))].all(axis=1)
+    found = np.frombuffer(filter_, dtype=np.uint8)
+    out = np.zeros(len(hashes), dtype=bool)
+    for start in range(0, len(hashes), CHUNK):
+        at = _positions(hashes[start : start + CHUNK], 8 * len(found))
+        out[start : start + CHUNK] = ((found[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=1)
+    return out
 
 
 INDEX = "file string, rows long, low double, high double, keys binary"
 
 
-def _indexed(t: pa.Table) -> pa.Table:
-    """One row of ``INDEX`` for the rows ``file, h, at`` of one file; null keys are not in it."""
-    h, at = t.column("h").drop_null().to_numpy(), t.column("at").drop_null()
-    low, high = (float(at.to_numpy().min()), float(at.to_numpy().max())) if len(at) else (None, None)
+def _partly_indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``file, h, at, n`` to ``INDEX`` rows of what a task has of each file, whose filters fit
+    together; null keys are not in it. A task holds the filter of one file and no keys."""
+    name, rows, low, high, found = None, 0, None, None, None
+
+    def told() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([
+            pa.array([name], pa.string()), pa.array([rows], pa.int64()), pa.array([low], pa.float64()),
+            pa.array([high], pa.float64()), pa.array([found.tobytes()], pa.binary())], names=[f.split()[0] for f in INDEX.split(", ")])
+
+    for batch in batches:
+        files = batch.column(0)
+        ends = files.dictionary_encode().indices.to_numpy()
+        cuts = [0, *(np.flatnonzero(ends[1:] != ends[:-1]) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            if start == stop:
+                continue
+            if files[start].as_py() != name:
+                if name is not None:
+                    yield told()
+                name, rows, low, high = files[start].as_py(), 0, None, None
+                found = np.zeros(filter_bits(batch.column(3)[start].as_py()) // 8, dtype=np.uint8)
+            part = batch.slice(start, stop - start)
+            add_keys(found, part.column(1).drop_null().to_numpy())
+            at, rows = part.column(2).drop_null().to_numpy(), rows + part.num_rows
+            if len(at):
+                low = float(at.min()) if low is None else min(low, float(at.min()))
+                high = float(at.max()) if high is None else max(high, float(at.max()))
+    if name is not None:
+        yield told()
+
+
+def _put_together(parts: pa.Table) -> pa.Table:
+    """One row of ``INDEX`` of the parts of a file: as many as tasks that read of it."""
+    found = np.zeros(len(parts.column("keys")[0].as_buffer()), dtype=np.uint8)
+    for keys in parts.column("keys"):
+        found |= np.frombuffer(keys.as_buffer(), dtype=np.uint8)
     return pa.table({
-        "file": t.column("file").slice(0, 1), "rows": pa.array([len(t)], pa.int64()),
-        "low": pa.array([low], pa.float64()), "high": pa.array([high], pa.float64()), "keys": pa.array([key_filter(h)], pa.binary()),
+        "file": parts.column("file").slice(0, 1), "rows": pa.array([pa.compute.sum(parts.column("rows")).as_py()], pa.int64()),
+        "low": pa.array([pa.compute.min(parts.column("low")).as_py()], pa.float64()),
+        "high": pa.array([pa.compute.max(parts.column("high")).as_py()], pa.float64()), "keys": pa.array([found.tobytes()], pa.binary()),
     })
 
 
@@ -193,7 +244,10 @@ class FileTable:
     def _write_index(self, run: str, schema: StructType) -> None:
         rows = self.spark.read.schema(schema).parquet(f"{self.path}/data/{run}").withColumn("file", F.concat(F.lit(f"{run}/"), F.col("_metadata.file_name")))
         keyed = self._key_columns(rows.select("file", *self.keys)).select("file", "h", "at")
-        keyed.groupBy("file").applyInArrow(_indexed, INDEX).write.parquet(f"{self.path}/index/{run}")
+        # the keys stay where they are read: counted first, so that the filters of a file's parts fit together
+        counts = keyed.groupBy("file").agg(F.count("h").alias("n"))
+        parts = keyed.join(counts.hint("broadcast"), "file").select("file", "h", "at", "n").mapInArrow(_partly_indexed, INDEX)
+        parts.groupBy("file").applyInArrow(_put_together, INDEX).write.parquet(f"{self.path}/index/{run}")
 
     def read(self, version: Version | None = None, files: Sequence[DataFile] | None = None) -> DataFrame:
         """Rows of the head, of another version, or of some files of it."""

@@ -120,3 +120,41 @@ def test_tables_without_rows_or_keys(spark, shared):
     assert table.read().count() == 3
     with pytest.raises(ValueError, match="without keys"):
         FileTable(spark, f"{shared}/t").merge(spark.range(3), load.merge_scd1)
+
+
+def test_a_file_is_indexed_in_parts_without_holding_its_keys(spark, shared):
+    """Files read by several tasks, in batches: the same filter and range as of all keys at once."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "700")
+    try:
+        table = FileTable(spark, f"{shared}/t", ["k"])
+        rows = spark.range(40_000).select(F.when(F.col("id") % 100 != 7, F.col("id")).alias("k"), F.col("id").cast("string").alias("v"))
+        table.stage(rows, files=3)
+        index = spark.read.option("recursiveFileLookup", True).parquet(f"{shared}/t/index").collect()
+        back = spark.read.option("recursiveFileLookup", True).parquet(f"{shared}/t/data").groupBy(F.col("_metadata.file_name").alias("f")).agg(
+            F.count("*").alias("n"), F.min("k").alias("low"), F.max("k").alias("high"), F.collect_list(F.when(F.col("k").isNotNull(), F.xxhash64("k"))).alias("h"))
+        want = {r["f"]: (r["n"], r["low"], r["high"], filetable.key_filter(np.array(r["h"], dtype=np.int64))) for r in back.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {r["file"].split("/")[1]: (r["rows"], r["low"], r["high"], bytes(r["keys"])) for r in index} == want
+
+
+def test_a_task_that_indexes_holds_no_file():
+    """What one task keeps while a million keys pass is a filter, not the keys."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    n, size = 1_000_000, 10_000
+
+    def batches():
+        for i in range(0, n, size):
+            h = np.arange(i, i + size, dtype=np.int64) * 0x9E3779B97F4A7C1
+            yield pa.RecordBatch.from_arrays([pa.array(["f"] * size), pa.array(h), pa.array(h.astype(float)), pa.array([n] * size, pa.int64())], names=["file", "h", "at", "n"])
+
+    tracemalloc.start()
+    out = list(filetable._partly_indexed(batches()))
+    assert len(out) == 1 and out[0].column(1)[0].as_py() == n
+    assert tracemalloc.get_traced_memory()[1] < 24e6
+    tracemalloc.stop()
