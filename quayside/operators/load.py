@@ -16,6 +16,8 @@ from quayside.sinks.filetable import FileTable
 PARTITION_FORMATS = ("dd", "MM", "yyyy", "yyyyMM", "MMdd", "yyyyMMdd")
 # Buckets of keys by which copies are compared.
 BUCKETS = 256
+# Versions and changes that a task of a history merge sorts, on average.
+TASK_ROWS = 250_000
 VALID_FROM, VALID_TO, IS_CURRENT = "valid_from", "valid_to", "is_current"
 
 
@@ -113,7 +115,9 @@ def merge_scd2(history: DataFrame, delta: DataFrame, keys: Sequence[str], at: st
     the version it falls into. A null key matches nothing: such rows come in as new versions.
 
     History and delta are put side by side and shuffled by key once; versions and changes are then
-    read in the order of time, so no key's rows are held in memory.
+    read in the order of time, so no key's rows are held in memory. Both are counted first: tasks are
+    as many as leave each ``TASK_ROWS`` rows, since bytes of a shuffle, well packed, say little of what
+    the sorts of a task take.
     """
     keys = list(keys)
     attrs = [c for c in delta.columns if c not in keys and c != at]
@@ -127,6 +131,9 @@ def merge_scd2(history: DataFrame, delta: DataFrame, keys: Sequence[str], at: st
     # a null key is no key: each such row is told apart and stands alone
     rows = rows.withColumn("_alone", F.when(lost, F.concat_ws("-", F.monotonically_increasing_id(), "_new")).otherwise(""))
 
+    tasks = max(1, -(-(history.count() + delta.count()) // TASK_ROWS))
+    rows = rows.repartition(tasks, *keys, "_alone")
+
     def walk(*more, back=False):
         order = [F.col("_t").desc(), F.col("_new").desc(), *[F.col(a).desc() for a in attrs]] if back else ["_t", "_new", *attrs]
         return Window.partitionBy(*keys, "_alone", *more).orderBy(*order)

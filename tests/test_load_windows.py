@@ -220,3 +220,17 @@ def test_scd2_keeps_open_starts_and_versions_without_length(spark):
     later = merged((2, "b", 8), (2, "a", 6), (3, "n", 9))
     assert later == shown(
         *history[:3], (2, "a", 3, 8, False), (2, "b", 8, None, True), (3, "z", 4, 4, False), (3, "n", 9, None, True))
+
+
+def test_tasks_of_a_history_merge_follow_its_rows(spark, monkeypatch):
+    import re
+
+    from tests.test_plans import plan
+
+    monkeypatch.setattr(load, "TASK_ROWS", 100, raising=False)
+    day = "timestamp_seconds(id * 86400)"
+    h = spark.range(2000).selectExpr("id AS k", "'a' AS v", f"{day} AS valid_from", "cast(null AS timestamp) AS valid_to", "true AS is_current")
+    d = spark.range(500).selectExpr("id AS k", "'b' AS v", "timestamp_seconds((id + 10) * 86400) AS at")
+    merged = load.merge_scd2(h, d, ["k"], "at")
+    assert re.findall(r"Exchange hashpartitioning\(.*, (\d+)\)", plan(merged)) == ["25"]
+    assert merged.count() == 2500 and merged.where("is_current").count() == 2000
