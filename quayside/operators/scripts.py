@@ -342,13 +342,13 @@ def match_rules(expressions: DataFrame, keys: Sequence[str], expression: str, ru
     text = F.upper(F.trim(F.col(expression)))
     rows = expressions.select(*keys, text.alias("_text"))
     kept = _possible(rows.select(_tails("_text").alias("_tails")), rules)
-    filed, plain = kept.where("literal != ''"), kept.where("literal = ''")
+    filed, plain = kept.where(F.length("literal") > 0), kept.where(F.length("literal") == 0)
     # one row per leading letters and length of a literal
     shapes = filed.select("gram", F.length("literal").alias("_size")).distinct()
     tails = rows.select(*keys, "_text", F.explode(_tails("_text")).alias("_tail")).withColumn("gram", F.substring("_tail", 1, GRAM))
     words = tails.join(shapes.hint("broadcast"), "gram").where(F.col("_size") <= F.length("_tail"))
     words = words.select(*keys, "_text", F.substring(F.col("_tail"), F.lit(1), F.col("_size")).alias("literal"))
-    every = rows.withColumn("literal", F.lit(""))
+    every = rows.withColumn("literal", F.substring("_text", 1, 0))
     met = _meeting(words, filed).unionByName(_meeting(every, plain)).where(F.regexp_like("_text", F.col("pattern")))
 
     def group(g: Column, function: str) -> Column:
