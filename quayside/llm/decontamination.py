@@ -19,6 +19,8 @@ BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # Tables counted to have no more rows than these are sent to every executor, larger ones shuffled.
 BROADCAST_TERMS = 200_000
 BROADCAST_DOCUMENTS = 500_000
+# Places that a task sorts, on average.
+TASK_ROWS = 500_000
 # No word is empty, so the end of a text can be filed under the empty term.
 END = ""
 
@@ -56,9 +58,9 @@ def _tokens(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def rarest_terms(docs: DataFrame, runs: DataFrame, *, lists: int) -> DataFrame:
-    """``pid, tid, offset, rank`` of the ``lists`` terms of each phrase that the documents hold least.
+    """``pid, tid, offset, rank, n, needed`` of the ``lists`` terms of each phrase that the documents hold least.
 
-    A phrase with a term that no document has cannot occur and is left out.
+    ``n`` is how often they hold the term, ``needed`` how many terms the phrase has here. A phrase with a term that no document has cannot occur and is left out.
     """
     placed = runs.select("pid", "terms").dropDuplicates(["pid"]).select("pid", F.posexplode("terms").alias("offset", "term"))
     placed = placed.select("pid", "offset", F.xxhash64("term").alias("tid"))
@@ -68,7 +70,8 @@ def rarest_terms(docs: DataFrame, runs: DataFrame, *, lists: int) -> DataFrame:
     by_phrase = Window.partitionBy("pid")
     ranked = ranked.withColumn("missing", F.max(F.col("n").isNull()).over(by_phrase)).where("not missing")
     ranked = ranked.withColumn("rank", F.row_number().over(by_phrase.orderBy("n", "offset")))
-    return saved(ranked.where(F.col("rank") <= lists).select("pid", "tid", "offset", "rank"), "phrase-terms")
+    ranked = ranked.where(F.col("rank") <= lists).withColumn("needed", F.max("rank").over(by_phrase))
+    return saved(ranked.select("pid", "tid", "offset", "rank", "n", "needed"), "phrase-terms")
 
 
 def build_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -87,22 +90,22 @@ def phrase_starts(postings: DataFrame, led: DataFrame, *, lists: int, slop: int)
     Each posting is moved back by the term's offset in the phrase. ``exact`` tells places where all
     lists of the phrase agree on the start from those where all but one, and two at least, agree to
     within ``slop`` words: whichever word was changed, the others still meet. Postings are shuffled
-    by document before they meet the phrases, which then need no shuffle. Most phrases of a document
-    have a posting of one term alone; they are left out by an aggregate before places are compared.
+    by document before they meet the phrases, which then need no shuffle: there are several times as
+    many places as postings. How many is known from the terms' counts, and tells the number of tasks.
+    Most phrases of a document have a posting of one term alone; they leave before places are compared.
     """
-    met = postings.repartition("_id", "_h").join(_sent(led, BROADCAST_TERMS), "tid").select(
-        "_id", "_h", "pid", "rank", (F.col("pos") - F.col("offset")).alias("start")
+    tasks = max(1, -(-(led.agg(F.sum("n")).first()[0] or 0) // TASK_ROWS))
+    met = postings.repartition(tasks, "_id", "_h").join(_sent(led, BROADCAST_TERMS), "tid").select(
+        "_id", "_h", "pid", "rank", "needed", (F.col("pos") - F.col("offset")).alias("start")
     )
-    places = Window.partitionBy("_id", "_h", "pid").orderBy("start")
+    enough = F.greatest(F.col("needed") - 1, F.least("needed", F.lit(2)))
+    phrase = Window.partitionBy("_id", "_h", "pid")
+    held = F.bit_count(F.bit_or(F.expr("shiftleft(1, rank)")).over(phrase))
+    met = met.withColumn("_n", held).where(F.col("_n") >= enough).drop("_n")
+    places = phrase.orderBy("start")
     at, near = places.rangeBetween(0, 0), places.rangeBetween(-slop, slop)
     lists_at = sum(F.max((F.col("rank") == k).cast("int")).over(at) for k in range(1, lists + 1))
     lists_near = sum(F.max((F.col("rank") == k).cast("int")).over(near) for k in range(1, lists + 1))
-    needed = _sent(led.groupBy("pid").agg(F.max("rank").alias("needed")), BROADCAST_TERMS)
-    enough = F.greatest(F.col("needed") - 1, F.least("needed", F.lit(2)))
-    held = met.groupBy("_id", "_h", "pid").agg(F.expr("bit_count(bit_or(shiftleft(1, rank)))").alias("_n"))
-    able = saved(held.join(needed, "pid").where(F.col("_n") >= enough).select("_id", "_h", "pid", "needed").toDF("_i", "_x", "_p", "needed"), "phrase-places")
-    same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h") == F.col("_x")) & (F.col("pid") == F.col("_p"))
-    met = met.join(_sent(able, BROADCAST_DOCUMENTS), same).drop("_i", "_x", "_p")
     met = met.withColumn("_at", lists_at).withColumn("_near", lists_near).where(F.col("_near") >= enough)
     exact = (F.col("_at") == F.col("needed")) & (F.col("start") >= 0)
     return saved(met.select("_id", "_h", "pid", "start", exact.alias("exact")).distinct(), "phrase-starts")
