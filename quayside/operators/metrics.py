@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.operators.schema import columns_json
+from quayside.session import saved
 
 # Kinds of metric rows and job states.
 CDC, MERGE, INCREMENTAL, EXPORT, FAILED = "CDC", "MERGE", "INCREMENTAL", "EXPORT", "FAILED"
@@ -25,6 +26,10 @@ JOB_REPORT = [
 # Node types of a flow that write a table.
 TARGET_NODES = ["TARGET", "BIGQUERY_TARGET", "SNOWFLAKE_TARGET", "CUSTOM_TARGET"]
 DELETED_USER = "deleted_user"
+# Usage rows of a task, on average; buckets of items by which they are counted; strands of repeated rows.
+TASK_ROWS = 250_000
+BUCKETS = 65_536
+STRANDS = 16
 
 _FROM_CDC = ["fetch_records_count", "source_schema_name", "source_database_name"]
 _FROM_MERGE = [
@@ -132,16 +137,37 @@ def usage_pairs(items: DataFrame, usage: DataFrame, users: DataFrame) -> DataFra
     """Who uses what: one row per item and user, once; an item without users keeps one row.
 
     ``items``: item_id, item_name; ``usage``: item_id, user_id; ``users``: user_id, user_name.
-    The users of an item stay rows: a set in one cell could not hold those of a popular item. Items
-    join as the smaller side, so the rows of a popular item can be spread over tasks.
+    The users of an item stay rows: a set in one cell could not hold those of a popular item. Usage is
+    counted first, by buckets of items: tasks are as many as leave each ``TASK_ROWS`` rows, since bytes of
+    a shuffle, well packed, say little of what a task holds. Rows of an item with more are cut by user
+    into parts of about as many, each of which meets the item; repeats of a pair are first taken out
+    of ``STRANDS`` strands, so not even those all pass one task.
     """
-    pairs = usage.select("item_id", "user_id").distinct()
-    used = pairs.join(items, "item_id").join(users, "user_id", "left").select(
+    usage = usage.select("item_id", "user_id").where("item_id IS NOT NULL")
+    bucket = F.pmod(F.xxhash64("item_id"), F.lit(BUCKETS))
+    counted = saved(usage.groupBy(bucket.alias("bucket")).count(), "usage-buckets")
+    tasks = max(1, -(-(counted.agg(F.sum("count")).first()[0] or 0) // TASK_ROWS))
+    full = counted.where(F.col("count") > TASK_ROWS)
+    popular = (
+        usage.join(F.broadcast(full), bucket == F.col("bucket"), "left_semi").groupBy("item_id").count()
+        .where(F.col("count") > TASK_ROWS).select("item_id", F.ceil(F.col("count") / TASK_ROWS).alias("_parts"))
+    )
+    popular = F.broadcast(saved(popular, "popular-items"))  # at most a row per task
+
+    strand = F.pmod(F.spark_partition_id(), F.lit(STRANDS)).alias("_strand")
+    once = usage.select("item_id", "user_id", strand).repartition(tasks, "item_id", "user_id", "_strand").distinct()
+    part = F.pmod(F.xxhash64("user_id"), F.coalesce("_parts", F.lit(1)))
+    pairs = once.join(popular, "item_id", "left").select("item_id", "user_id", part.alias("_part"))
+    pairs = pairs.repartition(tasks, "item_id", "_part").distinct().withColumn("_used", F.lit(True))
+    parts = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))
+    places = items.join(popular, "item_id", "left").select("item_id", "item_name", "_parts", parts.alias("_part"))
+    met = places.repartition(tasks, "item_id", "_part").join(pairs.hint("merge"), ["item_id", "_part"], "left")
+    # a part of a popular item may have no rows; the item has
+    met = saved(met.where(F.col("_used") | F.col("_parts").isNull()), "usage-pairs")
+    used = met.where("_used").join(users, "user_id", "left").select(
         "item_id", "item_name", F.coalesce("user_name", F.lit(DELETED_USER)).alias("user_name"))
-    unused = items.join(pairs, "item_id", "left_anti").select(
-        "item_id", "item_name", F.lit(None).cast("string").alias("user_name"))
-    name = F.coalesce("item_name", F.col("item_id").cast("string"))
-    return used.unionByName(unused).withColumn("item_name", name)
+    unused = met.where("_used IS NULL").select("item_id", "item_name", F.lit(None).cast("string").alias("user_name"))
+    return used.unionByName(unused).withColumn("item_name", F.coalesce("item_name", F.col("item_id").cast("string")))
 
 
 def json_values(json_text, key: str) -> Column:
